@@ -96,8 +96,8 @@ def tai_minus_utc(jd: Column | str) -> Column:
     return steps
 
 
-def barycentric_tdb_approx(jd: Column | str, ra: Column | str, dec: Column | str) -> Column:
-    """TDB Julian date referred to the Sun's centre: UTC->TDB plus light travel time.
+def tdb_offset_seconds(jd: Column | str, ra: Column | str, dec: Column | str) -> Column:
+    """Seconds from UTC at the observer to TDB at the Sun's centre.
 
     Low-precision: the Sun stands in for the barycentre (up to about 4.5 s) and the
     observer for the Earth's centre (21 ms); parity with an ephemeris is not claimed.
@@ -106,8 +106,11 @@ def barycentric_tdb_approx(jd: Column | str, ra: Column | str, dec: Column | str
     n = as_col(jd) - 2451545.0
     g = F.radians(357.53 + 0.98560028 * n)
     tdb_minus_tt = 0.001658 * F.sin(g) + 0.000014 * F.sin(2 * g)
-    shift = tai_minus_utc(jd) + TT_MINUS_TAI_SECONDS + tdb_minus_tt
     a, d, sa, sd = F.radians(as_col(ra)), F.radians(as_col(dec)), F.radians(sun_ra), F.radians(sun_dec)
     along = F.sin(d) * F.sin(sd) + F.cos(d) * F.cos(sd) * F.cos(a - sa)
-    light = -AU_LIGHT_SECONDS * dist * along
-    return as_col(jd) + (shift + light) / SECONDS_PER_DAY
+    return tai_minus_utc(jd) + TT_MINUS_TAI_SECONDS + tdb_minus_tt - AU_LIGHT_SECONDS * dist * along
+
+
+def barycentric_tdb_approx(jd: Column | str, ra: Column | str, dec: Column | str) -> Column:
+    """Julian date (TDB) with the light travel time removed, low precision."""
+    return as_col(jd) + tdb_offset_seconds(jd, ra, dec) / SECONDS_PER_DAY

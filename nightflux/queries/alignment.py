@@ -1 +1,171 @@
-"""To be filled."""
+"""Ordered operators and alignment of two series."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import bindings as B
+from ..functions import timescale as TS
+from ..operators import asof as A
+from ..operators import grouped as G
+from ..operators import ordered as O
+from .lightcurves import clip_sql
+from .registry import query, r, with_
+
+# probes: times of another event type; samples: 'view'
+ALIGN = """smp AS (SELECT t, y FROM series WHERE series = 'view'),
+prb AS (SELECT event_id, t FROM series WHERE series = 'purchase')"""
+PREV_NEXT = """pn AS (
+  SELECT p.event_id, p.t, a.t AS t0, a.y AS y0, b.t AS t1, b.y AS y1
+  FROM prb p ASOF LEFT JOIN smp a ON p.t >= a.t ASOF LEFT JOIN smp b ON p.t < b.t)"""
+
+
+def _two(spark, sf):
+    s = B.series(spark, sf)
+    samples = s.where("series = 'view'").select(F.lit(1).alias("k"), "t", "y")
+    probes = s.where("series = 'purchase'").select(F.lit(1).alias("k"), "event_id", "t")
+    return samples, probes
+
+
+@query("j11_nearest_time", "J11", with_(B.SERIES_SQL, ALIGN, PREV_NEXT) + """
+SELECT event_id, round(CASE WHEN t0 IS NULL THEN y1 WHEN t1 IS NULL OR t - t0 <= t1 - t THEN y0 ELSE y1 END, 6) AS y FROM pn""")
+def _(spark, sf):
+    samples, probes = _two(spark, sf)
+    n = A.nearest(samples, probes, ["k"], "t", "y", "v")
+    return n.select("event_id", r("v").alias("y"))
+
+
+@query("j12_interpolate_extend", "J12", with_(B.SERIES_SQL, ALIGN, PREV_NEXT, """
+e AS (SELECT min(t) AS ta, max(t) AS tz FROM smp),
+e2 AS (SELECT (SELECT min(t) FROM smp WHERE t > ta) AS tb, (SELECT max(t) FROM smp WHERE t < tz) AS ty, ta, tz FROM e),
+ee AS (SELECT e2.*, a.y AS ya, b.y AS yb, c.y AS yy, d.y AS yz FROM e2 JOIN smp a ON a.t = ta JOIN smp b ON b.t = tb
+  JOIN smp c ON c.t = ty JOIN smp d ON d.t = tz)""") + """
+SELECT event_id, round(CASE WHEN t = t0 THEN y0 WHEN t0 IS NULL THEN ya + (yb - ya) * (t - ta) / (tb - ta)
+  WHEN t1 IS NULL THEN yy + (yz - yy) * (t - ty) / (tz - ty)
+  ELSE y0 + (y1 - y0) * (t - t0) / (t1 - t0) END, 4) AS y FROM pn, ee""")
+def _(spark, sf):
+    samples, probes = _two(spark, sf)
+    n = A.interpolate(samples, probes, ["k"], "t", "y", "v")
+    return n.select("event_id", r("v", 4).alias("y"))
+
+
+@query("j13_interpolate_index", "J13", with_(B.SERIES_SQL, ALIGN, PREV_NEXT) + """
+SELECT event_id, round(CASE WHEN t = t0 OR t1 IS NULL THEN y0 WHEN t0 IS NULL THEN NULL
+  ELSE y0 + (y1 - y0) * (t - t0) / (t1 - t0) END, 4) AS y FROM pn""")
+def _(spark, sf):
+    samples, probes = _two(spark, sf)
+    n = A.interpolate_index(samples, probes, ["k"], "t", "y", "v")
+    return n.select("event_id", r("v", 4).alias("y"))
+
+
+@query("j12_interpolate_keyed", "J12 C06", with_(B.SERIES_SQL) + """
+, smp AS (SELECT series, t, y FROM series WHERE event_id % 3 <> 0),
+prb AS (SELECT series, event_id, t FROM series WHERE event_id % 3 = 0),
+pn AS (SELECT p.series, p.event_id, p.t, a.t AS t0, a.y AS y0, b.t AS t1, b.y AS y1 FROM prb p
+  ASOF LEFT JOIN smp a ON p.series = a.series AND p.t >= a.t ASOF LEFT JOIN smp b ON p.series = b.series AND p.t < b.t)
+SELECT series, event_id, CASE WHEN t0 IS NULL OR t1 IS NULL THEN 'end' ELSE 'inside' END AS place,
+  round(CASE WHEN t0 IS NOT NULL AND t1 IS NOT NULL THEN y0 + (y1 - y0) * (t - t0) / (t1 - t0) END, 4) AS y FROM pn""")
+def _(spark, sf):
+    s = B.series(spark, sf)
+    held = F.col("event_id") % 3 == 0
+    n = A.interpolate(s.where(~held).select("series", "t", "y"), s.where(held).select("series", "event_id", "t"),
+                      ["series"], "t", "y", "v", width=0.5)
+    ends = s.where(~held).groupBy("series").agg(F.min("t").alias("a"), F.max("t").alias("z"))
+    inside = F.col("t").between(F.col("a"), F.col("z"))
+    return n.join(ends, "series").select(
+        "series", "event_id", F.when(inside, "inside").otherwise("end").alias("place"),
+        r(F.when(inside, F.col("v")), 4).alias("y"))
+
+
+@query("a35_first_per_time", "A35", """
+SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, min(o_orderkey) AS o_orderkey, count(*) > 0 AS kept
+FROM orders GROUP BY 1, 2""")
+def _(spark, sf):
+    o = B.table(spark, sf, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderkey")
+    return O.first_per_time(o, ["o_custkey"], "day", ["o_orderkey"]).withColumn("kept", F.lit(True))
+
+
+@query("w03_night_segments", "W03", with_("RECURSIVE " + B.SERIES_SQL) + """
+, seg AS (SELECT series, min(t) AS anchor, 0 AS segment FROM series GROUP BY series
+  UNION ALL
+  SELECT g.series, (SELECT min(t) FROM series s WHERE s.series = g.series AND s.t > g.anchor + 0.5::DOUBLE), g.segment + 1
+  FROM seg g WHERE EXISTS (SELECT 1 FROM series s WHERE s.series = g.series AND s.t > g.anchor + 0.5::DOUBLE))
+SELECT s.series, s.event_id, g.segment::BIGINT AS segment FROM series s ASOF JOIN seg g ON s.series = g.series AND s.t >= g.anchor""")
+def _(spark, sf):
+    s = O.segments(B.series(spark, sf).select("series", "event_id", "t"), ["series"], "t", 0.5, "segment")
+    return s.select("series", "event_id", F.col("segment").cast("bigint").alias("segment"))
+
+
+@query("w06_gaussian_smooth", "W06", with_(B.SERIES_SQL) + """
+, i AS (SELECT series, event_id, y, row_number() OVER (PARTITION BY series ORDER BY t) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM series)
+, k AS (SELECT k, exp(-0.5::DOUBLE * (k / 5.0::DOUBLE) ** 2) AS w FROM range(-20, 21) t(k))
+, kk AS (SELECT k, w / (SELECT sum(w) FROM k) AS w FROM k)
+, m AS (SELECT series, event_id, w, ((i + k) % (2 * n) + 2 * n) % (2 * n) AS f, n FROM i, kk)
+SELECT m.series, m.event_id, round(sum(w * v.y), 5) AS smooth FROM m JOIN i v ON v.series = m.series
+  AND v.i = CASE WHEN f < m.n THEN f ELSE 2 * m.n - 1 - f END GROUP BY ALL""")
+def _(spark, sf):
+    s = O.gaussian_smooth(B.series(spark, sf), ["series"], "t", "y", "smooth")
+    return s.select("series", "event_id", r("smooth", 5).alias("smooth"))
+
+
+@query("w12_one_sided_clip", "A03 W12", with_(B.SERIES_SQL, clip_sql("series", "series", "y", 5.0, 12, "k", side="high")) + """
+SELECT series, event_id, round(c, 6) AS c FROM k12""")
+def _(spark, sf):
+    s = G.sigma_clip(B.series(spark, sf), ["series"], "y", "c", sigma=5.0, max_rounds=None, lower=False)
+    return s.select("series", "event_id", r("c").alias("c"))
+
+
+@query("a03_sigma_clip", "A03", with_(B.SERIES_SQL, clip_sql("series", "series", "y", 3.0, 5, "k")) + """
+SELECT series, event_id, round(c, 6) AS c FROM k5""")
+def _(spark, sf):
+    s = G.sigma_clip(B.series(spark, sf), ["series"], "y", "c", sigma=3.0, max_rounds=5)
+    return s.select("series", "event_id", r("c").alias("c"))
+
+
+@query("o01_sort_by_time", "O01 O02 W13", with_(B.SERIES_SQL) + """
+SELECT event_id, (row_number() OVER (ORDER BY t, event_id) - 1)::BIGINT AS pos, 'SP' || lpad((row_number() OVER (ORDER BY t, event_id) - 1)::VARCHAR, 6, '0') AS label FROM series""")
+def _(spark, sf):
+    from ..functions.naming import star_label
+
+    s = O.numbered(B.series(spark, sf), ["t", "event_id"])
+    return s.select("event_id", F.col("pos").cast("bigint").alias("pos"), star_label("pos").alias("label"))
+
+
+@query("w07_peak_removal", "W07", with_(B.SERIES_SQL) + """
+, l AS (SELECT series, event_id, t, y, lag(y) OVER w AS a, lead(y) OVER w AS b FROM series WINDOW w AS (PARTITION BY series ORDER BY t))
+, p AS (SELECT *, (coalesce(y > a AND y > b, false) AND y - greatest(a, b) > 50)::INT AS pk FROM l)
+, q AS (SELECT series, event_id, y, max(pk) OVER (PARTITION BY series ORDER BY t ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS hit FROM p)
+SELECT series, event_id, round(y, 4) AS y FROM q WHERE hit = 0""")
+def _(spark, sf):
+    from ..operators.water import remove_peaks
+
+    s = remove_peaks(B.series(spark, sf), ["series"], "t", "y", prominence=50.0)
+    return s.select("series", "event_id", r("y", 4).alias("y"))
+
+
+@query("f05_julian_dates", "F05 F06 F04", """
+SELECT event_id, round(epoch_us(ts) / 86400e6::DOUBLE + 2440587.5::DOUBLE + (value / 86400.0::DOUBLE / 2), 6) AS mid,
+  strftime(ts, '%Y%m%d') AS night, strftime(ts, '%Y-%m-%d') AS iso, strftime(ts - INTERVAL 1 DAY, '%Y%m%d') AS eve FROM events""")
+def _(spark, sf):
+    e = B.table(spark, sf, "events").withColumn("jd", TS.julian_date("ts")).withColumn("night", TS.compact_date("ts"))
+    return e.select("event_id", r(TS.mid_exposure("jd", "value")).alias("mid"), "night",
+                    TS.iso_date("night").alias("iso"), TS.days_before("night", 1).alias("eve"))
+
+
+@query("f17_barycentric_approx", "F17 F16", with_(B.SERIES_SQL) + """
+, n AS (SELECT event_id, t, t - 2451545.0::DOUBLE AS n FROM series)
+, g AS (SELECT *, radians(357.528::DOUBLE + 0.9856003::DOUBLE * n) AS g, radians(23.439::DOUBLE - 0.0000004::DOUBLE * n) AS eps FROM n)
+, s AS (SELECT *, radians(280.460::DOUBLE + 0.9856474::DOUBLE * n + 1.915::DOUBLE * sin(g) + 0.020::DOUBLE * sin(2 * g)) AS lam,
+    1.00014::DOUBLE - 0.01671::DOUBLE * cos(g) - 0.00014::DOUBLE * cos(2 * g) AS dist FROM g)
+, u AS (SELECT *, atan2(cos(eps) * sin(lam), cos(lam)) AS sra, asin(sin(eps) * sin(lam)) AS sdec,
+    radians(event_id % 360) AS ra, radians(event_id % 120 - 60) AS dec, radians(357.53::DOUBLE + 0.98560028::DOUBLE * n) AS g2 FROM s)
+, c AS (SELECT *, sin(dec) * sin(sdec) + cos(dec) * cos(sdec) * cos(ra - sra) AS al FROM u)
+SELECT event_id, round(-149597870700.0::DOUBLE / 299792458.0::DOUBLE * al, 4) AS helio_seconds,
+  round(37 + 32.184::DOUBLE + 0.001658::DOUBLE * sin(g2) + 0.000014::DOUBLE * sin(2 * g2) - 499.00478383615643::DOUBLE * dist * al, 3) AS tdb_seconds FROM c""")
+def _(spark, sf):
+    s = B.series(spark, sf).select("event_id", "t", (F.col("event_id") % 360).cast("double").alias("ra"), (F.col("event_id") % 120 - 60).cast("double").alias("dec"))
+    sra, sdec, _ = TS.sun_position("t")
+    helio = TS.heliocentric_correction("ra", "dec", sra, sdec) * 86400.0
+    # evaluated as an offset: a Julian date near 2.46 million keeps only 40 microseconds
+    tdb = TS.tdb_offset_seconds("t", "ra", "dec")
+    return s.select("event_id", r(helio, 4).alias("helio_seconds"), r(tdb, 3).alias("tdb_seconds"))
