@@ -112,41 +112,38 @@ def clip_bounds(
     Clipping around a median keeps exactly the values between two limits, and later
     rounds only narrow them, so the state is (lo, hi) per group and the rows are
     never rewritten.  Values on a limit are kept.  ``max_rounds=None`` runs until no
-    group changes.  ``lower=False`` clips the high side only.
-    Returns keys, lo, hi, kept.
+    group changes; one boolean per round reaches the driver.  ``lower=False`` clips
+    the high side only.  Returns keys, lo, hi.
     """
     keys = list(keys)
     narrow = df.select(*keys, F.col(value).cast("double").alias("__y")).where(F.col("__y").isNotNull())
-    state = narrow.groupBy(*keys).agg(
-        F.min("__y").alias("lo"), F.max("__y").alias("hi"), F.count("__y").alias("kept")
-    )
-    state = cut(state)
-    done = 0
+    state, done = None, 0
     while max_rounds is None or done < max_rounds:
-        live = attach(narrow, keys, state.select(*keys, "lo", "hi")).where(F.col("__y").between(F.col("lo"), F.col("hi")))
-        stats = medians(live, keys, {"__m": "__y"}, F.stddev_pop("__y").alias("__s"))
-        wide = attach(state, keys, stats)
-        lo = F.greatest(F.col("lo"), F.col("__m") - sigma * F.col("__s")) if lower else F.col("lo")
-        limits = wide.select(
-            *keys, lo.alias("lo"), F.least(F.col("hi"), F.col("__m") + sigma * F.col("__s")).alias("hi"),
-            F.col("kept").alias("__before"),
-        )
-        inside = attach(narrow, keys, limits)
-        counted = inside.where(F.col("__y").between(F.col("lo"), F.col("hi"))).groupBy(*keys).agg(
-            F.count("__y").alias("kept")
+        live = narrow
+        if state is not None:
+            live = attach(narrow, keys, state.select(*keys, "lo", "hi"))
+            live = live.where(F.col("__y").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
+        stats = medians(
+            live, keys, {"__m": "__y"},
+            F.stddev_pop("__y").alias("__s"), F.min("__y").alias("__min"), F.max("__y").alias("__max"),
         )
-        nxt = cut(attach(limits, keys, counted))
-        changed = nxt.where(F.col("kept") != F.col("__before")).limit(1).count()
-        state = nxt.drop("__before")
+        low, high = F.col("__m") - sigma * F.col("__s"), F.col("__m") + sigma * F.col("__s")
+        if not lower:
+            low = F.col("__min")
+        # limits never leave the span of the kept values, so a limit inside it means a change
+        state = cut(stats.select(
+            *keys, F.greatest(low, F.col("__min")).alias("lo"), F.least(high, F.col("__max")).alias("hi"),
+            ((low > F.col("__min")) | (high < F.col("__max"))).alias("changed"),
+        ))
         done += 1
-        if not changed:
+        if state.where("changed").isEmpty():
             break
-    return state
+    return state.drop("changed")
 
 
 def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, out: str, **how) -> DataFrame:
     """``out`` is the value where the clip keeps it, else NULL."""
-    bounds = clip_bounds(df, keys, value, **how).drop("kept")
+    bounds = clip_bounds(df, keys, value, **how)
     kept = F.when(F.col(value).between(F.col("lo"), F.col("hi")), F.col(value))
     return attach(df, keys, bounds).withColumn(out, kept).drop("lo", "hi")
 
@@ -169,26 +166,34 @@ def array_median(sorted_values: Column) -> Column:
     return F.when(n > 0, (F.get(sorted_values, lower) + F.get(sorted_values, upper)) / 2)
 
 
-def array_std(values: Column) -> Column:
-    """Population deviation of an array without NULLs; NULL when empty."""
+def _spread(values: Column, centre: Column) -> Column:
+    """Population deviation of a short array, summed about ``centre``."""
     n = F.size(values)
-    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-    square = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n
-    return F.when(n > 0, F.sqrt(square))
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    return F.aggregate(
+        values, start,
+        lambda a, v: F.struct((a["s"] + v - centre).alias("s"), (a["q"] + (v - centre) * (v - centre)).alias("q")),
+        lambda a: F.sqrt(F.greatest(F.lit(0.0), a["q"] / n - (a["s"] / n) * (a["s"] / n))),
+    )
 
 
 def array_clip(sorted_values: Column, sigma: float, max_rounds: int | None = None) -> Column:
-    """Iterative sigma clip of one short ascending array (A03 for stacks of <= 50)."""
+    """Iterative sigma clip of one short ascending array (A03 for stacks of <= 50).
+
+    The state is the kept values and how many there were before; equal counts mean
+    the clip has settled and later steps pass the state on unchanged.
+    """
     rounds = F.size(sorted_values) if max_rounds is None else F.lit(max_rounds)
 
     def one(state, _):
         kept = state["a"]
-        m, s = array_median(kept), array_std(kept)
-        nxt = F.filter(kept, lambda v: F.abs(v - m) <= sigma * s)
-        return F.when(state["done"], state).otherwise(
-            F.struct(nxt.alias("a"), (F.size(nxt) == F.size(kept)).alias("done"))
+        centre = F.array(array_median(kept))
+        limits = F.transform(centre, lambda m: F.struct(m.alias("m"), (sigma * _spread(kept, m)).alias("w")))
+        clipped = F.transform(limits, lambda p: F.filter(kept, lambda v: F.abs(v - p["m"]) <= p["w"]))
+        return F.when(F.size(kept) == state["before"], state).otherwise(
+            F.struct(F.get(clipped, F.lit(0)).alias("a"), F.size(kept).alias("before"))
         )
 
-    start = F.struct(sorted_values.alias("a"), (F.size(sorted_values) == 0).alias("done"))
+    start = F.struct(sorted_values.alias("a"), F.lit(-1).alias("before"))
     steps = F.when(rounds > 0, F.sequence(F.lit(1), rounds)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(steps, start, one, lambda s: s["a"])
