@@ -137,13 +137,6 @@ def wavelengths(spark, lo: float = WAVELENGTH_RANGE_MICRON[0], hi: float = WAVEL
     return spark.range(n).select(F.col("id").alias("li"), (lo + F.col("id") * step).alias("wavelength"))
 
 
-def on_wavelengths(curve: DataFrame, grid: DataFrame, keys: Sequence[str], value: str, out: str, width: float) -> DataFrame:
-    """A sampled curve on the common wavelength grid, per key."""
-    names = curve.select(*keys).distinct()
-    wanted = grid.crossJoin(F.broadcast(names)) if keys else grid
-    return interpolate_index(curve, wanted, keys, "wavelength", value, out, width)
-
-
 def spectral_response(efficiency: DataFrame, filter_curve: DataFrame, grid: DataFrame, width: float) -> DataFrame:
     """Efficiency times filter on the common grid, positive values only."""
     one = F.lit(1).alias("k")
