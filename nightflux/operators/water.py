@@ -8,12 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..functions.photometry import MEDIAN_FLOOR
+from ..session import as_col, cut
 from .asof import interpolate, interpolate_index
-from .grouped import attach, normalise
+from .grouped import attach, medians
 from .ordered import first_per_time, linked
 
 # Fixed values
+MAX_AXIS, MAX_BROADCAST_NODES = 1000, 200_000
 MIN_PWV_MM = 0.05
 MARGIN_DAYS = 2.0 / 24.0
 PWV_AXIS = [0.05, 0.1, 0.25, 0.5, 1.0, 1.5, 2.5, 3.5, 5.0, 7.5, 10.0, 20.0, 30.0]
@@ -47,48 +49,78 @@ def clean_series(pwv: DataFrame, keys: Sequence[str], t: str, order: Sequence[Co
     return first_per_time(pwv, keys, t, order)
 
 
-def axis(grid: DataFrame, name: str) -> DataFrame:
-    """Distinct grid values as one sorted array; an axis has at most a few hundred values."""
-    return grid.select(name).distinct().agg(F.sort_array(F.collect_list(name)).alias(f"__ax_{name}"))
+def axis_values(grid: DataFrame, name: str) -> list[float]:
+    """The sorted values of one grid axis.  An axis is a fixed handful of values; the
+    grid is refused as a lattice where it has more than ``MAX_AXIS``."""
+    values = [row[0] for row in grid.select(name).distinct().orderBy(name).limit(MAX_AXIS + 1).collect()]
+    if len(values) > MAX_AXIS:
+        raise ValueError(f"axis {name} has more than {MAX_AXIS} values: not a look-up lattice")
+    return values
 
 
-def _bracket(value: Column, ax: Column) -> tuple[Column, Column]:
-    """Largest grid value at or below and smallest at or above; NULL outside the grid."""
-    return F.array_max(F.filter(ax, lambda a: a <= value)), F.array_min(F.filter(ax, lambda a: a >= value))
+def _position(v: Column, values: list[float], start: int = 0) -> Column:
+    """Index of the last axis value at or below ``v`` as a balanced CASE tree."""
+    if len(values) == 1:
+        return F.lit(start)
+    half = len(values) // 2
+    return F.when(v < values[half], _position(v, values[:half], start)).otherwise(
+        _position(v, values[half:], start + half)
+    )
+
 
+def lattice_cells(grid: DataFrame, axes: dict[str, list[float]], value: str) -> DataFrame:
+    """One row per lattice cell: its index and its corner values (NULL past the last node)."""
+    dims = list(axes)
+    nodes = grid.select(*[_position(F.col(d), axes[d]).alias(f"__i_{d}") for d in dims], F.col(value).alias("__v"))
+    offsets = F.array(*[F.lit(o) for o in range(2 ** len(dims))])
+    spread = nodes.withColumn("__o", F.explode(offsets))
+    for b, d in enumerate(dims):
+        spread = spread.withColumn(f"__i_{d}", F.col(f"__i_{d}") - F.shiftright("__o", b).bitwiseAND(F.lit(1)))
+    return spread.groupBy(*[f"__i_{d}" for d in dims]).agg(
+        *[F.max(F.when(F.col("__o") == o, F.col("__v"))).alias(f"__v{o}") for o in range(2 ** len(dims))]
+    )
 
-def grid_lookup(df: DataFrame, grid: DataFrame, dims: dict[str, Column | str], out: str, value: str = "response", keep: Sequence[str] | None = None, row_id: Sequence[str] = ()) -> DataFrame:
+
+def grid_lookup(
+    df: DataFrame, grid: DataFrame, dims: dict[str, Column | str], out: str, value: str = "response",
+    axes: dict[str, list[float]] | None = None,
+) -> DataFrame:
     """Multilinear interpolation on a regular grid.
 
-    ``dims`` maps grid axes to row expressions.  Each row brackets every axis and
-    meets its 2^n corners by equality; outside the grid the result is NULL.  The
-    reference method uses a cubic surface in two axes; linear is a stated divergence.
-    ``row_id`` names columns that identify a row of ``df``.
+    ``dims`` maps grid axes to row expressions.  Each row finds its lattice cell by
+    comparing against the axis values and meets the cell's corners in one equality
+    join, broadcast when the lattice is small; rows are neither multiplied nor moved.
+    Outside the grid the result is NULL.  The usual method is a cubic surface in two
+    axes; linear is a stated divergence.
     """
+    axes = axes or {d: axis_values(grid, d) for d in dims}
+    cells = lattice_cells(grid, axes, value)
+    nodes = 1
+    for v in axes.values():
+        nodes *= len(v)
     rows = df
-    for name in dims:
-        rows = rows.crossJoin(F.broadcast(axis(grid, name)))  # one row
-    corner_lists = []
-    for name, expr in dims.items():
-        v = F.col(expr) if isinstance(expr, str) else expr
-        lo, hi = _bracket(v, F.col(f"__ax_{name}"))
-        w_hi = F.when(hi > lo, (v - lo) / (hi - lo)).otherwise(0.0)
-        rows = rows.withColumn(
-            f"__c_{name}",
-            F.when(hi > lo, F.array(F.struct(lo.alias("g"), (1 - w_hi).alias("w")), F.struct(hi.alias("g"), w_hi.alias("w"))))
-            .when(hi.isNotNull() & lo.isNotNull(), F.array(F.struct(lo.alias("g"), F.lit(1.0).alias("w")))),
-        ).drop(f"__ax_{name}")
-        corner_lists.append(f"__c_{name}")
-    ids = list(row_id)
-    corners = rows.select(*ids, *corner_lists)
-    weight = F.lit(1.0)
-    for name in dims:
-        corners = corners.withColumn(f"__e_{name}", F.explode(f"__c_{name}")).drop(f"__c_{name}")
-        corners = corners.withColumn(name, F.col(f"__e_{name}.g"))
-        weight = weight * F.col(f"__e_{name}.w")
-    values = corners.withColumn("__w", weight).join(grid.select(*dims, value), list(dims))
-    summed = values.groupBy(*ids).agg(F.sum(F.col("__w") * F.col(value)).alias(out))
-    return df.join(summed, ids, "left")
+    for d, expr in dims.items():
+        v, ax = as_col(expr), axes[d]
+        inside = (v >= ax[0]) & (v <= ax[-1])
+        rows = rows.withColumn(f"__x_{d}", v).withColumn(f"__i_{d}", F.when(inside, _position(v, ax)))
+    index = [f"__i_{d}" for d in dims]
+    joined = rows.join(F.broadcast(cells) if nodes <= MAX_BROADCAST_NODES else cells, index, "left")
+    share = {}
+    for d in dims:
+        ax = F.array(*[F.lit(float(a)) for a in axes[d]])
+        lo, hi = F.get(ax, F.col(f"__i_{d}")), F.get(ax, F.col(f"__i_{d}") + 1)
+        share[d] = F.coalesce((F.col(f"__x_{d}") - lo) / (hi - lo), F.lit(0.0))
+    joined = joined.withColumns({f"__w_{d}": w for d, w in share.items()})
+    total = F.lit(0.0)
+    for o in range(2 ** len(dims)):
+        weight = F.lit(1.0)
+        for b, d in enumerate(dims):
+            weight = weight * (F.col(f"__w_{d}") if (o >> b) & 1 else 1 - F.col(f"__w_{d}"))
+        total = total + F.when(weight == 0, 0.0).otherwise(weight * F.col(f"__v{o}"))
+    hit = F.col(index[0]).isNotNull()
+    for i in index[1:]:
+        hit = hit & F.col(i).isNotNull()
+    return joined.withColumn(out, F.when(hit, total)).select(*df.columns, out)
 
 
 def ensemble_teff(weights: DataFrame, run: Sequence[str]) -> DataFrame:
@@ -120,15 +152,17 @@ def water_correction(
     with_water = attach(interpolate(near, target, keys, t, "pwv", "pwv", width), keys, reach)
     usable = F.col(t).between(F.col("__w0"), F.col("__w1")) & (F.col("pwv") >= MIN_PWV_MM)
     rows = cut(with_water.withColumn("__pwv", F.when(usable, F.col("pwv"))).drop("__w0", "__w1"))
-    ids = [*keys, t]
-    rows = grid_lookup(rows, grid, {"pwv_mm": "__pwv", "airmass_x": airmass, "teff_k": teff}, "target_water", row_id=ids)
-    rows = grid_lookup(rows, grid, {"pwv_mm": "__pwv", "airmass_x": airmass, "teff_k": ensemble_temperature}, "ensemble_water", row_id=ids)
+    axes = {d: axis_values(grid, d) for d in ("pwv_mm", "airmass_x", "teff_k")}
+    for temperature, out in ((teff, "target_water"), (ensemble_temperature, "ensemble_water")):
+        rows = grid_lookup(rows, grid, {"pwv_mm": "__pwv", "airmass_x": airmass, "teff_k": temperature}, out, axes=axes)
     rows = cut(rows.drop("__pwv"))
-    rows = normalise(rows, keys, "target_water", "__tw")
-    rows = normalise(rows, keys, "ensemble_water", "__ew")
-    rows = normalise(rows, keys, y, "__ny")
-    ratio = F.col("__tw") / F.col("__ew")
-    return rows.withColumn("corrected", F.when(ratio != 0, F.col("__ny") / ratio)).drop("__tw", "__ew", "__ny")
+    series = {"__my": y, "__mt": "target_water", "__me": "ensemble_water"}
+    scales = medians(rows, keys, {k: F.when(F.col(c) > MEDIAN_FLOOR, F.col(c)) for k, c in series.items()})
+    rows = attach(rows, keys, scales)
+    ratio = (F.col("target_water") / F.col("__mt")) / (F.col("ensemble_water") / F.col("__me"))
+    rows = rows.withColumn("water_ratio", ratio)
+    fixed = F.col(y) / F.col("__my") / F.col("water_ratio")
+    return rows.withColumn("corrected", F.when(F.col("water_ratio") != 0, fixed)).drop(*series)
 
 
 def wavelengths(spark, lo: float = WAVELENGTH_RANGE_MICRON[0], hi: float = WAVELENGTH_RANGE_MICRON[1], step: float = WAVELENGTH_STEP) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import bindings as B
 from ..functions import quality as QL
 from ..operators import ensemble as E
-from ..operators import grouped as G
 from ..operators import structure as ST
 from ..operators import water as W
 from ..session import cut
@@ -47,8 +46,7 @@ SELECT l_orderkey, l_partkey, l_linenumber, round({tri_sql('p', 'a', 't')}, 6) A
 def _(spark, sf):
     li = B.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", (F.col("l_quantity") * 0.98).alias("p"),
                                                (1 + F.col("l_discount") * 70).alias("a"), (F.col("l_suppkey") % 25 + F.col("l_tax") * 10).alias("t"))
-    # a row id: order, part and line number together are unique in the table
-    out = W.grid_lookup(li, grid(spark, sf), {"pwv_mm": "p", "airmass_x": "a", "teff_k": "t"}, "found", row_id=["l_orderkey", "l_partkey", "l_linenumber", "p", "a", "t"])
+    out = W.grid_lookup(li, grid(spark, sf), {"pwv_mm": "p", "airmass_x": "a", "teff_k": "t"}, "found")
     return out.select("l_orderkey", "l_partkey", "l_linenumber", r("found").alias("response"))
 
 
@@ -67,10 +65,8 @@ def _(spark, sf):
                                                    F.lit(5.5).alias("teff"), F.lit(12.25).alias("ens"))
     pwv = s.where("series = 'view'").select(F.lit(1).alias("k"), "t", (F.col("y") / 10).alias("pwv"))
     c = W.water_correction(cut(target), cut(pwv), cut(grid(spark, sf)), ["k"], "t", "y", "airmass", "teff", "ens")
-    med = G.normalise(c, ["k"], "target_water", "tw")
-    med = G.normalise(cut(med), ["k"], "ensemble_water", "ew")
     # deep in the lattice the response vanishes; such ratios are not compared
-    return med.select("event_id", r(F.when(F.col("tw") / F.col("ew") > 1e-4, F.col("corrected")), 3).alias("corrected"))
+    return c.select("event_id", r(F.when(F.col("water_ratio") > 1e-4, F.col("corrected")), 3).alias("corrected"))
 
 
 @query("a43_flux_change", "A43", with_(GRID_SQL) + """
