@@ -58,20 +58,19 @@ def axis_values(grid: DataFrame, name: str) -> list[float]:
     return values
 
 
-def _position(v: Column, values: list[float], start: int = 0) -> Column:
-    """Index of the last axis value at or below ``v`` as a balanced CASE tree."""
+def _position(column: str, values: list[float], start: int = 0) -> str:
+    """Index of the last axis value at or below a column, as a balanced CASE tree."""
     if len(values) == 1:
-        return F.lit(start)
+        return str(start)
     half = len(values) // 2
-    return F.when(v < values[half], _position(v, values[:half], start)).otherwise(
-        _position(v, values[half:], start + half)
-    )
+    below, above = _position(column, values[:half], start), _position(column, values[half:], start + half)
+    return f"CASE WHEN {column} < {float(values[half])!r}D THEN {below} ELSE {above} END"
 
 
 def lattice_cells(grid: DataFrame, axes: dict[str, list[float]], value: str) -> DataFrame:
     """One row per lattice cell: its index and its corner values (NULL past the last node)."""
     dims = list(axes)
-    nodes = grid.select(*[_position(F.col(d), axes[d]).alias(f"__i_{d}") for d in dims], F.col(value).alias("__v"))
+    nodes = grid.select(*[F.expr(_position(d, axes[d])).alias(f"__i_{d}") for d in dims], F.col(value).alias("__v"))
     offsets = F.array(*[F.lit(o) for o in range(2 ** len(dims))])
     spread = nodes.withColumn("__o", F.explode(offsets))
     for b, d in enumerate(dims):
@@ -100,27 +99,27 @@ def grid_lookup(
         nodes *= len(v)
     rows = df
     for d, expr in dims.items():
-        v, ax = as_col(expr), axes[d]
-        inside = (v >= ax[0]) & (v <= ax[-1])
-        rows = rows.withColumn(f"__x_{d}", v).withColumn(f"__i_{d}", F.when(inside, _position(v, ax)))
+        rows = rows.withColumn(f"__x_{d}", as_col(expr))
+    rows = rows.withColumns({
+        f"__i_{d}": F.expr(
+            f"CASE WHEN __x_{d} BETWEEN {float(ax[0])!r}D AND {float(ax[-1])!r}D THEN {_position(f'__x_{d}', ax)} END"
+        )
+        for d, ax in axes.items()
+    })
     index = [f"__i_{d}" for d in dims]
     joined = rows.join(F.broadcast(cells) if nodes <= MAX_BROADCAST_NODES else cells, index, "left")
     share = {}
     for d in dims:
-        ax = F.array(*[F.lit(float(a)) for a in axes[d]])
-        lo, hi = F.get(ax, F.col(f"__i_{d}")), F.get(ax, F.col(f"__i_{d}") + 1)
-        share[d] = F.coalesce((F.col(f"__x_{d}") - lo) / (hi - lo), F.lit(0.0))
-    joined = joined.withColumns({f"__w_{d}": w for d, w in share.items()})
-    total = F.lit(0.0)
+        ax = "array(" + ", ".join(f"{float(a)!r}D" for a in axes[d]) + ")"
+        lo, hi = f"get({ax}, __i_{d})", f"get({ax}, __i_{d} + 1)"
+        share[f"__w_{d}"] = F.expr(f"coalesce((__x_{d} - {lo}) / ({hi} - {lo}), 0.0D)")
+    joined = joined.withColumns(share)
+    terms = []
     for o in range(2 ** len(dims)):
-        weight = F.lit(1.0)
-        for b, d in enumerate(dims):
-            weight = weight * (F.col(f"__w_{d}") if (o >> b) & 1 else 1 - F.col(f"__w_{d}"))
-        total = total + F.when(weight == 0, 0.0).otherwise(weight * F.col(f"__v{o}"))
-    hit = F.col(index[0]).isNotNull()
-    for i in index[1:]:
-        hit = hit & F.col(i).isNotNull()
-    return joined.withColumn(out, F.when(hit, total)).select(*df.columns, out)
+        weight = " * ".join(f"__w_{d}" if (o >> b) & 1 else f"(1.0D - __w_{d})" for b, d in enumerate(dims))
+        terms.append(f"CASE WHEN {weight} = 0 THEN 0.0D ELSE {weight} * __v{o} END")
+    hit = " AND ".join(f"{i} IS NOT NULL" for i in index)
+    return joined.withColumn(out, F.expr(f"CASE WHEN {hit} THEN {' + '.join(terms)} END")).select(*df.columns, out)
 
 
 def ensemble_teff(weights: DataFrame, run: Sequence[str]) -> DataFrame:
