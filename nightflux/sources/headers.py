@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Fixed values
 CARD, BLOCK = 80, 2880
+END_CARD = "END" + " " * 77
 SIDE_EXTENSIONS = ["log", "Z", "txt", "gz"]
 
 
@@ -36,31 +37,44 @@ def _cards(text: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(text, i * CARD + 1, F.lit(CARD)))
 
 
+def _end(text: Column) -> Column:
+    """Characters up to and including the END card; 0 without one.
+
+    The first END followed by blanks is nearly always the card; only where it is not
+    on a card border are all cards looked at.
+    """
+    at = F.instr(text, F.lit(END_CARD))
+    by_cards = F.array_position(F.transform(_cards(text), lambda c: F.rtrim(c)), "END") * CARD
+    return F.when(at == 0, 0).when((at - 1) % CARD == 0, at + CARD - 1).otherwise(by_cards).cast("int")
+
+
+def _value(card: Column) -> Column:
+    body = F.substring(card, 11, 70)
+    quoted = F.rtrim(F.regexp_extract(body, r"^\s*'([^']*)'", 1))
+    plain = F.trim(F.split_part(body, F.lit("/"), F.lit(1)))
+    return F.when(F.trim(body).startswith("'"), quoted).otherwise(plain)
+
+
 def parse_headers(files: DataFrame) -> DataFrame:
     """(path, content) to (path, header MAP); NULL where the file is unreadable.
 
-    Files named ``.fz`` carry the frame in their first extension.
+    Files named ``.fz`` carry the frame in their first extension.  One-element arrays
+    carry intermediate results so that each is computed once.
     """
     packed = F.col("path").endswith(".fz")
-    text = files.select("path", F.decode("content", "ISO-8859-1").alias("t"))
-    whole = text.withColumn("cards", F.when(F.length("t") >= CARD, _cards(F.col("t"))))
-    end = F.array_position(F.transform("cards", lambda c: F.trim(c)), "END")
-    first = whole.withColumn("end", end)
-    skip = F.ceil(F.col("end") * CARD / BLOCK) * (BLOCK // CARD)
-    second = F.slice("cards", (skip + 1).cast("int"), F.greatest(F.lit(0), F.size("cards") - skip).cast("int"))
-    usable = first.withColumn("cards", F.when(packed & (F.col("end") > 0), second).otherwise(F.col("cards")))
-    usable = usable.withColumn("end", F.array_position(F.transform("cards", lambda c: F.trim(c)), "END"))
-    valued = F.filter(F.slice("cards", F.lit(1), F.greatest(F.col("end") - 1, F.lit(0)).cast("int")), lambda c: F.substring(c, 9, 2) == "= ")
-
-    def value(card: Column) -> Column:
-        body = F.substring(card, 11, 70)
-        text_value = F.rtrim(F.regexp_extract(body, r"^\s*'([^']*)'", 1))
-        plain = F.trim(F.split_part(body, F.lit("/"), F.lit(1)))
-        return F.when(F.trim(body).startswith("'"), text_value).otherwise(plain)
-
-    entries = F.transform(valued, lambda c: F.struct(F.trim(F.substring(c, 1, 8)).alias("key"), value(c).alias("value")))
-    header = F.when(F.col("end") > 0, F.map_from_entries(entries))
-    return usable.select("path", header.alias("header"))
+    text = F.array(F.decode("content", "ISO-8859-1"))
+    first = F.transform(text, lambda t: F.struct(t.alias("t"), _end(t).alias("e")))
+    start = lambda e: (F.ceil(e / BLOCK) * BLOCK + 1).cast("int")
+    main = F.transform(
+        first, lambda p: F.when(packed & (p["e"] > 0), F.substring(p["t"], start(p["e"]), F.length(p["t"]))).otherwise(p["t"])
+    )
+    ended = F.transform(main, lambda t: F.struct(t.alias("t"), _end(t).alias("e")))
+    cards = F.transform(ended, lambda p: F.when(p["e"] > CARD, _cards(F.substring(p["t"], F.lit(1), p["e"] - CARD))))
+    valued = F.transform(cards, lambda cs: F.filter(cs, lambda c: F.substring(c, 9, 2) == "= "))
+    entries = F.transform(
+        valued, lambda cs: F.transform(cs, lambda c: F.struct(F.trim(F.substring(c, 1, 8)).alias("key"), _value(c).alias("value")))
+    )
+    return files.select("path", F.map_from_entries(F.get(entries, F.lit(0))).alias("header"))
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,13 +11,17 @@ JD_OFFSET = 2450000.0
 FLAT_COLUMNS = ["jd", "diff", "error", "x", "y", "airmass", "fwhm", "sky", "exposure", "ra_move", "dec_move", "flux", "ensemble", "mask"]
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", dynamic: bool = True) -> None:
-    """Write by partition columns.
+def write_partitioned(
+    df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", dynamic: bool = True, sort: Sequence[str] = ()
+) -> None:
+    """Write by partition columns, rows optionally sorted inside the files.
 
     A rebalance before the write packs small partitions and splits a partition that
     holds a large share of the rows over several tasks.
     """
     out = df.hint("rebalance", *[F.col(c) for c in by])
+    if sort:
+        out = out.sortWithinPartitions(*by, *sort)
     writer = out.write.mode(mode).partitionBy(*by)
     if dynamic and mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -25,8 +29,12 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
 
 
 def write_frame_lists(classed: DataFrame, path: str) -> None:
-    """Frame lists per class, field and filter."""
-    write_partitioned(classed.select("path", "class", "field", "filter"), path, ["class", "field", "filter"])
+    """Frame lists per class, filter and field.
+
+    Class and filter are partitions; fields, of which a survey has very many, are
+    sorted inside the files so that one field's list is found by the column statistics.
+    """
+    write_partitioned(classed.select("path", "class", "field", "filter"), path, ["class", "filter"], sort=["field", "path"])
 
 
 def write_night(lc: DataFrame, path: str) -> None:

@@ -179,7 +179,7 @@ def wcs_solution(files: DataFrame) -> DataFrame:
 def spectra(wide: DataFrame, index: str = "wavelength") -> DataFrame:
     """Columns ``<pwv>_<airmass>`` to rows (wavelength, pwv_mm, airmass_x, transmission)."""
     names = [c for c in wide.columns if "_" in c and c.replace("_", "").replace(".", "").isdigit()]
-    long = wide.unpivot([index], names, "__n", "transmission")
+    long = wide.unpivot([index], [F.col(f"`{c}`") for c in names], "__n", "transmission")
     return long.select(index, F.split_part("__n", F.lit("_"), F.lit(1)).cast("double").alias("pwv_mm"),
                        F.split_part("__n", F.lit("_"), F.lit(2)).cast("double").alias("airmass_x"), "transmission")
 
