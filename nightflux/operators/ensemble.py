@@ -257,11 +257,12 @@ def reweight_once(
 ) -> DataFrame:
     """One round: ensemble, weather mask, scatter of every star, new weights."""
     alc = ensemble_curve(lc, w, run)
-    marked = bad_weather_mask(alc.select(*run, "jd", "nlc"), run, "jd", "nlc", box, threshold, bucket)
+    marked = cut(bad_weather_mask(alc.select(*run, "jd", "nlc"), run, "jd", "nlc", box, threshold, bucket))
     share = marked.groupBy(*run).agg((F.count_if("bad") < 0.5 * F.count("*")).alias("__use"))
-    e = attach(marked, run, share).select(
+    # one row per time
+    e = cut(attach(marked, run, share).select(
         *run, "jd", F.col("nlc").alias("__e"), (F.col("bad") & F.col("__use")).alias("__m")
-    )
+    ))
     rows = lc.select(*run, "star_id", "jd", "nflux").join(e, [*run, "jd"]).withColumn(
         "__d", F.when(F.col("__e") != 0, F.col("nflux") / F.col("__e"))
     )
@@ -272,7 +273,7 @@ def reweight_once(
     sigma = F.col("__sd") / F.col("__med")
     fresh = F.when(F.col("w1") == 0, 0.0).otherwise(F.coalesce(F.when(sigma > 0, 1 / (sigma * sigma)), F.lit(0.0)))
     joined = w.join(s, [*run, "star_id"], "left").withColumn("before", F.col("weight"))
-    return total_weights(joined.withColumn("w1", fresh).drop("__med", "__sd"), run).drop("no_weight")
+    return cut(total_weights(cut(joined.withColumn("w1", fresh).drop("__med", "__sd")), run).drop("no_weight"))
 
 
 def reweight(

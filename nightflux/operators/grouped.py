@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import as_col, cut
+from ..session import as_col, cut, is_small
 
 SKETCH_ACCURACY = 100_000
 BRACKET = 2.5 / SKETCH_ACCURACY
@@ -44,10 +44,11 @@ def medians(
 
     ``values`` maps output names to expressions; ``extra`` aggregates ride along in
     the first pass.  ``bounded=True`` is for groups whose size has a fixed limit
-    (a 50-frame chunk, a 3x3 cell): those use the built-in exact median directly.
+    (a 50-frame chunk, a 3x3 cell): those use the built-in exact median directly, and
+    so do inputs small enough for one task as a whole.  Both ways are exact.
     """
     keys = list(keys)
-    if bounded:
+    if bounded or is_small(df):
         return df.groupBy(*keys).agg(*[F.median(as_col(v)).alias(k) for k, v in values.items()], *extra)
     rows = df.select("*", *[as_col(v).cast("double").alias(f"__q_v_{k}") for k, v in values.items()])
     first = []

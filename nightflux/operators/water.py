@@ -75,9 +75,13 @@ def lattice_cells(grid: DataFrame, axes: dict[str, list[float]], value: str) ->
     spread = nodes.withColumn("__o", F.explode(offsets))
     for b, d in enumerate(dims):
         spread = spread.withColumn(f"__i_{d}", F.col(f"__i_{d}") - F.shiftright("__o", b).bitwiseAND(F.lit(1)))
-    return spread.groupBy(*[f"__i_{d}" for d in dims]).agg(
+    cells = spread.groupBy(*[f"__i_{d}" for d in dims]).agg(
         *[F.max(F.when(F.col("__o") == o, F.col("__v"))).alias(f"__v{o}") for o in range(2 ** len(dims))]
     )
+    for d in dims:
+        ax = "array(" + ", ".join(f"{float(a)!r}D" for a in axes[d]) + ")"
+        cells = cells.withColumn(f"__lo_{d}", F.expr(f"get({ax}, __i_{d})")).withColumn(f"__hi_{d}", F.expr(f"get({ax}, __i_{d} + 1)"))
+    return cells
 
 
 def grid_lookup(
@@ -108,12 +112,9 @@ def grid_lookup(
     })
     index = [f"__i_{d}" for d in dims]
     joined = rows.join(F.broadcast(cells) if nodes <= MAX_BROADCAST_NODES else cells, index, "left")
-    share = {}
-    for d in dims:
-        ax = "array(" + ", ".join(f"{float(a)!r}D" for a in axes[d]) + ")"
-        lo, hi = f"get({ax}, __i_{d})", f"get({ax}, __i_{d} + 1)"
-        share[f"__w_{d}"] = F.expr(f"coalesce((__x_{d} - {lo}) / ({hi} - {lo}), 0.0D)")
-    joined = joined.withColumns(share)
+    joined = joined.withColumns({
+        f"__w_{d}": F.expr(f"coalesce((__x_{d} - __lo_{d}) / (__hi_{d} - __lo_{d}), 0.0D)") for d in dims
+    })
     terms = []
     for o in range(2 ** len(dims)):
         weight = " * ".join(f"__w_{d}" if (o >> b) & 1 else f"(1.0D - __w_{d})" for b, d in enumerate(dims))

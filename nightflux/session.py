@@ -69,6 +69,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SMALL_BYTES_KEY, SMALL_BYTES = "spark.nightflux.smallBytes", 128 * 1024 * 1024
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether the optimizer's size bound of the rows fits one task with room to spare.
+
+    File sizes bound scans and stored tables; joins and explodes only raise the
+    estimate, so a doubtful table counts as large.  ``spark.nightflux.smallBytes`` moves the limit
+    (0 turns the short cut off).
+    """
+    limit = int(df.sparkSession.conf.get(SMALL_BYTES_KEY, str(SMALL_BYTES)))
+    if limit <= 0:
+        return False
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing values are NULL everywhere in this library; ingest maps NaN to NULL."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
