@@ -58,28 +58,48 @@ def axis_values(grid: DataFrame, name: str) -> list[float]:
     return values
 
 
-def _position(column: str, values: list[float], start: int = 0) -> str:
-    """Index of the last axis value at or below a column, as a balanced CASE tree."""
-    if len(values) == 1:
-        return str(start)
-    half = len(values) // 2
-    below, above = _position(column, values[:half], start), _position(column, values[half:], start + half)
-    return f"CASE WHEN {column} < {float(values[half])!r}D THEN {below} ELSE {above} END"
+def _array(values: list[float]) -> str:
+    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
+
+
+def with_position(df: DataFrame, axes: dict[str, tuple[str, list[float]]]) -> DataFrame:
+    """Index of the last axis value at or below each column, NULL outside the axis.
+
+    ``axes`` maps an index name to a column and its axis.  A binary search written as a
+    few projections keeps the generated code short enough to be compiled.
+    """
+    out = df.withColumns({
+        i: F.expr(f"CASE WHEN {c} BETWEEN {float(ax[0])!r}D AND {float(ax[-1])!r}D THEN 0 END") for i, (c, ax) in axes.items()
+    })
+    step = 1
+    while 2 * step < max(len(ax) for _, ax in axes.values()):
+        step *= 2
+    while step:
+        out = out.withColumns({
+            i: F.expr(f"{i} + CASE WHEN {c} >= get({_array(ax)}, {i} + {step}) THEN {step} ELSE 0 END")
+            for i, (c, ax) in axes.items() if step < len(ax)
+        })
+        step //= 2
+    return out
 
 
 def lattice_cells(grid: DataFrame, axes: dict[str, list[float]], value: str) -> DataFrame:
-    """One row per lattice cell: its index and its corner values (NULL past the last node)."""
+    """One row per lattice cell: its index, its limits and its corner values.
+
+    Corners past the last node are only met with weight 0 and hold 0."""
     dims = list(axes)
-    nodes = grid.select(*[F.expr(_position(d, axes[d])).alias(f"__i_{d}") for d in dims], F.col(value).alias("__v"))
+    nodes = with_position(grid, {f"__i_{d}": (d, axes[d]) for d in dims})
+    nodes = nodes.select(*[f"__i_{d}" for d in dims], F.col(value).alias("__v"))
     offsets = F.array(*[F.lit(o) for o in range(2 ** len(dims))])
     spread = nodes.withColumn("__o", F.explode(offsets))
     for b, d in enumerate(dims):
         spread = spread.withColumn(f"__i_{d}", F.col(f"__i_{d}") - F.shiftright("__o", b).bitwiseAND(F.lit(1)))
-    cells = spread.groupBy(*[f"__i_{d}" for d in dims]).agg(
-        *[F.max(F.when(F.col("__o") == o, F.col("__v"))).alias(f"__v{o}") for o in range(2 ** len(dims))]
+    inside = " AND ".join(f"__i_{d} >= 0" for d in dims)
+    cells = spread.where(inside).groupBy(*[f"__i_{d}" for d in dims]).agg(
+        *[F.expr(f"coalesce(max(CASE WHEN __o = {o} THEN __v END), 0.0D)").alias(f"__v{o}") for o in range(2 ** len(dims))]
     )
     for d in dims:
-        ax = "array(" + ", ".join(f"{float(a)!r}D" for a in axes[d]) + ")"
+        ax = _array(axes[d])
         cells = cells.withColumn(f"__lo_{d}", F.expr(f"get({ax}, __i_{d})")).withColumn(f"__hi_{d}", F.expr(f"get({ax}, __i_{d} + 1)"))
     return cells
 
@@ -104,23 +124,18 @@ def grid_lookup(
     rows = df
     for d, expr in dims.items():
         rows = rows.withColumn(f"__x_{d}", as_col(expr))
-    rows = rows.withColumns({
-        f"__i_{d}": F.expr(
-            f"CASE WHEN __x_{d} BETWEEN {float(ax[0])!r}D AND {float(ax[-1])!r}D THEN {_position(f'__x_{d}', ax)} END"
-        )
-        for d, ax in axes.items()
-    })
+    rows = with_position(rows, {f"__i_{d}": (f"__x_{d}", ax) for d, ax in axes.items()})
     index = [f"__i_{d}" for d in dims]
     joined = rows.join(F.broadcast(cells) if nodes <= MAX_BROADCAST_NODES else cells, index, "left")
     joined = joined.withColumns({
-        f"__w_{d}": F.expr(f"coalesce((__x_{d} - __lo_{d}) / (__hi_{d} - __lo_{d}), 0.0D)") for d in dims
+        f"__w_{d}": F.expr(f"CASE WHEN __hi_{d} IS NULL THEN 0.0D ELSE (__x_{d} - __lo_{d}) / (__hi_{d} - __lo_{d}) END") for d in dims
     })
-    terms = []
-    for o in range(2 ** len(dims)):
-        weight = " * ".join(f"__w_{d}" if (o >> b) & 1 else f"(1.0D - __w_{d})" for b, d in enumerate(dims))
-        terms.append(f"CASE WHEN {weight} = 0 THEN 0.0D ELSE {weight} * __v{o} END")
-    hit = " AND ".join(f"{i} IS NOT NULL" for i in index)
-    return joined.withColumn(out, F.expr(f"CASE WHEN {hit} THEN {' + '.join(terms)} END")).select(*df.columns, out)
+    values = [f"__v{o}" for o in range(2 ** len(dims))]
+    for d in dims:  # halve the corners axis by axis; the lowest bit belongs to the first axis
+        pairs = zip(values[::2], values[1::2])
+        columns = {f"__m_{d}_{n}": F.expr(f"{a} + __w_{d} * ({b} - {a})") for n, (a, b) in enumerate(pairs)}
+        joined, values = joined.withColumns(columns), list(columns)
+    return joined.withColumnRenamed(values[0], out).select(*df.columns, out)
 
 
 def ensemble_teff(weights: DataFrame, run: Sequence[str]) -> DataFrame:
