@@ -25,12 +25,17 @@ LEAP_SECONDS = [
 ]
 
 
-def unix_micros(ts: Column | str) -> Column:
-    """Microseconds since 1970 of a zone-free timestamp, whatever the session zone."""
-    name = ts if isinstance(ts, str) else None
-    if name is None:
-        raise TypeError("pass the column name of a TIMESTAMP_NTZ column")
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(`{name}` AS TIMESTAMP_NTZ))")
+def unix_micros(ts: str) -> Column:
+    """Microseconds since 1970 of a zone-free timestamp column, whatever the session zone.
+
+    Built from the calendar fields: going through a zoned timestamp would shift times
+    around daylight-saving changes.
+    """
+    t = f"CAST(`{ts}` AS TIMESTAMP_NTZ)"
+    return F.expr(
+        f"datediff(CAST({t} AS DATE), DATE'1970-01-01') * 86400000000L + hour({t}) * 3600000000L"
+        f" + minute({t}) * 60000000L + CAST(extract(SECOND FROM {t}) * 1000000 AS BIGINT)"
+    )
 
 
 def julian_date(ts: str) -> Column:
