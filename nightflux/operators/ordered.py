@@ -12,20 +12,42 @@ Two ways of splitting an order are used:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import as_col, cut
+from ..session import as_col, cut, is_small
 
 BUCKET = "__bucket"
+BUCKET_ROWS = 1_000_000
+MAX_NARROWING = 12
 
 
 def with_bucket(df: DataFrame, t: str, width: float) -> DataFrame:
     return df.withColumn(BUCKET, F.floor(F.col(t) / F.lit(float(width))))
 
 
+def fitted_width(df: DataFrame, keys: Sequence[str], t: str, width: float, floor: float = 0.0) -> float:
+    """A bucket width at which no (series, bucket) holds more than a task's worth of rows.
+
+    Starts from ``width`` and narrows it while the fullest bucket is too full: one
+    counting aggregation and one number to the driver each time.  Small inputs keep
+    the given width.  ``floor`` is the narrowest width that may be used.
+    """
+    if is_small(df):
+        return width
+    for _ in range(MAX_NARROWING):
+        counts = df.groupBy(*keys, F.floor(F.col(t) / F.lit(float(width))).alias(BUCKET)).count()
+        top = counts.agg(F.max("count")).first()[0] or 0
+        narrower = max(width / (2.0 * math.ceil(top / BUCKET_ROWS)), floor)
+        if top <= BUCKET_ROWS or narrower >= width:
+            break
+        width = narrower
+    return width
+
+
 def carried(buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per bucket, the last sample of earlier buckets and the first of later ones.
 
@@ -60,7 +82,8 @@ def neighbours(
         F.struct(F.col(t).alias("t"), *payload).alias("__s"),
     )
     q = queries.select(*keys, F.col(t).alias("__t"), F.lit(1).alias("__tag"), F.struct(*queries.columns).alias("__q"))
-    u = with_bucket(s.unionByName(q, allowMissingColumns=True), "__t", width)
+    u = s.unionByName(q, allowMissingColumns=True)
+    u = with_bucket(u, "__t", fitted_width(u.select(*keys, "__t"), keys, "__t", width))
     is_sample = F.col("__tag") == 0
     borders = u.groupBy(*keys, BUCKET).agg(
         F.min_by("__s", F.when(is_sample, F.col("__t"))).alias("__first"),
@@ -84,6 +107,7 @@ def neighbours(
 def linked(samples: DataFrame, keys: Sequence[str], t: str, payload: Sequence[str], width: float) -> DataFrame:
     """Each sample with the samples strictly before and after it as ``before``/``after``."""
     keys = list(keys)
+    width = fitted_width(samples.select(*keys, t), keys, t, width)
     b = with_bucket(samples.withColumn("__s", F.struct(F.col(t).alias("t"), *payload)), t, width)
     borders = b.groupBy(*keys, BUCKET).agg(
         F.min_by("__s", t).alias("__first"), F.max_by("__s", t).alias("__last")
@@ -117,6 +141,7 @@ def rolling_std(
     width = float(width or max(50 * half_width, 1.0))
     if width < half_width:
         raise ValueError("a bucket must be at least half a window wide")
+    width = fitted_width(df.select(*keys, t), keys, t, width, floor=half_width * 1.01)
     own = F.floor(F.col(t) / width)
     spread = df.withColumn(
         "__b",
@@ -217,8 +242,6 @@ def gaussian_smooth(
     Every sample adds its share to the positions it reaches: one explode into the
     kernel's fixed span and one aggregation by position.
     """
-    import math
-
     keys = list(keys)
     radius = int(truncate * sigma + 0.5)
     raw = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-radius, radius + 1)]

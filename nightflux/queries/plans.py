@@ -49,13 +49,19 @@ def _(spark, sf):
     return out.science.groupBy("filter", "frame").agg(F.count("*").alias("n_pixels"), F.count("reduced").alias("n_reduced"))
 
 
-@query("c14_target_identity", "C14 F01 J02 J19 J20", with_(B.SKY_SQL) + """SELECT count(*) AS n, count(DISTINCT id) AS n_rows FROM sky""")
+@query("c14_target_identity", "C14 F01 J02 J19 J20", with_(B.SKY_SQL) + """, h AS (SELECT id, dec, ra / 15.0 AS h, abs(dec) AS ad FROM sky),
+e AS (SELECT id, 'SP' || lpad(floor(h)::BIGINT::VARCHAR, 2, '0') || lpad(floor((h - floor(h)) * 60)::BIGINT::VARCHAR, 2, '0')
+  || CASE WHEN floor(ad) * CASE WHEN dec < 0 THEN -1 ELSE 1 END > 0 THEN '+' ELSE '-' END || lpad(floor(ad)::BIGINT::VARCHAR, 2, '0') || lpad(floor((ad - floor(ad)) * 60)::BIGINT::VARCHAR, 2, '0') AS name FROM h),
+n AS (SELECT name, min(id) AS id, count(*) AS n_stars FROM e GROUP BY name)
+SELECT name, CASE WHEN id % 3 <> 0 THEN id::VARCHAR END AS id, id % 5 = 0 AS already_run, name AS run_name, n_stars FROM n""")
 def _(spark, sf):
     s = B.sky(spark, sf)
-    named = s.withColumn("name", N.position_name("ra", "dec")).groupBy("name").agg(F.min("id").alias("id"), F.min_by("ra", "id").alias("ra"), F.min_by("dec", "id").alias("dec"), F.count("*").alias("n_stars"))
+    named = s.withColumn("name", N.position_name("ra", "dec")).groupBy("name").agg(
+        F.min("id").alias("id"), F.min_by("ra", "id").alias("ra"), F.min_by("dec", "id").alias("dec"), F.count("*").alias("n_stars"))
     named = cut(named)
     ids = named.where("id % 3 <> 0").select("name", "id")
     registry = named.where("id % 5 = 0").select(F.col("name").alias("reg_name"), F.col("id").cast("string").alias("reg_id"), F.col("id").alias("pos"))
-    out = identify(named.select("name", "ra", "dec"), named.select("name"), [ids], registry)
-    whole = out.join(named.select("name", "n_stars"), "name")
-    return whole.agg(F.sum("n_stars").alias("n"), F.sum("n_stars").alias("n_rows"))
+    # headers carry a long prefix and a tail; the canonical name takes both off again
+    headers = named.select(F.concat(F.lit("SPC"), F.substring("name", 3, 20), F.lit("BIS")).alias("name"), "ra", "dec")
+    out = identify(headers, named.select("name"), [ids], registry)
+    return out.join(named.select("name", "n_stars"), "name").select("name", "id", "already_run", "run_name", "n_stars")

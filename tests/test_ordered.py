@@ -94,3 +94,23 @@ def test_peaks_and_their_neighbours_go(spark):
 def test_first_per_time(spark):
     df = spark.createDataFrame([("a", 1.0, 2), ("a", 1.0, 1), ("a", 2.0, 5)], "k string, t double, o int")
     assert sorted(r["o"] for r in O.first_per_time(df, ["k"], "t", ["o"]).collect()) == [1, 5]
+
+
+def test_crowded_buckets_are_narrowed_without_changing_results(spark, monkeypatch):
+    from nightflux.session import SMALL_BYTES, SMALL_BYTES_KEY
+
+    rng = np.random.default_rng(9)
+    t, y = np.sort(rng.uniform(0, 5, 150)), rng.normal(size=150)
+    probes = series(spark, rng.uniform(0, 5, 60)).select("k", "t")
+    wide = A.interpolate(series(spark, t, y), probes, ["k"], "t", "y", "v", 10.0).orderBy("t").collect()
+    monkeypatch.setattr(O, "BUCKET_ROWS", 8)
+    spark.conf.set(SMALL_BYTES_KEY, "0")
+    try:
+        assert O.fitted_width(series(spark, t), ["k"], "t", 10.0) < 1.0
+        assert O.fitted_width(series(spark, [1.0] * 20), ["k"], "t", 10.0) > 0  # copies cannot be told apart by time
+        narrow = A.interpolate(series(spark, t, y), probes, ["k"], "t", "y", "v", 10.0).orderBy("t").collect()
+        rolled = {r["t"]: r["s"] for r in O.rolling_std(series(spark, t, y), ["k"], "t", "y", "s", 0.25, 10.0).collect()}
+    finally:
+        spark.conf.set(SMALL_BYTES_KEY, str(SMALL_BYTES))
+    assert [r["v"] for r in narrow] == pytest.approx([r["v"] for r in wide])
+    assert len(rolled) == 150 and all(rolled[float(a)] == pytest.approx(y[np.abs(t - a) <= 0.25].std(), abs=1e-9) for a in t)
