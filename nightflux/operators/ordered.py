@@ -23,6 +23,7 @@ from ..session import as_col, cut, is_small
 BUCKET = "__bucket"
 BUCKET_ROWS = 1_000_000
 MAX_NARROWING = 12
+SMOOTH_ROWS = 20_000
 
 
 def with_bucket(df: DataFrame, t: str, width: float) -> DataFrame:
@@ -239,29 +240,32 @@ def gaussian_smooth(
 ) -> DataFrame:
     """Gaussian smoothing over sample positions, edges reflected.
 
-    Every sample adds its share to the positions it reaches: one explode into the
-    kernel's fixed span and one aggregation by position.
+    Positions are cut into buckets; rows near a border, and the mirror images beyond
+    both ends of a series, are added as helpers, so each bucket is one plain window.
     """
     keys = list(keys)
     radius = int(truncate * sigma + 0.5)
     raw = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-radius, radius + 1)]
-    total = sum(raw)
-    spark = df.sparkSession
-    kernel = spark.createDataFrame(
-        [(k - radius, raw[k] / total) for k in range(2 * radius + 1)], "__k int, __w double"
-    )
     rows = running(df, keys, [order], {}, number="__i")
-    rows = cut(rows.withColumn("__i", F.col("__i") - 1))
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
-    src = attach_sizes(rows, keys, sizes).select(*keys, "__i", "__n", F.col(y).alias("__y"))
-    # position i reads i+k reflected about the edges: ... 1 0 | 0 1 ... n-1 | n-1 n-2 ...
-    period = 2 * F.col("__n")
-    folded = F.pmod(F.col("__i") + F.col("__k"), period)
-    source = F.when(folded < F.col("__n"), folded).otherwise(period - 1 - folded)
-    wanted = src.crossJoin(F.broadcast(kernel)).select(*keys, "__i", "__w", source.alias("__j"))
-    values = src.select(*keys, F.col("__i").alias("__j"), "__y")
-    smooth = wanted.join(values, [*keys, "__j"]).groupBy(*keys, "__i").agg(F.sum(F.col("__w") * F.col("__y")).alias(out))
-    return rows.join(smooth, [*keys, "__i"]).drop("__i")
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    rows = attach_sizes(rows.withColumn("__i", F.col("__i") - 1), keys, sizes)
+    # where a sample shows up: its own place and its images at ... -1-i, 2n-1-i, i+2n ...
+    turns = F.ceil(F.lit(radius) / (2 * F.col("__n"))).cast("int")
+    images = F.flatten(F.transform(
+        F.sequence(-turns, turns),
+        lambda m: F.array(F.col("__i") + 2 * F.col("__n") * m, 2 * F.col("__n") * (m + 1) - 1 - F.col("__i"), 2 * F.col("__n") * m - 1 - F.col("__i")),
+    ))
+    reached = F.filter(F.array_distinct(images), lambda p: (p >= -radius) & (p < F.col("__n") + radius))
+    placed = rows.withColumn("__p", F.explode(reached))
+    own = F.floor(F.col("__p") / SMOOTH_ROWS)
+    spread = placed.withColumn("__b", F.explode(F.array_distinct(F.array(
+        own, F.floor((F.col("__p") - radius) / SMOOTH_ROWS), F.floor((F.col("__p") + radius) / SMOOTH_ROWS)
+    )))).withColumn("__own", (F.col("__p") == F.col("__i")) & (F.col("__b") == own))
+    w = Window.partitionBy(*keys, "__b").orderBy("__p")
+    total = F.lit(0.0)
+    for k in range(-radius, radius + 1):
+        total = total + raw[k + radius] / sum(raw) * F.lag(y, k).over(w)
+    return spread.withColumn(out, total).where("__own").select(*df.columns, out)
 
 
 def attach_sizes(rows: DataFrame, keys: Sequence[str], sizes: DataFrame) -> DataFrame:

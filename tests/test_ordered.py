@@ -86,6 +86,16 @@ def test_smoothing_keeps_a_constant_and_reflects(spark):
     assert all(r["s"] == pytest.approx(2.0) for r in got) and len(got) == 7
 
 
+@pytest.mark.parametrize("n", [1, 3, 19, 45, 130])
+def test_smoothing_matches_the_loop_over_buckets(spark, monkeypatch, n):
+    monkeypatch.setattr(O, "SMOOTH_ROWS", 25)
+    y = np.random.default_rng(n).normal(size=n)
+    got = [r["s"] for r in O.gaussian_smooth(series(spark, range(n), y), ["k"], "t", "y", "s").orderBy("t").collect()]
+    k = np.exp(-0.5 * (np.arange(-20, 21) / 5.0) ** 2)
+    padded = np.pad(y, 20, mode="symmetric")
+    assert got == pytest.approx(list(np.convolve(padded, k / k.sum(), mode="valid")))
+
+
 def test_peaks_and_their_neighbours_go(spark):
     got = W.remove_peaks(series(spark, range(7), [1, 1, 1, 9, 1, 1, 1]), ["k"], "t", "y", prominence=3.0).collect()
     assert sorted(r["t"] for r in got) == [0.0, 1.0, 5.0, 6.0]
