@@ -240,6 +240,15 @@ def frame_shifts(frames: DataFrame, keys: Sequence[str], t: str, ra: str, dec: s
     }).drop("before", "after", "__f")
 
 
+def stars_to_move(catalogue: DataFrame, match: DataFrame, reference: DataFrame, field: Sequence[str], key: str) -> DataFrame:
+    """Catalogue with its match's proper motion and the date its positions refer to.
+
+    ``reference``(field, jd) is the reference frame of each field.
+    """
+    with_motion = catalogue.drop("pmra", "pmdec").join(match.select(key, "pmra", "pmdec"), key, "left")
+    return attach(with_motion, field, reference.select(*field, F.col("jd").alias("catalogue_jd")))
+
+
 def motion_corrected(stars: DataFrame, from_jd, to_jd) -> DataFrame:
     """Catalogue with positions moved to a date."""
     ra, dec = propagate("ra", "dec", "pmra", "pmdec", as_col(from_jd), as_col(to_jd))

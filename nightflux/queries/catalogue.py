@@ -191,6 +191,17 @@ def _(spark, sf):
     return a.select("id", r("off_moved", 2).alias("off_moved"), r("off_unmoved", 2).alias("off_unmoved"), "verdict")
 
 
+@query("s22_stars_to_move", "S22 J04 C09 F13", SKR + """, rf AS (SELECT s_nationkey AS field, 2457389.0::DOUBLE + min(s_suppkey) AS jd FROM supplier GROUP BY 1),
+m AS (SELECT s.id, ra, dec, ref_pmra AS pmra, ref_pmdec AS pmdec, (2458389.0::DOUBLE - rf.jd) / 365.0 AS y FROM sky s LEFT JOIN sky_ref ON ref_id = s.id LEFT JOIN rf USING (field))
+SELECT id, round(coalesce(ra + pmra / 3.6e6 / cos(radians(dec)) * y, ra), 7) AS ra, round(coalesce(dec + pmdec / 3.6e6 * y, dec), 7) AS dec FROM m""")
+def _(spark, sf):
+    match = B.sky_ref(spark, sf).select(F.col("ref_id").alias("id"), F.col("ref_pmra").alias("pmra"), F.col("ref_pmdec").alias("pmdec"))
+    first = B.table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("field")).agg((2457389.0 + F.min("s_suppkey")).alias("jd"))
+    s = C.stars_to_move(B.sky(spark, sf), match, first, ["field"], "id")
+    moved = C.motion_corrected(s, "catalogue_jd", F.lit(2458389.0))
+    return moved.select("id", r("ra", 7).alias("ra"), r("dec", 7).alias("dec"))
+
+
 TRACK = with_(B.SERIES_SQL) + """, tr AS (SELECT series, event_id, t, (y * 0.0001::DOUBLE + 100) AS ra, (y * 0.00005::DOUBLE - 30) AS dec FROM series)"""
 
 

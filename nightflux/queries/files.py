@@ -280,13 +280,22 @@ def _(spark, sf):
     return spark.read.parquet(f"{path}/weights").join(n, "star_id").select("star_id", F.col("rank").cast("bigint").alias("rank"), "n_points")
 
 
-@query("k05_flat_text", "K05", with_(B.LC_SQL) + "SELECT frame - 2450000.0::DOUBLE AS jd, round(flux, 2) AS flux FROM lc WHERE star_id = 1")
+@query("k05_flat_text", "K05", with_(B.LC_SQL) + "SELECT star_id, frame - 2450000.0::DOUBLE AS jd, round(flux, 2) AS flux FROM lc")
 def _(spark, sf):
-    lc = B.lc(spark, sf).where("star_id = 1")
-    full = lc.select("jd", "flux", *[F.lit(0.0).alias(c) for c in K.FLAT_COLUMNS if c not in ("jd", "flux")])
+    lc = B.lc(spark, sf)
+    full = lc.select("star_id", "jd", "flux", *[F.lit(0.0).alias(c) for c in K.FLAT_COLUMNS if c not in ("jd", "flux")])
     path = scratch_path(spark, "flat")
-    K.write_flat_text(full, path)
-    return spark.read.csv(path, header=True).select(F.col("jd").cast("double").alias("jd"), r(F.col("flux").cast("double"), 2).alias("flux"))
+    K.write_flat_text(full, path, ["star_id"])
+    back = spark.read.csv(path, header=True)
+    return back.select(F.col("star_id").cast("bigint").alias("star_id"), F.col("jd").cast("double").alias("jd"), r(F.col("flux").cast("double"), 2).alias("flux"))
+
+
+@query("k10_curve_arrays", "K10 D7", with_(B.LC_SQL) + "SELECT star_id, count(*) AS n, min(jd) AS first_jd, max(jd) AS last_jd, round(max(flux), 2) AS top FROM lc GROUP BY star_id")
+def _(spark, sf):
+    path = scratch_path(spark, "curves")
+    K.write_curves(B.lc(spark, sf).select("star_id", "jd", "flux"), path, ["star_id"])
+    return spark.read.parquet(path).groupBy("star_id").agg(
+        F.count("*").alias("n"), F.min("jd").alias("first_jd"), F.max("jd").alias("last_jd"), r(F.max("flux"), 2).alias("top"))
 
 
 @query("k06_k12_series_and_masters", "K06 K12", """SELECT 'original' AS kind, count(*) AS n, round(sum(value), 2) AS total FROM events UNION ALL SELECT 'processed', count(*), round(sum(value), 2) FROM events WHERE value < 100

@@ -56,12 +56,21 @@ def write_products(tables: dict[str, DataFrame], path: str, run: Sequence[str])
         write_partitioned(df, f"{path}/{name}", list(run))
 
 
-def write_flat_text(curve: DataFrame, path: str) -> None:
-    """Flat light-curve text of fourteen columns, times minus 2450000."""
-    out = curve.withColumn("jd", F.col("jd") - JD_OFFSET).select(*FLAT_COLUMNS)
+def write_flat_text(curves: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
+    """Flat light-curve text of fourteen columns, times minus 2450000.
+
+    With ``keys`` many curves share the files, their keys in front.
+    """
+    out = curves.withColumn("jd", F.col("jd") - JD_OFFSET).select(*keys, *FLAT_COLUMNS)
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_curves(curves: DataFrame, path: str, keys: Sequence[str], t: str = "jd") -> None:
+    """All series of light curves, each in time order inside its file."""
+    ranged = curves.repartitionByRange(*keys, t).sortWithinPartitions(*keys, t)
+    ranged.write.mode("overwrite").parquet(path)
+
+
 def write_pwv(series: dict[str, DataFrame], path: str) -> None:
     """Original, processed and interpolated water series as partitions ``kind``."""
     whole = None
@@ -81,7 +90,7 @@ def write_masters(masters: dict[str, DataFrame], path: str) -> None:
 
 
 def write_sorted(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """Registry or curve in order (K10, K13, O11): a range-partitioned sort."""
+    """Registry in order (K13, O11): a range-partitioned sort."""
     df.orderBy(*order).write.mode("overwrite").parquet(path)
 
 
