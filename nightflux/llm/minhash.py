@@ -103,8 +103,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slack: f
 
     Equal sets form one node.  Each set gets a one-permutation signature with optimal
     densification and a key per band.  Within a bucket the candidate edges form stars: the first turn joins every
-    node to one centre; each later turn takes eight times as many centres, only in buckets that still hold
-    more than one component, until every node has been a centre.  So an edge count is bound by rows times
+    node to one centre, the same in all buckets of a group, the second to a centre of the bucket's own; each later turn takes
+    eight times as many centres, only in buckets that still hold more than one component, until every node has been a centre.  So an edge count is bound by rows times
     centres, and yet no pair of different components that shares a bucket stays unseen.  Pairs whose signatures agree in
     less than ``percent`` / 100 - ``slack`` of the bins (over four deviations below) are not looked at; the others are
     confirmed on the full sets.
@@ -139,10 +139,11 @@ def _linked(docs: DataFrame, marks: DataFrame, classes: DataFrame, members: Data
     sets = texts.select("text").mapInArrow(_sets(width), "node long, hashes array<long>").join(nodes, "node", "left_semi")
     sets = cut(sets.dropDuplicates(["node"]))
     label = nodes.withColumn("component", F.col("node"))
-    low, high = 0, 0
+    low, high, turn = 0, 0, 0
     while True:
+        order = F.xxhash64("node") if turn == 0 else F.xxhash64("key", "node")
         state = members.groupBy("key").agg(
-            F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), F.min(F.struct(F.xxhash64("node"), "node")).alias("hub"))
+            F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), F.min(F.struct(order.alias("o"), "node")).alias("hub"))
         state = cut(state.where((F.col("x") < F.col("y")) & (F.col("size") > low)).select("key", "size", "hub.node"))
         members = cut(members.join(state.select("key", "size", F.col("node").alias("hub")), "key"))
         if members.isEmpty():
@@ -158,7 +159,8 @@ def _linked(docs: DataFrame, marks: DataFrame, classes: DataFrame, members: Data
         joined = cut(joined.select(F.col("node").alias("component"), F.col("component").alias("root")))
         label = cut(label.join(joined, "component", "left").select("node", F.coalesce("root", "component").alias("component")))
         members = cut(members.select("key", "node").join(label, "node").select("key", "node", "component"))
-        low, high = high, 8 * high or 8
+        turn += 1
+        low, high = (0, 0) if turn == 1 else (0, 8) if turn == 2 else (high, 8 * high)
 
 
 def _confirmed(pairs: DataFrame, signs: DataFrame, sets: DataFrame, percent: int, slack: float) -> DataFrame:
