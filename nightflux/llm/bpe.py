@@ -84,6 +84,11 @@ def printable_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def steps(counts: list[int]) -> bytes:
+    """Differences as signed bytes; a token has far fewer than 127 characters to give back."""
+    return bytes([(b - a) & 255 for a, b in zip(counts, counts[1:])])
+
+
 class TextCounter:
     """Token counts of every prefix of whole texts, for a byte-level vocabulary file."""
 
@@ -98,7 +103,7 @@ class TextCounter:
         self.special = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
         self.merges = PrefixMerges(tokens, lambda a, b: rank.get((a, b)))
         self.word = Remember(self._word, 200_000)
-        self.unit = Remember(lambda piece: self._deltas(" " + piece), 400_000)
+        self.unit = Remember(self._unit, 400_000)
 
     def _word(self, word: str) -> list[int]:
         """Counts at each character of one split part, from the first."""
@@ -113,6 +118,11 @@ class TextCounter:
             out[1] = 2  # the cut contraction is an apostrophe and a letter
         return out
 
+    def _unit(self, piece: str) -> bytes:
+        """Deltas of a blank and what follows it up to the next one."""
+        word = " " + piece
+        return steps([0, *self._word(word)]) if piece.isalpha() else self._deltas(word)
+
     def _plain(self, text: str) -> list[int]:
         """Counts at 0 and each character of a text without special strings."""
         count, word = [0], self.word
@@ -135,7 +145,7 @@ class TextCounter:
             out += [base + x for x in upto[1:]] + [base + alone + 1]
             base, text = out[-1], text[at + len(special) :]
         out += [base + x for x in self._plain(text)[1:]]
-        return np.diff(out).astype(np.int8).tobytes()
+        return steps(out)
 
     def deltas(self, text: str | None) -> bytes:
         """For each character, by how much it changes the token count; their running sum is the count at each prefix."""

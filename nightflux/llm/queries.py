@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nightflux.llm.common import load
+from nightflux.llm.bpe import longest_fit, prefix_counts
+from nightflux.llm.common import held_out, load
 from nightflux.llm.minhash import near_duplicates
+from nightflux.llm.mixing import mix, word_count
+from nightflux.llm.pieces import decode, encode
+from nightflux.llm.toxicity import fit, score
+
+#: No source is read more often than this by the mixture; tokens of a training window.
+MAX_REPEATS, LIMIT = 2.0, 512
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,3 +30,30 @@ def query(fn):
 @query
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), width=4)
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    scorer = fit(docs, labels.where(~held_out(F.col("doc_id"))))
+    return score(docs, scorer).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mix(load(spark, sf_dir, "documents"), max_repeats=MAX_REPEATS)
+    return rows.select("doc_id", "source", word_count(F.col("text")).alias("n_words"), "block", "order_key")
+
+
+@query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = load(spark, sf_dir, "documents")
+    back = decode(encode(docs, path), path)
+    return back.select("doc_id", "n_pieces", "ids", F.length("text").cast("long").alias("n_chars_back"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query
+def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"), longest_fit(F.col("prefix"), LIMIT).alias("chars_within_limit"))
