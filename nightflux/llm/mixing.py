@@ -30,13 +30,15 @@ def exponent(totals: DataFrame, max_repeats: float | None = None, entropy: float
         raise ValueError("name one target: max_repeats or entropy")
     known = totals.where("tokens > 0").select(F.col("tokens").cast("double").alias("t"))
     known = cut(known.groupBy("t").agg(F.count("*").cast("double").alias("n")))  # equal totals weigh alike
-    whole = known.agg(F.sum(F.col("t") * F.col("n")).alias("whole"))
+    whole = known.agg(F.sum(F.col("t") * F.col("n"))).first()[0]
+    if whole is None:
+        return 1.0
     low, high = 0.0, 1.0
     for _ in range(HALVINGS // LEVELS):
         steps = 2**LEVELS
         grid = [low + (high - low) * k / steps for k in range(steps)]
-        p, a = F.col("t") / F.col("whole"), F.col("a")
-        rows = known.join(whole).select("*", F.explode(F.array(*map(F.lit, grid))).alias("a"))
+        p, a = F.col("t") / F.lit(whole), F.col("a")
+        rows = known.select("*", F.explode(F.array(*map(F.lit, grid))).alias("a"))
         sums = rows.groupBy("a").agg(
             F.sum(F.col("n") * F.pow(p, a)).alias("z"), F.sum(F.col("n") * F.pow(p, a) * F.log(p)).alias("s"),
             (F.pow(F.max(p) / F.min(p), 1 - F.max(a))).alias("repeats"))
@@ -57,10 +59,11 @@ def quotas(totals: DataFrame, a: float, budget: int | None = None) -> DataFrame:
     """
     t = F.col("tokens").cast("double")
     power = totals.withColumn("power", F.when(F.col("tokens") > 0, F.pow(t, F.lit(a))).otherwise(0.0))
-    sums = power.agg(F.sum("power").alias("z"), F.max(F.when(F.col("power") > 0, t / F.col("power"))).alias("unit"))
-    share = F.floor(F.col("unit") * F.col("power") + 1e-6) if budget is None else F.floor(budget * F.col("power") / F.col("z"))
+    z, unit = power.agg(F.sum("power"), F.max(F.when(F.col("power") > 0, t / F.col("power")))).first()
+    z, unit = z or 1.0, unit or 0.0
+    share = F.floor(unit * F.col("power") + 1e-6) if budget is None else F.floor(budget * F.col("power") / z)
     own = F.greatest(F.col("tokens"), share) if budget is None else share
-    rows = power.join(sums).select("source", "tokens", F.coalesce(F.col("power") / F.col("z"), F.lit(0.0)).alias("weight"), own.cast("long").alias("budget"))
+    rows = power.select("source", "tokens", (F.col("power") / z).alias("weight"), own.cast("long").alias("budget"))
     none = F.col("tokens") <= 0
     return rows.select(
         "*", F.when(none, 1).otherwise(F.floor(F.col("budget") / F.col("tokens"))).cast("long").alias("whole"),

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nightflux.llm import chat, kdtree, packing, pivots, warc
 from nightflux.llm.bpe import longest_fit, prefix_counts
-from nightflux.llm.common import held_out, load
+from nightflux.llm.common import Remember, held_out, load
 from nightflux.llm.minhash import near_duplicates
 from nightflux.llm.mixing import mix, word_count
 from nightflux.llm.pieces import decode, encode
 from nightflux.llm.toxicity import fit, score
+from nightflux.session import cut, scratch_path
 
 #: No source is read more often than this by the mixture; tokens of a training window.
 MAX_REPEATS, LIMIT = 2.0, 512
@@ -57,3 +61,62 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prefix_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"), longest_fit(F.col("prefix"), LIMIT).alias("chars_within_limit"))
+
+
+@query
+def op4_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(load(spark, sf_dir, "embeddings"), least=0.9)
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, done = scratch_path(spark, "warc-whole"), scratch_path(spark, "warc-members")
+    whole = warc.write_monolithic(warc.with_revisits(load(spark, sf_dir, "pages")), raw)
+    return warc.read(warc.normalise(whole, raw, done), done).drop("payload")
+
+
+@query
+def op7_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings")
+    return kdtree.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    log = chat.events_of(given.unionByName(more))
+    turns = cut(chat.formatted(log, ["turn", "role", "key", "row", "step"]))
+    return chat.digests(turns)
+
+
+class WordIds:
+    """Ids of whole texts from the library, with an end id; white space splits words, so a word's ids are remembered."""
+
+    def __init__(self, path: str, end: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library, self.end = Tokenizer.from_file(path), np.array([end], np.uint16).tobytes()
+        self.word = Remember(lambda w: np.array(self.library.encode(w, add_special_tokens=False).ids, np.uint16).tobytes(), 400_000)
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        word, end = self.word, self.end
+        return [np.frombuffer(b"".join([word[w] for w in (t or "").replace("\n", " ").split(" ")]) + end, np.uint16) for t in texts]
+
+
+_word_ids: list[WordIds] = []
+
+
+def word_ids() -> WordIds:
+    if not _word_ids:
+        _word_ids.append(WordIds(public_tokenizers.path("word_bpe_49k.json"), 1))
+    return _word_ids[0]
+
+
+@query
+def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "ids")
+    manifest = packing.write(load(spark, sf_dir, "documents"), folder, word_ids)
+    return packing.checksum(packing.read(manifest, folder))
