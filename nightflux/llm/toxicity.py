@@ -27,9 +27,11 @@ EDGE = "\x02"
 SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
 OUTER = " \t\r\n.,;:!?\"'()[]{}<>«»„“”‘’…-–—_*/\\"
 #: Lengths of the word starts that are features beside the whole word.
-STARTS = (4, 5, 6)
+STARTS = (4, 5, 6, 7, 8)
 #: Least log-odds and positive documents of a feature that counts as a sign of toxicity.
-LEAST_ODDS, LEAST_SEEN = 4.0, 10
+LEAST_ODDS, LEAST_SEEN = 2.0, 10
+#: A sign with these log-odds counts as strong.
+STRONG = 4.0
 
 
 class Channel:
@@ -144,25 +146,31 @@ def _counts(model: Channel):
 
 
 class Scorer:
-    """Finds the signs of toxicity in a text and scores it; a handful of numbers and two short lists."""
+    """Finds the signs of toxicity in a text and scores it; a list of signs with their log-odds and four weights."""
 
-    def __init__(self, channel: Channel, signs: set[str]):
+    def __init__(self, channel: Channel, signs: dict[str, float]):
         self.channel, self.signs, self.weights = channel, signs, np.zeros(4)
-        self.whole = [s[1:] for s in signs if s[0] == "=" and len(s) > 5]
+        self.whole = {f[1:]: w for f, w in signs.items() if f[0] == "=" and len(f) > 5 and w >= STRONG}
 
     def start(self) -> None:
-        self.memo = Remember(lambda token: any(f in self.signs for w in readings(token, self.channel) for f in features(w)), 400_000)
+        get = self.signs.get
+        self.memo = Remember(lambda token: max((get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0), 400_000)
 
     def measures(self, text: str | None) -> list[float]:
-        """1, and logarithms of: signs found, their rate per 100 words, distinct signs."""
+        """1, the logarithm of the distinct signs' summed excess, the strongest sign, the logarithm of strong signs per 100 words."""
         words = text.split() if text else []
         memo = self.memo
-        hits = [w for w in words if memo[w]]
+        odds = [memo[w] for w in words]
+        found = {w.strip(OUTER).lower(): x for w, x in zip(words, odds, strict=True) if x} if any(odds) else {}
+        strong = sum(x >= STRONG for x in odds)
         for run in SPACED.findall(text) if text and len(words) > 3 else []:
             plain = "".join(self.channel.restore(c) or c for c in run.lower().split(" ")) + " " + self.channel.restore(run.lower())
-            hits += [w for w in self.whole if w in plain]
-        n = len(hits)
-        return [1.0, math.log1p(n), math.log1p(100 * n / max(1, len(words))), math.log1p(len({w.strip(OUTER).lower() for w in hits}))]
+            for w, x in self.whole.items():
+                if w in plain:
+                    found[w] = x
+                    strong += 1
+        excess = sum(x - LEAST_ODDS for x in found.values())
+        return [1.0, math.log1p(excess), max(found.values(), default=0.0), math.log1p(100 * strong / max(1, len(words)))]
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
@@ -179,19 +187,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> Scorer:
     labels = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     total = {r.toxic: r.n for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(total) < 2:
-        return Scorer(channel, set())
+        return Scorer(channel, {})
     chosen = [labels.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
     chosen = cut(chosen[0].union(chosen[1]))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
     rows = cut(texts.join(chosen, "doc_id").select("doc_id", "text", "toxic"))
     n = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
-        return Scorer(channel, set())
+        return Scorer(channel, {})
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1.0)) - F.log((F.col("clean") + 0.5) / (n[0] + 1.0))
     found = rows.repartition("doc_id").select("text", "toxic").mapInArrow(_counts(channel), "feature string, clean long, toxic long")
     found = found.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     least = min(LEAST_SEEN, max(2, n[1] // 20))
-    signs = {r.feature for r in found.where((F.col("toxic") >= least) & (odds >= min(LEAST_ODDS, 0.6 * math.log(n[0] + 1)))).select("feature").collect()}
+    found = found.withColumn("odds", odds).where((F.col("toxic") >= least) & (F.col("odds") >= LEAST_ODDS))
+    signs = {r.feature: r.odds for r in found.select("feature", "odds").collect()}  # fewer than the sample's words
     scorer = Scorer(channel, signs)
     rows = measured(rows, scorer).select("toxic", "measures").collect()  # at most 2 * sample rows of a few numbers
     x, y = np.array([r.measures for r in rows]), np.array([float(r.toxic) for r in rows])
