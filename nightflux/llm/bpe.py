@@ -26,48 +26,80 @@ class PrefixMerges:
     """
 
     def __init__(self, tokens: dict[str, int], rank: Callable[[str, str], float | None]):
-        self.rank, self.longest = rank, max(map(len, tokens), default=0)
+        self.rank, self.number = rank, tokens
         self.automaton = ahocorasick.Automaton()
-        for token, number in tokens.items():
-            self.automaton.add_word(token, (len(token), token, number))
+        for token in tokens:
+            self.automaton.add_word(token, token)
         self.automaton.make_automaton()
-        self.fits = Remember(lambda pair: self.merged(pair[0] + pair[1]) == [x for x in pair if x])
-
-    def merged(self, text: str) -> list[str]:
-        """Plain merging, lowest rank first, leftmost of equals; used on the few characters of two tokens."""
-        parts = list(text)
-        while len(parts) > 1:
+        self.letters = {t for t in tokens if len(t) == 1}
+        self.made = Remember(self._made)
+        self.fits = Remember(self._fits, 500_000)
+
+    def _made(self, token: str) -> tuple[str, str, float] | None:
+        """The two tokens and the rank of a token's last merge; empty strings for a single sign, None if merging never makes it."""
+        parts, last = list(token), ("", "", float("-inf"))
+        while len(parts) > 1:  # plain merging: lowest rank first, leftmost of equals
             best = min(((r, i) for i in range(len(parts) - 1) if (r := self.rank(parts[i], parts[i + 1])) is not None), default=None)
             if best is None:
-                break
-            i = best[1]
+                return None
+            r, i = best
+            last = (parts[i], parts[i + 1], r)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        return last
+
+    def _fits(self, pair: tuple[str, str]) -> bool:
+        """Whether two neighbours stay two tokens.
+
+        The merges that made them are undone, last one first.  In each state that this passes, a merge over
+        the border must not have come before the one just undone; of equal ranks the left one comes first.
+        """
+        left, right = pair
+        own = self.made[right]
+        if not left or own is None:
+            return own is not None
+        other, limit, tied = self.made[left], float("inf"), False
+        while True:
+            over = self.rank(left, right)
+            if over is not None and (over < limit or tied and over == limit):
+                return False
+            if other[2] > own[2]:
+                left, limit, tied = other[1], other[2], False
+                other = self.made[left]
+            elif own[0]:
+                right, limit, tied = own[0], own[2], True
+                own = self.made[right]
+            else:
+                return True
 
-    def prefixes(self, text: str) -> tuple[list[int], list[tuple | None]]:
-        """Token count of each prefix, and (length, token, id) of its last token; an unknown character stands alone, without a token."""
+    def prefixes(self, text: str) -> tuple[list[int], list[str | None]]:
+        """Token count of each prefix and its last token; an unknown sign stands alone, its token is None."""
         n, fits = len(text), self.fits
-        last: list[tuple | None] = [None] * (n + 1)
+        last: list[str | None] = [""] + [None] * n
         count = [0] * (n + 1)
-        reached = 0
-        for end, found in self.automaton.iter(text):
-            while reached < end:  # characters in no token
-                reached += 1
-                if not count[reached]:
-                    count[reached] = count[reached - 1] + 1
+        known = self.letters.issuperset(text)
+        for end, token in self.automaton.iter(text):
             end += 1
             if last[end] is None:
-                start = end - found[0]
-                before = last[start]
-                if fits[(before[1] if before else "", found[1])]:
-                    last[end] = found
+                start = end - len(token)
+                if not known and last[start] is None:
+                    self._bridge(count, last, start)
+                if fits[last[start] or "", token]:
+                    last[end] = token
                     count[end] = count[start] + 1
-        while reached < n:
-            reached += 1
-            if not count[reached]:
-                count[reached] = count[reached - 1] + 1
+        if not known:
+            self._bridge(count, last, n)
         return count, last
 
+    @staticmethod
+    def _bridge(count: list[int], last: list[str | None], upto: int) -> None:
+        """Counts of the places before ``upto`` that no token ends at."""
+        start = upto
+        while start and not count[start]:
+            start -= 1
+        for k in range(start + 1, upto + 1):
+            if last[k] is None:
+                count[k] = count[k - 1] + 1
+
 
 #: White space as the Unicode property has it (fixed values).
 SPACE = r"\t-\r \x85\xa0  -     　"

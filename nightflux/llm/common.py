@@ -55,11 +55,14 @@ class Remember(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.store(key, value)
+        return value
+
+    def store(self, key, value) -> None:
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def batches(stream: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

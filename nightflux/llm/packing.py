@@ -218,7 +218,7 @@ def _read(folder: str):
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """``doc_id``, ``start`` and ``ids`` of every document in the files of a manifest."""
-    files = manifest.select("file", "start").repartition(F.col("file"))
+    files = manifest.select("file", "start").repartition(max(1, manifest.count()), "file")  # a task a file
     return files.mapInArrow(_read(folder), "doc_id long, start long, ids array<long>")
 
 
@@ -227,9 +227,10 @@ def checksum(ids: DataFrame) -> DataFrame:
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            found = [np.array(x, np.uint32) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("start"), pa.array([len(x) for x in found], pa.int64()),
-                pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+            ends = batch.column("ids").offsets.to_numpy()
+            data = memoryview(batch.column("ids").values.to_numpy().astype("<u4")).cast("B")
+            found = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(ends).astype(np.int64)), pa.array(found, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return ids.select("doc_id", "start", "ids").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

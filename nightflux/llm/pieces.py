@@ -96,9 +96,9 @@ class MergedPieces(PrefixMerges):
         last = self.prefixes(text)[1]
         out, n = [], len(text)
         while n:
-            size, number = (last[n][0], last[n][2]) if last[n] else (1, -1)
-            out.append((size, number))
-            n -= size
+            token = last[n]
+            out.append((len(token), self.number[token]) if token else (1, -1))
+            n -= out[-1][0]
         return out[::-1]
 
 
@@ -190,7 +190,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         own = model(path)
         for batch in batches(stream):
             ids = batch.column("ids")
-            texts = [None if x is None else own.decode(np.array(x, np.int32)) for x in ids.to_pylist()]
+            flat, ends, there = ids.values.to_numpy(), ids.offsets.to_numpy(), ids.is_valid().to_pylist()
+            texts = [own.decode(flat[ends[k] : ends[k + 1]]) if ok else None for k, ok in enumerate(there)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, "text"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)

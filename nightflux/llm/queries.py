@@ -92,18 +92,56 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class WordIds:
-    """Ids of whole texts from the library, with an end id; white space splits words, so a word's ids are remembered."""
+    """Ids of whole texts from the library, with an end id; white space splits words, so a word's ids are remembered.
+
+    The words that a batch brings anew go to the library together.
+    """
 
     def __init__(self, path: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library, self.end = Tokenizer.from_file(path), np.array([end], np.uint16).tobytes()
-        self.word = Remember(lambda w: np.array(self.library.encode(w, add_special_tokens=False).ids, np.uint16).tobytes(), 400_000)
+        self.word = Remember(lambda w: self._ids([w])[0], 500_000)
+        self.last = np.zeros(self.library.get_vocab_size(), bool)
+        self.last[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
+        self.tails = dict(zip(",.", self._ids([",", "."]), strict=True)) | {"": b""}
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        return [np.array(x.ids, np.uint16).tobytes() for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Remembers the ids of new words.  Plain ones (letters before U+0130, then perhaps a comma or full stop) go to the
+
+        library as one text, whose words end where its tokens say so; the others go there one by one.
+        """
+        plain, other = [], []
+        for w in new:
+            tail = w[-1] if w[-1:] in self.tails else ""
+            core = w[: len(w) - len(tail)]
+            if core.isalpha() and max(core) < "\u0130":
+                plain.append((w, core, tail))
+            else:
+                other.append(w)
+        if plain:
+            ids = np.array(self.library.encode(" ".join([core for _, core, _ in plain]), add_special_tokens=False).ids, np.uint16)
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            start = 0
+            for (w, _, tail), end in zip(plain, ends, strict=True):
+                self.word.store(w, ids[start:end].tobytes() + self.tails[tail])
+                start = end
+        for w, found in zip(other, self._ids(other), strict=True):
+            self.word.store(w, found)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        word, end = self.word, self.end
-        return [np.frombuffer(b"".join([word[w] for w in (t or "").replace("\n", " ").split(" ")]) + end, np.uint16) for t in texts]
+        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        word, new = self.word, set()
+        for p in parts:
+            new.update(p)
+        new = [w for w in new if w not in word and w not in word.old]
+        for k in range(0, len(new), 5000):
+            self._learn(new[k : k + 5000])
+        return [np.frombuffer(b"".join([word[w] for w in p]) + self.end, np.uint16) for p in parts]
 
 
 _word_ids: list[WordIds] = []

@@ -137,7 +137,7 @@ def normalise(manifest: DataFrame, source: str, target: str) -> DataFrame:
                         at, n = at + len(member), n + 1
                 yield pa.RecordBatch.from_arrays([pa.array([out.name]), pa.array([index.name]), pa.array([n], pa.int64())], ["file", "index", "records"])
 
-    return cut(manifest.repartition(F.col("file")).mapInArrow(run, "file string, index string, records long"))
+    return cut(manifest.repartition(max(1, manifest.count()), "file").mapInArrow(run, "file string, index string, records long"))
 
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
@@ -174,7 +174,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return manifest.repartition(F.col("file")).mapInArrow(run, schema)
+    return manifest.repartition(max(1, manifest.count()), "file").mapInArrow(run, schema)
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
