@@ -117,7 +117,7 @@ class WordIds:
         """
         plain, other = [], []
         for w in new:
-            tail = w[-1] if w[-1:] in self.tails else ""
+            tail = w[-1] if w.endswith((",", ".")) else ""
             core = w[: len(w) - len(tail)]
             if core.isalpha() and max(core) < "\u0130":
                 plain.append((w, core, tail))
