@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import as_col, cut, is_small
+from ..session import as_col, cut
 
 SKETCH_ACCURACY = 100_000
 BRACKET = 2.5 / SKETCH_ACCURACY
@@ -44,11 +44,11 @@ def medians(
 
     ``values`` maps output names to expressions; ``extra`` aggregates ride along in
     the first pass.  ``bounded=True`` is for groups whose size has a fixed limit
-    (a 50-frame chunk, a 3x3 cell): those use the built-in exact median directly, and
-    so do inputs small enough for one task as a whole.  Both ways are exact.
+    (a 50-frame chunk, a 3x3 cell): those use the built-in exact median directly.  Both
+    ways are exact, and a bracket that missed a middle rank on either side raises.
     """
     keys = list(keys)
-    if bounded or is_small(df):
+    if bounded:
         return df.groupBy(*keys).agg(*[F.median(as_col(v)).alias(k) for k, v in values.items()], *extra)
     rows = df.select("*", *[as_col(v).cast("double").alias(f"__q_v_{k}") for k, v in values.items()])
     first = []
@@ -67,6 +67,7 @@ def medians(
         second += [
             F.count_if(v < lo).alias(f"__q_below_{k}"),
             F.count_if(v == lo).alias(f"__q_at_{k}"),
+            F.count_if((v == hi) & (hi > lo)).alias(f"__q_top_{k}"),
             F.sort_array(F.collect_list(F.when((v > lo) & (v < hi), v))).alias(f"__q_in_{k}"),
             F.first(f"__q_n_{k}").alias(f"__q_n_{k}"),
             F.first(f"__q_b_{k}").alias(f"__q_b_{k}"),
@@ -80,7 +81,8 @@ def medians(
             F.when(at_rank < 0, F.raise_error(F.lit("median bracket missed its rank")).cast("double"))
             .when(at_rank < at, F.col(f"__q_b_{k}")[0])
             .when(at_rank - at < F.size(inside), F.get(inside, (at_rank - at).cast("int")))
-            .otherwise(F.col(f"__q_b_{k}")[1])
+            .when(at_rank - at - F.size(inside) < F.col(f"__q_top_{k}"), F.col(f"__q_b_{k}")[1])
+            .otherwise(F.raise_error(F.lit("median bracket missed its rank")).cast("double"))
         )
 
     out = []

@@ -18,11 +18,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import as_col, cut, is_small
+from ..session import as_col, cut
 
 BUCKET = "__bucket"
 BUCKET_ROWS = 1_000_000
-MAX_NARROWING = 12
 SMOOTH_ROWS = 20_000
 
 
@@ -34,19 +33,19 @@ def fitted_width(df: DataFrame, keys: Sequence[str], t: str, width: float, floor
     """A bucket width at which no (series, bucket) holds more than a task's worth of rows.
 
     Starts from ``width`` and narrows it while the fullest bucket is too full: one
-    counting aggregation and one number to the driver each time.  Small inputs keep
-    the given width.  ``floor`` is the narrowest width that may be used.
+    counting aggregation and one number to the driver each time.  It ends when no bucket is
+    too full, or when narrowing no longer thins the fullest one (equal times cannot be told
+    apart) or the ``floor`` is reached.
     """
-    if is_small(df):
-        return width
-    for _ in range(MAX_NARROWING):
+    last, stuck = None, 0
+    while True:
         counts = df.groupBy(*keys, F.floor(F.col(t) / F.lit(float(width))).alias(BUCKET)).count()
         top = counts.agg(F.max("count")).first()[0] or 0
         narrower = max(width / (2.0 * math.ceil(top / BUCKET_ROWS)), floor)
-        if top <= BUCKET_ROWS or narrower >= width:
-            break
-        width = narrower
-    return width
+        if top <= BUCKET_ROWS or narrower >= width or (last is not None and stuck >= 3):
+            return width
+        stuck = stuck + 1 if last == top else 0
+        last, width = top, narrower
 
 
 def carried(buckets: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -18,15 +18,16 @@ SUBPIXELS = 5
 
 
 def aperture_photometry(
-    pixels: DataFrame, stars: DataFrame, keys: Sequence[str], star: str, rcore: float, annulus: tuple[float, float]
+    pixels: DataFrame, stars: DataFrame, keys: Sequence[str], star: str, rcore: float, annulus: tuple[float, float], field: Sequence[str] = ()
 ) -> DataFrame:
     """Sky-subtracted flux in 13 apertures at catalogue positions.
 
-    ``pixels``(keys, y, x, adu); ``stars``(star, sx, sy).  A pixel counts by its
+    ``pixels``(keys, y, x, adu); ``stars``(field, star, sx, sy): ``field`` names the keys that a
+    frame shares with its stars, so that no star is measured on another field's frames.  A pixel counts by its
     centre.  Sky is the median of an annulus, whose pixels are bounded by its area.
     """
     reach = max(annulus[1], max(APERTURE_FACTORS) * rcore)
-    near = cut(within_plane(pixels, stars, [], ("x", "y"), ("sx", "sy"), reach).select(*keys, star, "adu", "dist"))
+    near = cut(within_plane(pixels, stars, list(field), ("x", "y"), ("sx", "sy"), reach).select(*keys, star, "adu", "dist"))
     ring = near.where(F.col("dist").between(*annulus))
     sky = medians(ring, [*keys, star], {"sky": "adu"}, bounded=True)
     sums = near.groupBy(*keys, star).agg(
@@ -46,7 +47,9 @@ def long_photometry(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
     return long.withColumn("ap", F.regexp_extract("__n", r"(\d+)$", 1).cast("int")).drop("__n")
 
 
-def psf_statistics(pixels: DataFrame, stars: DataFrame, keys: Sequence[str], star: str, region: str, half: float) -> DataFrame:
+def psf_statistics(
+    pixels: DataFrame, stars: DataFrame, keys: Sequence[str], star: str, region: str, half: float, field: Sequence[str] = ()
+) -> DataFrame:
     """FWHM along both axes and angle per frame and region.
 
     Cut-outs are scaled by their maximum, put on a grid of fifths of a pixel about the
@@ -54,7 +57,7 @@ def psf_statistics(pixels: DataFrame, stars: DataFrame, keys: Sequence[str], sta
     stated divergence).
     """
     reach = half * 1.4142135623730951
-    near = within_plane(pixels, stars, [], ("x", "y"), ("sx", "sy"), reach).where(
+    near = within_plane(pixels, stars, list(field), ("x", "y"), ("sx", "sy"), reach).where(
         (F.abs(F.col("x") - F.col("sx")) <= half) & (F.abs(F.col("y") - F.col("sy")) <= half)
     )
     near = cut(near.select(*keys, star, region, "adu", (F.col("x") - F.col("sx")).alias("dx"), (F.col("y") - F.col("sy")).alias("dy")))

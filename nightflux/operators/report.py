@@ -40,11 +40,14 @@ def chronological(summary: DataFrame, night: Sequence[str]) -> DataFrame:
 
 
 def health(frames: DataFrame, night: Sequence[str], target: str, t: str = "jd") -> DataFrame:
-    """Per-target medians averaged over the targets of a night, and the verdicts."""
+    """Per-target medians averaged over the targets of a night, and the verdicts.
+
+    Readout noise and dark current are those of the first frame that has both.
+    """
+    first = F.when(F.col("ron").isNotNull() & F.col("dark").isNotNull(), F.col(t))
     per_target = medians(
         frames, [*night, target], {"overscan": "overscan", "pa": "pa", "temp": "temp", "ellipticity": ellipticity_or_null("psf_a", "psf_b")},
-        F.min_by("ron", F.when(F.col("ron").isNotNull(), F.col(t))).alias("ron"),
-        F.min_by("dark", F.when(F.col("dark").isNotNull(), F.col(t))).alias("dark"),
+        F.min_by("ron", first).alias("ron"), F.min_by("dark", first).alias("dark"),
     )
     table = per_target.groupBy(*night).agg(
         *[F.avg(c).alias(c) for c in ("overscan", "pa", "temp", "ron", "dark")], F.max("ellipticity").alias("ellipticity")
@@ -99,9 +102,9 @@ def closure_flags(nights: DataFrame, closures: DataFrame) -> DataFrame:
 
 
 def shaking_flag(readings: DataFrame, keys: Sequence[str], t: str, tracking: str) -> DataFrame:
-    """Y where the night's last tracking value is above 1.2."""
+    """Y where the night's last tracking value is above 1.2, ``unknown`` where it is missing."""
     last = readings.groupBy(*keys).agg(F.max_by(tracking, t).alias("last_tracking"))
-    return last.withColumn("shaking", F.when(F.col("last_tracking") <= SHAKING_LIMIT, "N").otherwise("Y"))
+    return last.withColumn("shaking", F.when(F.col("last_tracking") <= SHAKING_LIMIT, "N").when(F.col("last_tracking") > SHAKING_LIMIT, "Y").otherwise(UNKNOWN))
 
 
 def within_runs(samples: DataFrame, summary: DataFrame, keys: Sequence[str], t: str) -> DataFrame:

@@ -15,7 +15,6 @@ from .grouped import attach, medians
 from .ordered import first_per_time, linked
 
 # Fixed values
-MAX_AXIS, MAX_BROADCAST_NODES = 1000, 200_000
 MIN_PWV_MM = 0.05
 MARGIN_DAYS = 2.0 / 24.0
 PWV_AXIS = [0.05, 0.1, 0.25, 0.5, 1.0, 1.5, 2.5, 3.5, 5.0, 7.5, 10.0, 20.0, 30.0]
@@ -50,12 +49,9 @@ def clean_series(pwv: DataFrame, keys: Sequence[str], t: str, order: Sequence[Co
 
 
 def axis_values(grid: DataFrame, name: str) -> list[float]:
-    """The sorted values of one grid axis.  An axis is a fixed handful of values; the
-    grid is refused as a lattice where it has more than ``MAX_AXIS``."""
-    values = [row[0] for row in grid.select(name).distinct().orderBy(name).limit(MAX_AXIS + 1).collect()]
-    if len(values) > MAX_AXIS:
-        raise ValueError(f"axis {name} has more than {MAX_AXIS} values: not a look-up lattice")
-    return values
+    """The sorted values of one grid axis.  The axes of the filter grid are
+    fixed lists; callers with another lattice name theirs in ``axes``."""
+    return [row[0] for row in grid.select(name).distinct().orderBy(name).collect()]
 
 
 def _array(values: list[float]) -> str:
@@ -112,21 +108,18 @@ def grid_lookup(
 
     ``dims`` maps grid axes to row expressions.  Each row finds its lattice cell by
     comparing against the axis values and meets the cell's corners in one equality
-    join, broadcast when the lattice is small; rows are neither multiplied nor moved.
+    join; rows are neither multiplied nor moved.
     Outside the grid the result is NULL.  The usual method is a cubic surface in two
     axes; linear is a stated divergence.
     """
     axes = axes or {d: axis_values(grid, d) for d in dims}
     cells = lattice_cells(grid, axes, value)
-    nodes = 1
-    for v in axes.values():
-        nodes *= len(v)
     rows = df
     for d, expr in dims.items():
         rows = rows.withColumn(f"__x_{d}", as_col(expr))
     rows = with_position(rows, {f"__i_{d}": (f"__x_{d}", ax) for d, ax in axes.items()})
     index = [f"__i_{d}" for d in dims]
-    joined = rows.join(F.broadcast(cells) if nodes <= MAX_BROADCAST_NODES else cells, index, "left")
+    joined = rows.join(cells, index, "left")
     joined = joined.withColumns({
         f"__w_{d}": F.expr(f"CASE WHEN __hi_{d} IS NULL THEN 0.0D ELSE (__x_{d} - __lo_{d}) / (__hi_{d} - __lo_{d}) END") for d in dims
     })

@@ -45,11 +45,13 @@ def differential_photometry(
     """From condensed fluxes to differential light curves.
 
     ``lc``(run, ap, star_id, jd, flux, peak); ``frames``(jd, exptime, gain, airmass, sky,
-    ron, height); ``stars``(star_id, ra, dec in radians); ``targets``(run, star_id).
+    ron, height); ``stars``(star_id, ra, dec in radians); ``targets``(run, star_id).  Run columns that
+    ``frames`` and ``stars`` hold too are part of their keys: runs whose times or star numbers coincide stay apart.
     """
     run, s = list(run), settings or Settings()
-    env = frames.select("jd", "exptime", "gain", "airmass", "sky", "ron", "height")
-    base = lc.withColumn("flux", positive_flux("flux")).join(env, "jd")
+    night, field = [c for c in run if c in frames.columns], [c for c in run if c in stars.columns]
+    env = frames.select(*night, "jd", "exptime", "gain", "airmass", "sky", "ron", "height")
+    base = lc.withColumn("flux", positive_flux("flux")).join(env, [*night, "jd"])
     base = cut(normalise(cut(base), [*run, "star_id"], "flux", "nflux"))
 
     flags = cut(quality_flags(base, [*run, "star_id"], "exptime", s.saturation))
@@ -60,8 +62,9 @@ def differential_photometry(
     weights = weights.join(is_target, [*run, "star_id"], "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
 
     # distance of every star from the target of its run
-    here = targets.select(*run, F.col("star_id").alias("__t")).join(stars.select(F.col("star_id").alias("__t"), F.col("ra").alias("__ra"), F.col("dec").alias("__dec")), "__t")
-    weights = attach(weights.join(stars.select("star_id", "ra", "dec"), "star_id"), run, here.select(*run, "__ra", "__dec"))
+    here = targets.select(*run, F.col("star_id").alias("__t"))
+    here = here.join(stars.select(*field, F.col("star_id").alias("__t"), F.col("ra").alias("__ra"), F.col("dec").alias("__dec")), [*field, "__t"])
+    weights = attach(weights.join(stars.select(*field, "star_id", "ra", "dec"), [*field, "star_id"]), run, here.select(*run, "__ra", "__dec"))
     weights = cut(weights.withColumn("sep", separation("ra", "dec", "__ra", "__dec")).drop("ra", "dec", "__ra", "__dec"))
 
     target_mag = weights.where("is_target").select(*run, F.col("mag").alias("target_mag"))
@@ -85,17 +88,19 @@ def differential_photometry(
     curves = E.differential(base.select(*run, "star_id", "jd", "flux", "nflux"), ensemble, run)
     comparison = E.comparison_series(base.select(*run, "star_id", "jd", "flux"), final, run).select(*run, "jd", "comp", "comp_flux")
     marked = bad_weather_mask(ensemble.select(*run, "jd", "nlc"), run, "jd", "nlc", s.weather_box, s.weather_limit, s.bucket)
-    mean_ron = frames.agg(F.avg("ron").alias("__ron"))
+    mean_ron = frames.groupBy(*night).agg(F.avg("ron").alias("__ron"))
     t = target_lc.select(*run, "ap", "star_id", "jd", "flux", "exptime", "gain", "airmass", "sky", "height")
     t = t.join(comparison, [*run, "jd"], "left").join(marked.select(*run, "jd", "bad"), [*run, "jd"], "left")
-    t = attach(t, [], mean_ron).withColumn("__r", aperture_radius("ap", F.lit(s.rcore)))
+    # the noise model takes the brightness of a whole series: medians over the target's frames
+    typical = cut(medians(cut(t), [*run, "star_id"], {"__flux": "flux", "__comp": "comp_flux"}))
+    t = attach(attach(t, [*run, "star_id"], typical), night, mean_ron).withColumn("__r", aperture_radius("ap", F.lit(s.rcore)))
 
     def noise(flux: str):
         mag = instrumental_magnitude(flux, "gain", "exptime")
         return noise_model(mag, "exptime", "airmass", "sky", "gain", "__ron", "__r", "height")
 
     diff = curves.join(targets.select(*run, "star_id"), [*run, "star_id"]).select(*run, "star_id", "jd", "diff")
-    t = t.join(diff, [*run, "star_id", "jd"], "left").withColumn("error", differential_error("diff", noise("flux"), noise("comp_flux")))
+    t = t.join(diff, [*run, "star_id", "jd"], "left").withColumn("error", differential_error("diff", noise("__flux"), noise("__comp")))
     # "ap" may be one of the run columns
     target = t.select(*run, "star_id", "jd", "diff", "error", "bad")
     ranked = E.weight_order(final.unionByName(weights.where("is_target").withColumn("weight", F.lit(0.0)), allowMissingColumns=True), run, F.col("is_target"))

@@ -21,7 +21,7 @@ def products(spark, sf, by_aperture):
     k = F.col("s_suppkey")
     stars = B.table(spark, sf, "supplier").select(k.alias("star_id"), (F.sin(k) / 100).alias("ra"), (F.cos(k) / 100).alias("dec"))
     targets = lc.where("star_id = 1").select("ap", "star_id").distinct()
-    s = Settings(bin_width=6.0, weather_box=6.0, weather_limit=0.3, bucket=50.0, rounds=3, tolerance=1e-9, saturation=100000.0)
+    s = Settings(bin_width=6.0, weather_box=6.0, weather_limit=0.3, bucket=50.0, saturation=100000.0)
     return differential_photometry(lc.drop("frame"), B.env(spark, sf).drop("frame"), stars, targets, ["ap"], s)
 
 

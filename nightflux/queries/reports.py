@@ -34,7 +34,7 @@ def _(spark, sf):
 
 
 @query("a25_a26_health", "A25 A26 W14", with_(NF) + f""", p AS (SELECT night, target, median(overscan) AS o, median(pa) AS pa, median(temp) AS t, median({ELL}) AS e,
-  arg_min(ron, jd) FILTER (WHERE ron IS NOT NULL) AS ron, arg_min(dark, jd) FILTER (WHERE dark IS NOT NULL) AS dark FROM nf GROUP BY ALL),
+  arg_min(ron, jd) FILTER (WHERE ron IS NOT NULL AND dark IS NOT NULL) AS ron, arg_min(dark, jd) FILTER (WHERE ron IS NOT NULL AND dark IS NOT NULL) AS dark FROM nf GROUP BY ALL),
 n AS (SELECT night, avg(o) AS o, avg(pa) AS pa, avg(t) AS t, avg(ron) AS ron, avg(dark) AS dark, max(e) AS e FROM p GROUP BY night)
 SELECT night, round(o, 5) AS overscan, round(ron, 5) AS ron, round(dark, 5) AS dark, round(e, 5) AS ellipticity,
   CASE WHEN abs(o - 300) <= 2 THEN 'OK' ELSE 'CHECK' END AS overscan_state, CASE WHEN abs(ron - 6.5) <= 1.5 THEN 'OK' WHEN ron IS NOT NULL THEN 'CHECK' END AS ron_state,

@@ -36,8 +36,8 @@ def build_session(app: str = "nightflux", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as ``spark.checkpoint.dir`` names it.
 
-    Only where neither the setting nor a checkpoint folder exists (tests, local
-    runs) is a folder of our own made and set.
+    Where neither the setting nor a checkpoint folder exists, a local session (tests) gets a folder of
+    its own; on a cluster that is an error, as each executor would write to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -46,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named
     if current is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         own = tempfile.mkdtemp(prefix="nightflux-")
         spark.sparkContext.setCheckpointDir(own)
         spark.conf.set("spark.checkpoint.dir", own)
@@ -69,23 +71,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-SMALL_BYTES_KEY, SMALL_BYTES = "spark.nightflux.smallBytes", 128 * 1024 * 1024
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the optimizer's size bound of the rows fits one task with room to spare.
-
-    File sizes bound scans and stored tables; joins and explodes only raise the
-    estimate, so a doubtful table counts as large.  ``spark.nightflux.smallBytes`` moves the limit
-    (0 turns the short cut off).
-    """
-    limit = int(df.sparkSession.conf.get(SMALL_BYTES_KEY, str(SMALL_BYTES)))
-    if limit <= 0:
-        return False
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing values are NULL everywhere in this library; ingest maps NaN to NULL."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]

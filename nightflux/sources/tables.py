@@ -151,15 +151,16 @@ def tile_index(spark: SparkSession, path) -> DataFrame:
 
 
 def tiles_for(positions: DataFrame, index: DataFrame) -> DataFrame:
-    """The first tile (by name) holding each position (S18); tiles are whole-degree boxes,
-    joined on the degree they cover."""
+    """Each position with the first tile (by name) that holds it, NULL outside all.
+
+    Tiles are whole-degree boxes, joined on the degree they cover; repeated positions keep their rows."""
     def span(a, b):
         return F.explode(F.sequence(F.floor(a).cast("int"), F.floor(b).cast("int")))
 
     cells = index.withColumn("__i", span("ra_min", "ra_max")).withColumn("__j", span("dec_min", "dec_max"))
-    p = positions.withColumn("__i", F.floor("ra").cast("int")).withColumn("__j", F.floor("dec").cast("int"))
+    p = positions.select("ra", "dec").distinct().withColumn("__i", F.floor("ra").cast("int")).withColumn("__j", F.floor("dec").cast("int"))
     hit = p.join(cells, ["__i", "__j"]).where("ra >= ra_min AND ra < ra_max AND dec >= dec_min AND dec < dec_max")
-    return hit.groupBy(*positions.columns).agg(F.min("tile").alias("tile"))
+    return positions.join(hit.groupBy("ra", "dec").agg(F.min("tile").alias("tile")), ["ra", "dec"], "left").select(*positions.columns, "tile")
 
 
 def run_registry(spark: SparkSession, path) -> DataFrame:

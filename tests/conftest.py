@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from nightflux.session import SMALL_BYTES, SMALL_BYTES_KEY, build_session  # noqa: E402
+from nightflux.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,11 +20,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-@pytest.fixture(params=[0, SMALL_BYTES], ids=["large-data path", "small-data path"])
-def both_paths(request, spark):
-    """Runs a test with and without the small-input short cut."""
-    spark.conf.set(SMALL_BYTES_KEY, str(request.param))
-    yield spark
-    spark.conf.set(SMALL_BYTES_KEY, str(SMALL_BYTES))

@@ -11,28 +11,28 @@ def rows(spark, groups):
     return spark.createDataFrame([(k, float(v) if v is not None else None) for k, vs in groups.items() for v in vs], "k string, v double")
 
 
-def test_median_matches_numpy_with_hot_group_and_ties(both_paths):
+def test_median_matches_numpy_with_hot_group_and_ties(spark):
     rng = np.random.default_rng(1)
     groups = {"hot": rng.normal(size=20001), "even": rng.normal(size=10), "ties": [3.0] * 50 + [4.0] * 50, "one": [7.0], "two": [1.0, 2.0],
               "heavy": np.repeat([1.0, 2.0, 9.0], [500, 2, 499])}
-    got = {r["k"]: r["m"] for r in G.medians(rows(both_paths, groups), ["k"], {"m": "v"}).collect()}
+    got = {r["k"]: r["m"] for r in G.medians(rows(spark, groups), ["k"], {"m": "v"}).collect()}
     for k, v in groups.items():
         assert got[k] == pytest.approx(float(np.median(v)), abs=0), k
 
 
-def test_median_skips_null_and_keeps_empty_groups(both_paths):
-    got = {r["k"]: r["m"] for r in G.medians(rows(both_paths, {"a": [1, 2, None, 10, 3, 4], "n": [None, None]}), ["k"], {"m": "v"}).collect()}
+def test_median_skips_null_and_keeps_empty_groups(spark):
+    got = {r["k"]: r["m"] for r in G.medians(rows(spark, {"a": [1, 2, None, 10, 3, 4], "n": [None, None]}), ["k"], {"m": "v"}).collect()}
     assert got == {"a": 3.0, "n": None}
 
 
-def test_several_medians_and_extra_aggregates_without_keys(both_paths):
-    df = both_paths.range(101).select(F.col("id").cast("double").alias("v"))
+def test_several_medians_and_extra_aggregates_without_keys(spark):
+    df = spark.range(101).select(F.col("id").cast("double").alias("v"))
     r = G.medians(df, [], {"a": "v", "b": F.col("v") * 2}, F.count("*").alias("n")).first()
     assert (r["a"], r["b"], r["n"]) == (50.0, 100.0, 101)
 
 
-def test_normalise_ignores_low_values_in_the_median_only(both_paths):
-    got = G.normalise(rows(both_paths, {"a": [0.0, -1.0, 2.0, 4.0, None]}), ["k"], "v", "n").collect()
+def test_normalise_ignores_low_values_in_the_median_only(spark):
+    got = G.normalise(rows(spark, {"a": [0.0, -1.0, 2.0, 4.0, None]}), ["k"], "v", "n").collect()
     assert sorted((r["v"], r["n"]) for r in got if r["v"] is not None) == [(-1.0, -1 / 3), (0.0, 0.0), (2.0, 2 / 3), (4.0, 4 / 3)]
     assert [r["n"] for r in got if r["v"] is None] == [None]
 
@@ -49,16 +49,16 @@ def clip_by_hand(values, k, rounds=None):
 
 
 @pytest.mark.parametrize("limit", [None, 1, 5])
-def test_interval_clip_equals_the_loop(both_paths, limit):
+def test_interval_clip_equals_the_loop(spark, limit):
     rng = np.random.default_rng(2)
     groups = {"a": np.concatenate([rng.normal(size=300), [50, 60, -70, 8]]), "b": np.concatenate([rng.exponential(size=200), [30.0]]), "c": [5.0] * 9}
-    got = G.sigma_clip(rows(both_paths, groups), ["k"], "v", "c", sigma=3.0, max_rounds=limit).where("c IS NOT NULL").collect()
+    got = G.sigma_clip(rows(spark, groups), ["k"], "v", "c", sigma=3.0, max_rounds=limit).where("c IS NOT NULL").collect()
     for k, v in groups.items():
         assert sorted(r["c"] for r in got if r["k"] == k) == pytest.approx(clip_by_hand(v, 3.0, limit)), k
 
 
-def test_constant_data_is_never_clipped(both_paths):
-    assert G.sigma_clip(rows(both_paths, {"a": [2.0] * 5}), ["k"], "v", "c").where("c IS NULL").count() == 0
+def test_constant_data_is_never_clipped(spark):
+    assert G.sigma_clip(rows(spark, {"a": [2.0] * 5}), ["k"], "v", "c").where("c IS NULL").count() == 0
 
 
 @pytest.mark.parametrize("limit", [None, 1, 5])
@@ -70,8 +70,8 @@ def test_array_clip_equals_the_loop(spark, limit):
     assert got[0] == pytest.approx(clip_by_hand(vs, 3.0, limit)) and got[1:] == [[1.0], [2.0, 2.0]]
 
 
-def test_clip_is_monotone(both_paths):
+def test_clip_is_monotone(spark):
     rng = np.random.default_rng(4)
-    df = rows(both_paths, {"a": np.concatenate([rng.normal(size=200), rng.normal(scale=20, size=20)])})
+    df = rows(spark, {"a": np.concatenate([rng.normal(size=200), rng.normal(scale=20, size=20)])})
     kept = [G.sigma_clip(df, ["k"], "v", "c", sigma=3.0, max_rounds=n).where("c IS NOT NULL").count() for n in (1, 2, 5, None)]
     assert kept == sorted(kept, reverse=True)
