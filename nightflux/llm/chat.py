@@ -32,17 +32,23 @@ def unescape(text: str) -> str:
 
 def render(role: str, text: str) -> tuple[str, int, int]:
     """A turn in the template, and where its text starts and ends (both 0 without loss), in code points."""
-    head = OPEN + escape(role.capitalize() if role.capitalize().lower() == role else role) + MIDDLE
+    head = OPEN + escape(_shown(role)) + MIDDLE
     body = escape(text)
     start = len(head) if role == ROLE_LOSS else 0
     return head + body + CLOSE, start, start + len(body) if start else 0
 
 
+def _shown(role: str) -> str:
+    """Lower-case roles with a capital; others, which that would not give back, after an equals sign."""
+    capital = role.capitalize()
+    return capital if capital.lower() == role and not role.startswith("=") else "=" + role
+
+
 def parse(turn: str) -> tuple[str, str]:
     """Role and text back from a rendered turn."""
     at = next(m.start() for m in re.finditer(": ", turn) if turn[m.start() - 1] != ESCAPE or _even(turn, m.start()))
     shown = unescape(turn[len(OPEN) : at])
-    role = shown.lower() if shown.lower().capitalize() == shown else shown
+    role = shown[1:] if shown.startswith("=") else shown.lower()
     return role, unescape(turn[at + len(MIDDLE) : len(turn) - len(CLOSE)])
 
 

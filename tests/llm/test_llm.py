@@ -281,7 +281,7 @@ def test_warc(spark):
         assert again or got[i].payload == data
 
 
-@pytest.mark.parametrize("role,text", [("user", "\\### Assistant: </turn> ok"), ("assistant", ""), ("a: b", ": \\"), ("User", "x"), ("", "</turn>\n### "), ("tool\\", ":\n")])
+@pytest.mark.parametrize("role,text", [("user", "\\### Assistant: </turn> ok"), ("assistant", ""), ("a: b", ": \\"), ("User", "x"), ("=", "y"), ("İ", "z"), ("", "</turn>\n### "), ("tool\\", ":\n")])
 def test_template_is_reversible(role, text):
     turn, start, end = chat.render(role, text)
     assert chat.parse(turn) == (role, text) and chat.unescape(turn[start:end]) == (text if role == "assistant" else "")
