@@ -110,9 +110,12 @@ def master_flat(frames: DataFrame, scales: DataFrame, keys: Sequence[str]) -> Da
 
 
 def calibrate(frames: DataFrame, flat: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Corrected science pixels over the flat of their filter; no flat leaves them as they are."""
-    f = attach(frames, [*keys, *PIXEL], flat.select(*keys, *PIXEL, "flat"))
-    return f.withColumn("reduced", F.when(F.coalesce("flat", F.lit(0.0)) != 0, F.col("c") / F.col("flat")).otherwise(F.col("c"))).drop("flat", "c")
+    """Corrected science pixels over the flat of their filter.
+
+    Frames of a filter without a flat are left out; where the flat is 0 the value is NULL.
+    """
+    f = frames.join(flat.select(*keys, *PIXEL, "flat"), [*keys, *PIXEL])
+    return f.withColumn("reduced", F.try_divide("c", "flat")).drop("flat", "c")
 
 
 def stack_median(pixels: DataFrame, chosen: DataFrame, keys: Sequence[str], value: str = "adu") -> DataFrame:

@@ -152,23 +152,26 @@ def blended(stars: DataFrame, keys: Sequence[str], key: str, x: str, y: str, rad
     return crowded.unionByName(near.select(*keys, F.col("__k").alias(key))).distinct()
 
 
-def nearest_other(stars: DataFrame, keys: Sequence[str], x: str, y: str, radius: float, fine: float | None = None) -> DataFrame:
-    """Distance to the nearest other star within ``radius`` (O10); repeated positions have 0.
+def nearest_other(stars: DataFrame, keys: Sequence[str], x: str, y: str, radius: float) -> DataFrame:
+    """Distance of every star to the nearest other star of its group as column ``nearest``.
 
-    Crowded places are settled with a smaller radius first.
+    Repeated positions have 0; a star alone in its group or without a finite position has NULL.
+    Crowded places are settled within ``radius``; it doubles for stars still without a neighbour until all have one.
     """
     keys = list(keys)
-    spots = cut(stars.groupBy(*keys, x, y).agg(F.count("*").alias("__n")))
-    same = spots.where("__n > 1").select(*keys, x, y, F.lit(0.0).alias("nearest"))
-    todo = spots.where("__n = 1").drop("__n")
+    spots = stars.where((F.col(x) - F.col(x) == 0) & (F.col(y) - F.col(y) == 0))
+    spots = cut(spots.groupBy(*keys, x, y).agg(F.count("*").alias("__n")))
+    out = spots.where("__n > 1").select(*keys, x, y, F.lit(0.0).alias("nearest"))
+    size = spots.groupBy(*keys).agg(F.count("*").alias("__size"))
+    todo = cut(attach(spots.where("__n = 1"), keys, size).where("__size > 1").drop("__n", "__size"))
     others = spots.select(*keys, F.col(x).alias("__ox"), F.col(y).alias("__oy"))
-    out = same
-    for r in [fine, radius] if fine else [radius]:
-        pairs = within_plane(todo, others, keys, (x, y), ("__ox", "__oy"), r).where(F.col("dist") > 0)
+    while not todo.isEmpty():
+        pairs = within_plane(todo, others, keys, (x, y), ("__ox", "__oy"), radius).where(F.col("dist") > 0)
         hit = cut(pairs.groupBy(*keys, x, y).agg(F.min("dist").alias("nearest")))
         out = out.unionByName(hit)
-        todo = todo.join(hit, [*keys, x, y], "left_anti")
-    return out
+        todo = cut(todo.join(hit, [*keys, x, y], "left_anti"))
+        radius = 2 * radius
+    return stars.join(out, [*keys, x, y], "left")
 
 
 def plate_match(refs: DataFrame, detections: DataFrame, keys: Sequence[str], radius: float = PLATE_MATCH_PIXELS) -> DataFrame:

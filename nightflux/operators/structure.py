@@ -16,10 +16,12 @@ from .ordered import gaussian_smooth, top_per_group
 MAG_BINS = (12.0, 18.0, 0.5)
 FAINT_LIMIT_FOR_OUTLIERS, BRIGHT_OUTLIER = 15.0, -5.0
 COEFFICIENT_RANGE = (-30.0, 10.0)
-FIT_RANGE = (-5.0, 5.0)
 MAG_BELOW, MAG_ABOVE, MAG_TOP = 2.0, 1.0, 17.0
 STRUCTURE_LIMIT = 0.0002
-HEAVIEST, SIGMA_SAMPLES = 5, 5.0
+HEAVIEST, SIGMA_SAMPLES = 4, 5.0
+LOW_BINS = (13.0, 0.3, 16)
+BINNED_RANGE = (-15.0, 5.0)
+EVALUATED = (11.0, 18.0, 999)
 
 
 def line_fit(df: DataFrame, keys: Sequence[str], y: str, model: str) -> DataFrame:
@@ -52,22 +54,29 @@ def _placed(stars: DataFrame, mag: str, a: str, step: float) -> DataFrame:
     )
 
 
-def lowest_coefficients(stars: DataFrame, keys: Sequence[str], mag: str, a: str, tie: str, step: float = 0.3, n: int = 5) -> DataFrame:
-    """Median of the five smallest coefficients per magnitude bin (A30, second flavour)."""
-    low = top_per_group(_placed(stars, mag, a, step), [*keys, "mag_bin"], [a, tie], n)
+def lowest_coefficients(stars: DataFrame, keys: Sequence[str], mag: str, a: str, tie: str, n: int = 5) -> DataFrame:
+    """Median of the five smallest coefficients per magnitude bin (A30, second flavour).
+
+    Bins lie between edges, open at both, and are named by their middle; no outlier is kept out.
+    """
+    first, step, bins = LOW_BINS
+    k = F.floor((F.col(mag) - first) / step)
+    placed = stars.withColumn("mag_bin", F.round(first + step / 2 + step * k, 6)).where((k >= 0) & (k < bins) & (F.col(mag) > first + step * k))
+    low = top_per_group(placed, [*keys, "mag_bin"], [a, tie], n)
     return medians(low, [*keys, "mag_bin"], {"a_median": a}, bounded=True)  # at most n rows each
 
 
 def weighted_line(df: DataFrame, keys: Sequence[str], x: str, y: str, weight: Column | str) -> DataFrame:
-    """Straight line with weights on the residuals (their squares in the sums; A32)."""
+    """Straight line with weights on the residuals (their squares in the sums; A32); a single x gives the line of least norm."""
     w = as_col(weight) * as_col(weight)
     x, y = F.col(x), F.col(y)
     mean = df.groupBy(*keys).agg(F.sum(w).alias("__w"), (F.sum(w * x) / F.sum(w)).alias("__mx"), (F.sum(w * y) / F.sum(w)).alias("__my"))
     dx, dy = x - F.col("__mx"), y - F.col("__my")
     s = attach(df, keys, mean).groupBy(*keys).agg(
-        (F.sum(w * dx * dy) / F.sum(w * dx * dx)).alias("slope"), F.first("__mx").alias("__mx"), F.first("__my").alias("__my"),
+        F.try_divide(F.sum(w * dx * dy), F.sum(w * dx * dx)).alias("slope"), F.first("__mx").alias("__mx"), F.first("__my").alias("__my"),
         F.count("*").alias("n"),
     )
+    s = s.withColumn("slope", F.coalesce("slope", F.try_divide(F.col("__my"), 2 * F.col("__mx"))))
     return s.withColumn("intercept", F.col("__my") - F.col("slope") * F.col("__mx")).drop("__mx", "__my")
 
 
@@ -105,25 +114,29 @@ def correct_structure(
 ) -> DataFrame:
     """Remove the common structure from the target.
 
-    Every star is fitted with the structure, the coefficient is fitted against
-    magnitude near the target, and where the structure is large enough the target is
-    divided by 1 + a0 + fit(mag) (model - 1).  ``stars``(star_id, mag, saturated);
-    ``target``(run, jd, diff, mag).
+    Every star is fitted with the structure, the bins of the coefficients (A30, target included) are
+    fitted against magnitude near the target, and where the structure is large enough the target is
+    divided by 1 + a0 + fit(mag) (model - 1).  Without a bin near the target it stays as it is.
+    ``stars``(star_id, mag, saturated); ``target``(run, jd, diff, mag).
     """
     m = smooth.select(*run, "jd", "smooth")
     fits = line_fit(diff.join(m, [*run, "jd"]), [*run, "star_id"], y, "smooth")
     own = line_fit(target.join(m, [*run, "jd"]), run, y, "smooth").select(*run, F.col("a0").alias("__a0"), F.col("a1").alias("__a1"))
     tmag = target.groupBy(*run).agg(F.first("mag").alias("__tmag"))
-    lo, hi = FIT_RANGE
-    near = attach(fits.join(stars.select(*run, "star_id", "mag", "saturated"), [*run, "star_id"]), run, tmag).where(
-        ~F.col("saturated") & (F.col("mag") > F.col("__tmag") - MAG_BELOW)
-        & (F.col("mag") < F.least(F.col("__tmag") + MAG_ABOVE, F.lit(MAG_TOP))) & (F.col("a1") > lo) & (F.col("a1") < hi)
-    ).select(*run, "mag", "a1")
-    with_target = near.unionByName(attach(tmag, run, own).select(*run, F.col("__tmag").alias("mag"), F.col("__a1").alias("a1")))
-    line = weighted_line(with_target, run, "mag", "a1", 1 / F.col("mag"))
+    lo, hi = BINNED_RANGE
+    others = fits.join(stars.select(*run, "star_id", "mag", "saturated"), [*run, "star_id"]).where(~F.col("saturated")).select(*run, "mag", "a1")
+    points = others.unionByName(attach(tmag, run, own).select(*run, F.col("__tmag").alias("mag"), F.col("__a1").alias("a1")))
+    near = attach(coefficient_bins(points, run, "mag", "a1"), run, tmag).where(
+        (F.col("mag_bin") > F.col("__tmag") - MAG_BELOW) & (F.col("mag_bin") < F.least(F.col("__tmag") + MAG_ABOVE, F.lit(MAG_TOP)))
+        & (F.col("a_median") > lo) & (F.col("a_median") < hi)
+    )
+    line = weighted_line(near, run, "mag_bin", "a_median", 1 / F.col("mag_bin"))
     size = smooth.groupBy(*run).agg(F.stddev_pop("smooth").alias("__size"))
     rows = attach(attach(attach(target.join(m, [*run, "jd"]), run, line), run, own), run, size)
-    scale = F.col("intercept") + F.col("slope") * F.col("mag")
-    fixed = F.col(y) / linear_model("__a0", scale, "smooth")
-    out = rows.withColumn("corrected", F.when(F.col("__size") >= STRUCTURE_LIMIT, fixed).otherwise(F.col(y)))
-    return out.withColumn("used", F.col("__size") >= STRUCTURE_LIMIT).drop("slope", "intercept", "n", "__a0", "__a1", "__size")
+    faint, bright, steps = EVALUATED[1], EVALUATED[0], EVALUATED[2] / (EVALUATED[1] - EVALUATED[0])
+    at = bright + F.round((F.least(F.greatest(F.col("mag"), F.lit(bright)), F.lit(faint)) - bright) * steps) / steps
+    scale = F.col("intercept") + F.col("slope") * at
+    used = F.coalesce((F.col("__size") >= STRUCTURE_LIMIT) & F.col("slope").isNotNull(), F.lit(False))
+    rows = rows.withColumn("used", used)
+    out = rows.withColumn("corrected", F.when(F.col("used"), F.col(y) / linear_model("__a0", scale, "smooth")).otherwise(F.col(y)))
+    return out.drop("slope", "intercept", "n", "__a0", "__a1", "__size")

@@ -121,11 +121,11 @@ def _(spark, sf):
 
 
 @query("o10_nearest_other", "O10", with_(XY) + """
-, d AS (SELECT a.field, a.x, a.y, min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) AS nearest FROM xy a JOIN xy b ON a.field = b.field AND a.id <> b.id GROUP BY ALL)
-SELECT field, round(x, 4) AS x, round(y, 4) AS y, round(nearest, 4) AS nearest FROM d WHERE nearest <= 100""")
+, d AS (SELECT a.field, a.id, min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) AS nearest FROM xy a JOIN xy b ON a.field = b.field AND a.id <> b.id GROUP BY ALL)
+SELECT field, id, round(x, 4) AS x, round(y, 4) AS y, round(nearest, 4) AS nearest FROM xy LEFT JOIN d USING (field, id)""")
 def _(spark, sf):
-    n = C.nearest_other(xy(spark, sf), ["field"], "x", "y", 100.0, fine=20.0)
-    return n.select("field", r("x", 4).alias("x"), r("y", 4).alias("y"), r("nearest", 4).alias("nearest"))
+    n = C.nearest_other(xy(spark, sf), ["field"], "x", "y", 20.0)
+    return n.select("field", "id", r("x", 4).alias("x"), r("y", 4).alias("y"), r("nearest", 4).alias("nearest"))
 
 
 @query("j23_plate_match", "J23", with_(XY) + """

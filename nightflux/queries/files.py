@@ -298,16 +298,17 @@ def _(spark, sf):
         F.count("*").alias("n"), F.min("jd").alias("first_jd"), F.max("jd").alias("last_jd"), r(F.max("flux"), 2).alias("top"))
 
 
-@query("k06_k12_series_and_masters", "K06 K12", """SELECT 'original' AS kind, count(*) AS n, round(sum(value), 2) AS total FROM events UNION ALL SELECT 'processed', count(*), round(sum(value), 2) FROM events WHERE value < 100
-UNION ALL SELECT 'bias', count(*), round(sum(p_retailprice), 2) FROM part UNION ALL SELECT 'dark', count(*), round(sum(p_size), 2) FROM part""")
+@query("k06_k12_series_and_masters", "K06 K12", """SELECT 'original' AS kind, event_type AS target, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type
+UNION ALL SELECT 'processed', event_type, count(*), round(sum(value), 2) FROM events WHERE value < 100 GROUP BY event_type
+UNION ALL SELECT 'bias', 'all', count(*), round(sum(p_retailprice), 2) FROM part UNION ALL SELECT 'dark', 'all', count(*), round(sum(p_size), 2) FROM part""")
 def _(spark, sf):
-    e = B.table(spark, sf, "events").select(F.col("event_id").cast("double").alias("jd"), F.col("value").alias("pwv"))
+    e = B.table(spark, sf, "events").select(F.col("event_type").alias("target"), F.col("event_id").cast("double").alias("jd"), F.col("value").alias("pwv"))
     p = B.table(spark, sf, "part").select(F.lit("I").alias("filter"), F.floor(F.col("p_partkey") / 50).alias("y"), (F.col("p_partkey") % 50).alias("x"), F.col("p_retailprice").alias("bias"), F.col("p_size").cast("double").alias("dark"))
     a, b = scratch_path(spark, "pwv"), scratch_path(spark, "masters")
-    K.write_pwv({"original": e, "processed": e.where("pwv < 100")}, a)
+    K.write_pwv({"original": e, "processed": e.where("pwv < 100")}, a, ["target"])
     K.write_masters({"bias": p, "dark": p}, b)
-    one = spark.read.parquet(a).groupBy("kind").agg(F.count("*").alias("n"), r(F.sum("pwv"), 2).alias("total"))
-    return one.unionByName(spark.read.parquet(b).groupBy("kind").agg(F.count("*").alias("n"), r(F.sum("value"), 2).alias("total")))
+    one = spark.read.parquet(a).groupBy("kind", "target").agg(F.count("*").alias("n"), r(F.sum("pwv"), 2).alias("total"))
+    return one.unionByName(spark.read.parquet(b).groupBy("kind", F.lit("all").alias("target")).agg(F.count("*").alias("n"), r(F.sum("value"), 2).alias("total")))
 
 
 @query("c05_stream_append", "C05 J10", """SELECT event_id, round(value, 4) AS value FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT event_id, round(value * 2, 4) FROM events WHERE event_id % 2 = 0 AND event_id % 3 = 0""")

@@ -258,12 +258,14 @@ def _(spark, sf):
 
 
 @query("j16_calibrate", "J16 F37 C04 P16 P21", FLAT + """
-SELECT filter, frame, y, x, round(CASE WHEN coalesce(flat, 0) <> 0 THEN c / flat ELSE c END, 4) AS reduced
-FROM corr LEFT JOIN flat USING (filter, y, x)""")
+SELECT filter, frame, y, x, round(c / nullif(flat, 0), 4) AS reduced
+FROM (SELECT *, min(frame) OVER (PARTITION BY filter) AS f0 FROM corr) JOIN flat USING (filter, y, x) WHERE frame > f0 AND filter <> 'N'""")
 def _(spark, sf):
     c = _corrected(spark, sf)
-    f = cut(C.master_flat(c, cut(C.flat_scales(c, ["filter"])), ["filter"]))
-    return C.calibrate(c, f, ["filter"]).select("filter", "frame", "y", "x", r("reduced", 4).alias("reduced"))
+    flats = c.where("filter <> 'N'")  # one filter has no flat: its science frames are left out
+    f = cut(C.master_flat(flats, cut(C.flat_scales(flats, ["filter"])), ["filter"]))
+    science = FR.with_flat(FR.without_first(c, ["filter"], "frame"), flats)
+    return C.calibrate(science, f, ["filter"]).select("filter", "frame", "y", "x", r("reduced", 4).alias("reduced"))
 
 
 @query("a11_stack", "A11 W11", with_(B.PIX_SQL) + """

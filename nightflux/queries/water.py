@@ -159,8 +159,10 @@ def _(spark, sf):
     return b.select("run", "mag_bin", r("a_median").alias("a_median"), "n")
 
 
-@query("a30_lowest_coefficients", "A30", with_(COEF) + placed_sql(0.3) + """
-, rk AS (SELECT *, row_number() OVER (PARTITION BY run, mag_bin ORDER BY a, l_partkey, id) AS rn FROM pl)
+@query("a30_lowest_coefficients", "A30", with_(COEF) + """
+, pl AS (SELECT *, round(13.15::DOUBLE + 0.3::DOUBLE * floor((mag - 13) / 0.3::DOUBLE), 6) AS mag_bin FROM cf
+  WHERE floor((mag - 13) / 0.3::DOUBLE) BETWEEN 0 AND 15 AND mag > 13 + 0.3::DOUBLE * floor((mag - 13) / 0.3::DOUBLE)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY run, mag_bin ORDER BY a, l_partkey, id) AS rn FROM pl)
 SELECT run, mag_bin, round(median(a), 6) AS a_median FROM rk WHERE rn <= 5 GROUP BY ALL""")
 def _(spark, sf):
     b = ST.lowest_coefficients(coefficients(spark, sf), ["run"], "mag", "a", "l_partkey")
@@ -184,8 +186,8 @@ def _(spark, sf):
 
 
 @query("c08_common_structure", "C08 W06 A31 A32 F21", with_(B.LC_SQL, NORM, EQUAL, DIFF, """
-sm AS (SELECT star_id, 10 + 6 * (star_id % 10) / 10.0::DOUBLE AS mag, star_id % 9 = 0 AS saturated, 1.0::DOUBLE / (1 + star_id) AS weight FROM (SELECT DISTINCT star_id FROM lc)),
-tp AS (SELECT star_id, weight FROM sm WHERE star_id <> 1 ORDER BY weight DESC, star_id LIMIT 5),
+sm AS (SELECT star_id, 12 + 6 * ((star_id + 3) % 10) / 10.0::DOUBLE AS mag, star_id % 9 = 0 AS saturated, 1.0::DOUBLE / (1 + star_id) AS weight FROM (SELECT DISTINCT star_id FROM lc)),
+tp AS (SELECT star_id, weight FROM sm WHERE star_id <> 1 ORDER BY weight DESC, star_id LIMIT 4),
 su AS (SELECT jd, sum(weight * diff) / sum(CASE WHEN diff IS NOT NULL THEN weight END) AS structure FROM diff JOIN tp USING (star_id) GROUP BY jd),
 ix AS (SELECT jd, structure, row_number() OVER (ORDER BY jd) - 1 AS i, count(*) OVER () AS n FROM su),
 kr AS (SELECT k, exp(-0.5::DOUBLE * (k / 5.0::DOUBLE) ** 2) AS w FROM range(-20, 21) t(k)),
@@ -194,17 +196,19 @@ fo AS (SELECT jd, w, ((i + k) % (2 * n) + 2 * n) % (2 * n) AS f, n FROM ix, kk),
 sh AS (SELECT fo.jd, sum(w * v.structure) AS smooth FROM fo JOIN ix v ON v.i = CASE WHEN f < fo.n THEN f ELSE 2 * fo.n - 1 - f END GROUP BY fo.jd),
 ft AS (SELECT star_id, regr_slope(diff - 1, smooth - 1) AS a1, regr_intercept(diff - 1, smooth - 1) AS a0 FROM diff JOIN sh USING (jd) GROUP BY star_id),
 tm AS (SELECT mag AS tmag FROM sm WHERE star_id = 1),
-pt AS (SELECT mag, a1 FROM ft JOIN sm USING (star_id), tm WHERE star_id <> 1 AND NOT saturated AND mag > tmag - 2 AND mag < least(tmag + 1, 17) AND a1 > -5 AND a1 < 5
-  UNION ALL SELECT tmag, a1 FROM ft, tm WHERE star_id = 1),
+bi AS (SELECT mag, a1, 12 + round((mag - 12) / 0.5::DOUBLE) * 0.5::DOUBLE AS bin FROM ft JOIN sm USING (star_id)
+  WHERE (star_id = 1 OR NOT saturated) AND NOT (mag < 15 AND a1 < -5) AND a1 < 10 AND a1 > -30),
+bm AS (SELECT bin AS mag, median(a1) AS a1 FROM bi WHERE abs(mag - bin) < 0.25 AND bin >= 12 AND bin < 18 GROUP BY bin),
+pt AS (SELECT mag, a1 FROM bm, tm WHERE mag > tmag - 2 AND mag < least(tmag + 1, 17) AND a1 > -15 AND a1 < 5),
 mn AS (SELECT sum(mag / (mag * mag)) / sum(1 / (mag * mag)) AS mx, sum(a1 / (mag * mag)) / sum(1 / (mag * mag)) AS my FROM pt),
 ln AS (SELECT sum((mag - mx) * (a1 - my) / (mag * mag)) / sum((mag - mx) * (mag - mx) / (mag * mag)) AS slope, any_value(mx) AS mx, any_value(my) AS my FROM pt, mn)""") + """
-SELECT jd, round(smooth, 6) AS smooth, round(CASE WHEN (SELECT stddev_pop(smooth) FROM sh) >= 0.0002 THEN diff / (1 + (SELECT a0 FROM ft WHERE star_id = 1)
-  + (my - slope * mx + slope * tmag) * (smooth - 1)) ELSE diff END, 5) AS corrected FROM diff JOIN sh USING (jd), ln, tm WHERE star_id = 1""")
+SELECT jd, round(smooth, 6) AS smooth, round(CASE WHEN (SELECT stddev_pop(smooth) FROM sh) >= 0.0002 AND slope IS NOT NULL THEN diff / (1 + (SELECT a0 FROM ft WHERE star_id = 1)
+  + (my - slope * mx + slope * (11 + round((least(greatest(tmag, 11), 18) - 11) * (999 / 7.0::DOUBLE)) / (999 / 7.0::DOUBLE))) * (smooth - 1)) ELSE diff END, 5) AS corrected FROM diff JOIN sh USING (jd), ln, tm WHERE star_id = 1""")
 def _(spark, sf):
     lc = normalised(spark, sf)
     d = E.differential(lc, E.ensemble_curve(lc, equal_weights(lc), []), [])
     k = F.col("star_id")
-    stars = cut(lc.select("star_id").distinct().select("star_id", (10 + 6 * (k % 10) / 10.0).alias("mag"), (k % 9 == 0).alias("saturated"), (1.0 / (1 + k)).alias("weight")))
+    stars = cut(lc.select("star_id").distinct().select("star_id", (12 + 6 * ((k + 3) % 10) / 10.0).alias("mag"), (k % 9 == 0).alias("saturated"), (1.0 / (1 + k)).alias("weight")))
     smooth = cut(ST.common_structure(d, stars.where("star_id <> 1"), []))
     target = d.where("star_id = 1").join(stars.select("star_id", "mag"), "star_id").select("jd", "diff", "mag")
     c = ST.correct_structure(target, d.where("star_id <> 1"), stars.where("star_id <> 1"), smooth, [])

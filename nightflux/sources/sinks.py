@@ -71,11 +71,11 @@ def write_curves(curves: DataFrame, path: str, keys: Sequence[str], t: str = "jd
     ranged.write.mode("overwrite").parquet(path)
 
 
-def write_pwv(series: dict[str, DataFrame], path: str) -> None:
-    """Original, processed and interpolated water series as partitions ``kind``."""
+def write_pwv(series: dict[str, DataFrame], path: str, keys: Sequence[str] = ()) -> None:
+    """Original, processed and interpolated water series as partitions ``kind``, rows named by ``keys`` (target, night; K06)."""
     whole = None
     for kind, df in series.items():
-        part = df.select("jd", "pwv").withColumn("kind", F.lit(kind))
+        part = df.select(*keys, "jd", "pwv").withColumn("kind", F.lit(kind))
         whole = part if whole is None else whole.unionByName(part)
     write_partitioned(whole, path, ["kind"])
 
