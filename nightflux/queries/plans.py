@@ -11,7 +11,8 @@ from ..plans.differential import Settings, differential_photometry
 from ..plans.identity import identify
 from ..plans.inventory import inventory
 from ..session import cut
-from .frames_calibration import FC
+from .frames_calibration import FC, FLAT
+from .lightcurves import clip_sql
 from .registry import query, r, with_
 
 
@@ -39,14 +40,20 @@ def _(spark, sf):
     return inventory(B.frames(spark, sf)).checks
 
 
-# pixel values are those of a09/a10/j16; here the whole job runs from one call
-@query("c04_calibrate_all", "C04 A04 A05 A07 A08 A09 A10 J16", with_(B.PIX_SQL) + """
-SELECT filter, frame, count(*) AS n_pixels, count(*) AS n_reduced FROM pix WHERE x < 46 GROUP BY ALL""")
+@query("c04_calibrate_all", "C04 A04 A05 A07 A08 A09 A10 J16", FLAT + ", " + clip_sql("dark", "filter", "dark", 3.0, 5, "z") + """,
+dc AS (SELECT filter, median(c) * 1.1::DOUBLE AS dark_current FROM z5 GROUP BY filter),
+rf AS (SELECT filter, frame, row_number() OVER (PARTITION BY filter ORDER BY frame) AS rk FROM (SELECT DISTINCT filter, frame FROM pix)),
+rd AS (SELECT filter, cell, max(CASE WHEN rk = 1 THEN adu END) AS b0, max(CASE WHEN rk = 2 THEN adu END) AS b1 FROM pix JOIN rf USING (filter, frame) WHERE rk <= 2 GROUP BY ALL),
+rn AS (SELECT filter, stddev_pop(b1 - b0) * 1.1::DOUBLE / sqrt(2.0) AS ron FROM rd GROUP BY filter)
+SELECT filter, frame, y, x, round((c - 40) / nullif(flat, 0), 4) AS reduced, round(ron, 6) AS ron, round(dark_current, 5) AS dark_current
+FROM corr JOIN flat USING (filter, y, x) JOIN rn USING (filter) JOIN dc USING (filter)""")
 def _(spark, sf):
     p = cut(B.pix(spark, sf))
-    bright = p.withColumn("adu", F.col("adu") + 40)
-    out = calibrate(p, p, bright, p, ["filter"], F.col("x") >= 46, 1.1)
-    return out.science.groupBy("filter", "frame").agg(F.count("*").alias("n_pixels"), F.count("reduced").alias("n_reduced"))
+    region = F.col("x") >= 46
+    bright = p.withColumn("adu", F.when(region, F.col("adu")).otherwise(F.col("adu") + 40))  # a pedestal outside the overscan
+    out = calibrate(p, p, bright, p, ["filter"], region, 1.1)
+    rows = out.science.join(out.ron, "filter").join(out.dark_current, "filter")
+    return rows.select("filter", "frame", "y", "x", r("reduced", 4).alias("reduced"), r("ron").alias("ron"), r("dark_current", 5).alias("dark_current"))
 
 
 @query("c14_target_identity", "C14 F01 J02 J19 J20", with_(B.SKY_SQL) + """, h AS (SELECT id, dec, ra / 15.0 AS h, abs(dec) AS ad FROM sky),
