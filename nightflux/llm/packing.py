@@ -27,6 +27,8 @@ from nightflux.session import cut
 
 HEADER = "<4sIQQQQI"
 MAGIC, VERSION, BLOCK = b"NFS8", 1, 4096
+#: Blocks coded at once: bounds the memory that a file takes beside its words.
+TOGETHER = 32
 #: Ids and bits of each selector (fixed values of the coding; 0 and 1 are runs of zeros).
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
@@ -49,10 +51,18 @@ def widths(ids: np.ndarray) -> np.ndarray:
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and the first word of each block, of any number of unsigned 64-bit ids."""
+    words, offsets, done = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
+    for k in range(0, len(ids), TOGETHER * BLOCK):
+        part, first = _encoded(ids[k : k + TOGETHER * BLOCK])
+        words.append(part)
+        offsets.append(first + np.uint64(done))
+        done += len(part)
+    return np.concatenate(words), np.concatenate(offsets)
+
+
+def _encoded(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ids = np.ascontiguousarray(ids, np.uint64)
     n, blocks = len(ids), -(-len(ids) // BLOCK)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     width = np.zeros(blocks * BLOCK, np.int8)
     width[:n] = widths(ids)
     size = np.full(blocks, BLOCK)
@@ -100,9 +110,16 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
-    """The n ids back, all words of a selector at once."""
-    if not n:
-        return np.zeros(0, np.uint64)
+    """The n ids back, a few blocks at a time."""
+    out, ends = [np.zeros(0, np.uint64)], np.append(offsets, np.uint64(len(words))).astype(np.int64)
+    for k in range(0, len(offsets), TOGETHER):
+        upto = min(len(offsets), k + TOGETHER)
+        out.append(_decoded(words[ends[k] : ends[upto]], offsets[k:upto] - offsets[k], min(n, upto * BLOCK) - k * BLOCK))
+    return np.concatenate(out)
+
+
+def _decoded(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
+    """All words of a selector at once."""
     selector = (words >> np.uint64(60)).astype(np.int64)
     # an escape's second word is data; escapes can follow each other, so the words are told apart by alternation inside runs
     data = np.zeros(len(words), bool)
