@@ -102,7 +102,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library, self.end = Tokenizer.from_file(path), np.array([end], np.uint16).tobytes()
-        self.word = Remember(lambda w: self._ids([w])[0], 500_000)
+        self.word = Remember(lambda w: self._ids([w])[0], 250_000)
         self.last = np.zeros(self.library.get_vocab_size(), bool)
         self.last[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
         self.tails = dict(zip(",.", self._ids([",", "."]), strict=True)) | {"": b""}
