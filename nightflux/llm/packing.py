@@ -39,14 +39,11 @@ TABLE = np.dtype([("id", "<i8"), ("known", "u1"), ("n", "<u8")])
 
 
 def widths(ids: np.ndarray) -> np.ndarray:
-    """Bits of each id; 0 for 0."""
-    out = np.zeros(len(ids), np.int64)
-    for b in range(5, -1, -1):
-        step = ids >> np.uint64(1 << b)
-        big = step > 0
-        out[big] += 1 << b
-        ids = np.where(big, step, ids)
-    return out + (ids > 0)
+    """Bits of each id; 0 for 0.  A double holds 32 bits exactly, so its exponent is the width."""
+    high = ids >> np.uint64(32)
+    if high.any():
+        return np.where(high > 0, 32 + widths(high), widths(ids & np.uint64(0xFFFFFFFF)))
+    return np.frexp(ids.astype(np.float64))[1]
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,12 +107,16 @@ def _encoded(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
-    """The n ids back, a few blocks at a time."""
-    out, ends = [np.zeros(0, np.uint64)], np.append(offsets, np.uint64(len(words))).astype(np.int64)
+    """The n ids back."""
+    return np.concatenate([np.zeros(0, np.uint64), *_parts(words, offsets, n)])
+
+
+def _parts(words: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    """The n ids in order, a few blocks at a time."""
+    ends = np.append(offsets, np.uint64(len(words))).astype(np.int64)
     for k in range(0, len(offsets), TOGETHER):
         upto = min(len(offsets), k + TOGETHER)
-        out.append(_decoded(words[ends[k] : ends[upto]], offsets[k:upto] - offsets[k], min(n, upto * BLOCK) - k * BLOCK))
-    return np.concatenate(out)
+        yield _decoded(words[ends[k] : ends[upto]], offsets[k:upto] - offsets[k], min(n, upto * BLOCK) - k * BLOCK)
 
 
 def _decoded(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
@@ -206,48 +207,62 @@ def write(docs: DataFrame, folder: str, ids_of: Callable[[], Callable], docs_a_f
     return made.select("file", "docs", "ids", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
 
 
-def _read(folder: str):
+def _documents(folder: str, name: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of a file's document table, bounds of their ids and the ids, as far as a few blocks complete them."""
+    with opened(folder, name) as f:
+        magic, version, docs, n, words, blocks, block = struct.unpack(HEADER, f.read(struct.calcsize(HEADER)))
+        if (magic, version, block) != (MAGIC, VERSION, BLOCK):
+            raise ValueError(f"{name} is no id file of this version")
+        code = np.frombuffer(f.read(8 * words), np.uint64)
+        offsets = np.frombuffer(f.read(8 * blocks), np.uint64)
+        table = np.frombuffer(f.read(TABLE.itemsize * docs), TABLE)
+    bounds = np.concatenate(([0], np.cumsum(table["n"].astype(np.int64))))
+    held, row, decoded = [np.zeros(0, np.uint64)], 0, 0
+    for part in _parts(code, offsets, n):
+        held.append(part)
+        decoded += len(part)
+        upto = int(np.searchsorted(bounds, decoded, side="right")) - 1
+        if upto > row:
+            ids, size = np.concatenate(held), bounds[upto] - bounds[row]
+            yield table[row:upto], bounds[row : upto + 1], ids[:size]
+            held, row = [ids[size:]], upto
+    if row < docs:  # only documents without ids are left
+        yield table[row:], bounds[row:], held[0][:0]
+
+
+def _read(folder: str, columns: Callable[[np.ndarray, np.ndarray], dict]):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                with opened(folder, name) as f:
-                    magic, version, docs, n, words, blocks, block = struct.unpack(HEADER, f.read(struct.calcsize(HEADER)))
-                    if (magic, version, block) != (MAGIC, VERSION, BLOCK):
-                        raise ValueError(f"{name} is no id file of this version")
-                    code = np.frombuffer(f.read(8 * words), np.uint64)
-                    offsets = np.frombuffer(f.read(8 * blocks), np.uint64)
-                    table = np.frombuffer(f.read(TABLE.itemsize * docs), TABLE)
-                ids = decode(code, offsets, n)
-                ends = np.cumsum(table["n"].astype(np.int64))
-                begins = ends - table["n"].astype(np.int64)
-                for k in range(0, docs, 2000):
-                    rows = slice(k, min(docs, k + 2000))
-                    low, high = int(begins[rows][0]), int(ends[rows][-1])
-                    own = np.concatenate((begins[rows], [high])) - low
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(table["id"][rows], mask=table["known"][rows] == 0),
-                        pa.array(begins[rows] + start),
-                        pa.ListArray.from_arrays(pa.array(own.astype(np.int32)), pa.array(ids[low:high].astype(np.int64))),
-                    ], ["doc_id", "start", "ids"])
+                for table, bounds, ids in _documents(folder, name):
+                    key = pa.array(table["id"], mask=table["known"] == 0)
+                    yield pa.RecordBatch.from_pydict({"doc_id": key, "start": pa.array(bounds[:-1] + start)} | columns(bounds - bounds[0], ids))
 
     return run
 
 
+def _whole(bounds: np.ndarray, ids: np.ndarray) -> dict:
+    return {"ids": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int64)))}
+
+
+def _sums(bounds: np.ndarray, ids: np.ndarray) -> dict:
+    data, ends = memoryview(ids.astype("<u4")).cast("B"), bounds.tolist()
+    found = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return {"n_tokens": pa.array(np.diff(bounds)), "ids_crc32": pa.array(found, pa.int64())}
+
+
+def _files(manifest: DataFrame) -> DataFrame:
+    return manifest.select("file", "start").repartition(max(1, manifest.count()), "file")  # a task a file
+
+
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """``doc_id``, ``start`` and ``ids`` of every document in the files of a manifest."""
-    files = manifest.select("file", "start").repartition(max(1, manifest.count()), "file")  # a task a file
-    return files.mapInArrow(_read(folder), "doc_id long, start long, ids array<long>")
-
+    return _files(manifest).mapInArrow(_read(folder, _whole), "doc_id long, start long, ids array<long>")
 
-def checksum(ids: DataFrame) -> DataFrame:
-    """Adds ``n_tokens`` and ``ids_crc32``: the crc32 of the ids as little-endian unsigned 32-bit integers."""
 
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            ends = batch.column("ids").offsets.to_numpy()
-            data = memoryview(batch.column("ids").values.to_numpy().astype("<u4")).cast("B")
-            found = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(ends).astype(np.int64)), pa.array(found, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+def checksums(manifest: DataFrame, folder: str) -> DataFrame:
+    """``doc_id``, ``start``, ``n_tokens`` and ``ids_crc32`` of every document, from the ids read back where they are decoded.
 
-    return ids.select("doc_id", "start", "ids").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    ``ids_crc32`` is the crc32 of the ids as little-endian unsigned 32-bit integers.
+    """
+    return _files(manifest).mapInArrow(_read(folder, _sums), "doc_id long, start long, n_tokens long, ids_crc32 long")

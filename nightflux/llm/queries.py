@@ -157,4 +157,4 @@ def word_ids() -> WordIds:
 def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "ids")
     manifest = packing.write(load(spark, sf_dir, "documents"), folder, word_ids)
-    return packing.checksum(packing.read(manifest, folder))
+    return packing.checksums(manifest, folder)

@@ -216,7 +216,11 @@ def test_words_round_trip(seed):
 def test_id_files(spark):
     rows = [(k, t, "s") for k, t in zip([5, 3, None, 9, 1, 1, *range(20, 60)], [*ODD, *ODD, *ODD, *ODD])]
     folder = scratch_path(spark, "ids")
-    got = packing.checksum(packing.read(packing.write(docs(spark, rows), folder, word_ids, docs_a_file=7), folder)).collect()
+    manifest = packing.write(docs(spark, rows), folder, word_ids, docs_a_file=7)
+    got = packing.checksums(manifest, folder).collect()
+    whole = {(r.doc_id, r.start): r.ids for r in packing.read(manifest, folder).collect()}
+    assert whole.keys() == {(r.doc_id, r.start) for r in got}
+    assert all(r.ids_crc32 == zlib.crc32(np.array(whole[r.doc_id, r.start], "<u4").tobytes()) for r in got)
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = {i: [] for i, *_ in rows}
     for i, t, _ in rows:
