@@ -64,6 +64,12 @@ class Remember(dict):
             self.clear()
         self[key] = value
 
+    def fill(self, keys: list, values: list) -> None:
+        if len(self) + len(keys) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        self.update(zip(keys, values, strict=True))
+
 
 def batches(stream: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what a batch of long texts expands to stays small."""

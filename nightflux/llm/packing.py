@@ -28,7 +28,7 @@ from nightflux.session import cut
 HEADER = "<4sIQQQQI"
 MAGIC, VERSION, BLOCK = b"NFS8", 1, 4096
 #: Blocks coded at once: bounds the memory that a file takes beside its words.
-TOGETHER = 32
+TOGETHER = 64
 #: Ids and bits of each selector (fixed values of the coding; 0 and 1 are runs of zeros).
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
@@ -66,14 +66,15 @@ def _encoded(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size[-1] = n - BLOCK * (blocks - 1)
     # selector of a word that starts at a place: the densest whose ids all fit; a block's end is padded with zeros
     choice = np.full(blocks * BLOCK, ESCAPE, np.int8)
-    here = np.arange(blocks * BLOCK, dtype=np.int64)
-    ends = (here // BLOCK + 1) * BLOCK
+    here = np.arange(blocks * BLOCK, dtype=np.int32)
+    ends = np.repeat(here[::BLOCK] + np.int32(BLOCK), BLOCK)
     for s in PACKED[::-1]:
-        wide = np.append(np.flatnonzero(width > BITS[s]), blocks * BLOCK)
+        fits = width <= BITS[s]
+        wide = np.append(np.flatnonzero(~fits), blocks * BLOCK).astype(np.int32)
         runs = np.diff(wide, prepend=-1)
         if runs.max() > COUNTS[s]:
             ahead = np.repeat(wide, runs)[: blocks * BLOCK]
-            choice[((ahead - here) >= COUNTS[s]) | ((ahead >= ends) & (width <= BITS[s]))] = s
+            choice[((ahead - here) >= COUNTS[s]) | ((ahead >= ends) & fits)] = s
     choice = choice.reshape(blocks, BLOCK)
     step = np.where(choice == ESCAPE, 1, COUNTS[choice])
     # all blocks walk at once
@@ -99,9 +100,14 @@ def _encoded(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if s == ESCAPE:
             words[first[rows] + 1] = ids[flat[rows]]
         elif BITS[s]:
-            for k in range(COUNTS[s]):
-                place = flat[rows] + k
-                words[first[rows]] |= np.where(place < limit[rows], padded[place], 0).astype(np.uint64) << np.uint64(k * BITS[s])
+            place, bits = flat[rows], np.uint64(BITS[s])
+            word = padded[place]
+            for k in range(1, COUNTS[s]):
+                word |= padded[place + k] << (np.uint64(k) * bits)
+            over = np.flatnonzero(place + COUNTS[s] > limit[rows])  # a block's last word: only its own ids
+            own = (limit[rows[over]] - place[over]).astype(np.uint64)
+            word[over] &= (np.uint64(1) << (own * bits)) - np.uint64(1)
+            words[first[rows]] |= word
     offsets = first[np.searchsorted(owner, np.arange(blocks))].astype(np.uint64)
     return words, offsets
 
@@ -171,7 +177,7 @@ def _written(folder: str, ids_of: Callable[[], Callable], docs_a_file: int):
             parts.append((f.name, len(keys), len(ids), min(known, default=None), len(known) < len(keys)))
             held.clear(), lengths.clear(), keys.clear()
 
-        for batch in batches(stream):
+        for batch in batches(stream, 1024):
             for key, ids in zip(batch.column("doc_id").to_pylist(), own(batch.column("text").to_pylist()), strict=True):
                 held.append(ids)
                 lengths.append(len(ids))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,54 +97,56 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 class WordIds:
     """Ids of whole texts from the library, with an end id; white space splits words, so a word's ids are remembered.
 
-    The words that a batch brings anew go to the library together.
+    Only the distinct words of a batch are looked up, and those it brings anew go to the library together.
     """
 
+    #: Letters below U+0130, then perhaps a comma or full stop.
+    PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+[,.]?").fullmatch
+
     def __init__(self, path: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.end = Tokenizer.from_file(path), np.array([end], np.uint16).tobytes()
-        self.word = Remember(lambda w: self._ids([w])[0], 250_000)
+        self.library, self.end = Tokenizer.from_file(path), np.uint16(end)
+        self.word = Remember(lambda w: self._ids([w])[0], 500_000)
         self.last = np.zeros(self.library.get_vocab_size(), bool)
         self.last[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
-        self.tails = dict(zip(",.", self._ids([",", "."]), strict=True)) | {"": b""}
 
     def _ids(self, words: list[str]) -> list[bytes]:
         return [np.array(x.ids, np.uint16).tobytes() for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        """Remembers the ids of new words.  Plain ones (letters before U+0130, then perhaps a comma or full stop) go to the
+        """Remembers the ids of new words.  Plain ones go to the library as one text: a token that ends a word
 
-        library as one text, whose words end where its tokens say so; the others go there one by one.
+        ends its letters, and another one its comma or full stop.  The others go there one by one.
         """
-        plain, other = [], []
-        for w in new:
-            tail = w[-1] if w.endswith((",", ".")) else ""
-            core = w[: len(w) - len(tail)]
-            if core.isalpha() and max(core) < "\u0130":
-                plain.append((w, core, tail))
-            else:
-                other.append(w)
+        plain = [w for w in new if self.PLAIN(w)]
         if plain:
-            ids = np.array(self.library.encode(" ".join([core for _, core, _ in plain]), add_special_tokens=False).ids, np.uint16)
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
-            start = 0
-            for (w, _, tail), end in zip(plain, ends, strict=True):
-                self.word.store(w, ids[start:end].tobytes() + self.tails[tail])
-                start = end
-        for w, found in zip(other, self._ids(other), strict=True):
-            self.word.store(w, found)
+            data = self._ids([" ".join(plain)])[0]
+            ends = np.flatnonzero(self.last[np.frombuffer(data, np.uint16)]) + 1
+            parts = np.array([2 if w[-1] in ",." else 1 for w in plain])
+            cuts = (2 * ends[np.cumsum(parts) - 1]).tolist()
+            self.word.fill(plain, [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)])
+        if len(plain) < len(new):
+            other = [w for w in new if not self.PLAIN(w)]
+            self.word.fill(other, self._ids(other))
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        word, new = self.word, set()
-        for p in parts:
-            new.update(p)
-        new = [w for w in new if w not in word and w not in word.old]
+        words = pc.split_pattern(pc.replace_substring(pa.array([t or "" for t in texts], pa.string()), "\n", " "), " ")
+        coded, word = words.values.dictionary_encode(), self.word
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in word and w not in word.old]
         for k in range(0, len(new), 5000):
             self._learn(new[k : k + 5000])
-        return [np.frombuffer(b"".join([word[w] for w in p]) + self.end, np.uint16) for p in parts]
+        known = [word[w] for w in distinct]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 2
+        first = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        ends = np.cumsum(sizes[at])
+        places = np.repeat(first[at] - ends + sizes[at], sizes[at]) + np.arange(ends[-1] if len(ends) else 0)
+        ids = np.frombuffer(b"".join(known), np.uint16)[places]
+        bounds = np.concatenate(([0], ends))[words.offsets.to_numpy()].tolist()
+        return [np.append(ids[a:b], self.end) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 _word_ids: list[WordIds] = []
