@@ -70,6 +70,11 @@ class Remember(dict):
             self.clear()
         self.update(zip(keys, values, strict=True))
 
+    def forget(self) -> None:
+        """Lets everything go, so that a worker that is used again keeps no words of an earlier task."""
+        self.clear()
+        self.old = {}
+
 
 def batches(stream: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what a batch of long texts expands to stays small."""

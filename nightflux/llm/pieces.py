@@ -122,7 +122,7 @@ class Pieces:
         self.bytes = {b: sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)} if any(map(sp.is_byte, range(size))) else None
         self.unknown = sp.unk_id()
         self.raw = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else p.encode() for i in range(size) for p in [sp.id_to_piece(i)]]
-        self.unit = Remember(self._ids, 400_000)
+        self.unit = Remember(self._ids, 250_000)
 
     def _ids(self, chunk: str) -> bytes:
         out, at = [], 0
@@ -173,6 +173,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(np.diff(ends).astype(np.int64))], ["doc_id", "ids", "n_pieces"])
+        own.unit.forget()
 
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -154,7 +154,7 @@ class Scorer:
 
     def start(self) -> None:
         get = self.signs.get
-        self.memo = Remember(lambda token: max((get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0), 400_000)
+        self.memo = Remember(lambda token: max((get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0), 250_000)
 
     def measures(self, text: str | None) -> list[float]:
         """1, the logarithm of the distinct signs' summed excess, the strongest sign, the logarithm of strong signs per 100 words."""
@@ -223,6 +223,7 @@ def measured(rows: DataFrame, scorer: Scorer) -> DataFrame:
         for batch in batches(stream):
             found = [scorer.measures(x) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.list_(pa.float64()))], [*names, "measures"])
+        scorer.memo.forget()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(run, f"{schema}, measures array<double>")
@@ -241,6 +242,7 @@ def score(docs: DataFrame, scorer: Scorer, keep: bool = False) -> DataFrame:
             x = np.array([scorer.measures(t) for t in batch.column("_text").to_pylist()]).reshape(-1, 4)
             out = scorer.score(x) if scorer.signs else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out)], [*names, "score"])
+        scorer.memo.forget()
 
     docs = docs.select(*names, F.col("text").cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
