@@ -20,19 +20,67 @@ PREFIX, SHARED = 12, 2
 PER_ROOT, FEWEST, MOST = 4, 32, 16384
 #: Rows of one part of an inverted list; larger lists are met part by part.
 PART = 1024
+#: Cosines tried for the balls about dense pivots, and list entries that a vector may have on average before the next is tried.
+BALLS, ENTRIES = (0.8, 0.7, 0.6, 0.5), 24
+#: A vector that is in no ball has this home.
+NOWHERE = np.iinfo(np.int32).max
 
 
-def _described(pivots: np.ndarray, names: list[str]):
-    """Adds the ordered numbers of the nearest pivots of vectors of the pivots' length."""
+def dense(pivots: np.ndarray, within: float) -> np.ndarray:
+    """Numbers of the centres of balls that hold more than one pivot: no centre is in the ball of another."""
+    free, centres = np.ones(len(pivots), bool), []
+    for k in range(len(pivots)):
+        if free[k]:
+            ball = (pivots @ pivots[k] >= within) & free
+            free &= ~ball
+            if ball.sum() > 1:
+                centres.append(k)
+    return np.array(centres, np.int64)
+
+
+def homes(x: np.ndarray, centres: np.ndarray, within: float, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The home of each vector, the nearest centre if its ball holds it, and which vectors each centre must list.
+
+    If ``y`` and a member of the ball are no further apart than ``least`` says, the triangle inequality of angles
+    bounds the way from ``y`` to the centre.  A pair with two homes is met at the smaller one.
+    """
+    if not len(centres):
+        return np.full(len(x), NOWHERE, np.int64), np.zeros((len(x), 0), bool)
+    near = x @ centres.T
+    best = near.argmax(1)
+    home = np.where(near[np.arange(len(x)), best] >= within, best, NOWHERE)
+    reach = math.cos(min(math.pi, math.acos(within) + math.acos(max(-1.0, min(1.0, least))))) - 1e-9
+    return home, (near >= reach) & (np.arange(len(centres)) <= home[:, None])
+
+
+def balls(pivots: np.ndarray, least: float) -> tuple[np.ndarray, float]:
+    """Centres and cosine of the balls: the first of BALLS with few list entries a vector, judged by the pivots."""
+    tried = []
+    for within in BALLS:
+        centres = pivots[dense(pivots, within)]
+        entries = homes(pivots, centres, within, least)[1].sum() / max(1, len(pivots))
+        if entries <= ENTRIES:
+            return centres, within
+        tried.append((entries, -within, centres))
+    _, within, centres = min(tried, key=lambda t: t[:2])
+    return centres, -within
+
+
+def _described(pivots: np.ndarray, centres: np.ndarray, within: float, least: float, names: list[str]):
+    """Adds the home, the centres that list a vector and, without a home, the ordered numbers of the nearest pivots."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             if batch.num_rows:
                 x = np.array(batch.column("unit").to_pylist(), np.float64)
                 near = np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :PREFIX].astype(np.int32)
-                ends = np.arange(len(x) + 1, dtype=np.int32) * near.shape[1]
+                home, listed = homes(x, centres, within, least)
+                out = home == NOWHERE
+                lists = [pa.array(np.nonzero(listed)[1].astype(np.int32)), pa.array(near[out].ravel())]
+                ends = [np.concatenate(([0], np.cumsum(n))).astype(np.int32) for n in (listed.sum(1), out * near.shape[1])]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in names), pa.ListArray.from_arrays(pa.array(ends), pa.array(near.ravel()))], [*names, "near"])
+                    [*(batch.column(c) for c in names), pa.array(home.astype(np.int32)), *(pa.ListArray.from_arrays(pa.array(e), v) for e, v in zip(ends, lists, strict=True))],
+                    [*names, "home", "balls", "near"])
 
     return run
 
@@ -82,6 +130,51 @@ def _met(least: float, percent_rows: int = 256):
     return run
 
 
+def _met_ball(least: float, some_rows: int = 256):
+    """Links of a part of a ball's members with a part of its list: for each node how many vectors, and a star for each component.
+
+    A member listed too counts at its own turn; a listed vector of another home or none counts here.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        centre = table.column("pivot")[0].as_py()
+        node, copies, home, member = (table.column(c).to_numpy() for c in ("node", "copies", "home", "member"))
+        x = np.array(table.column("unit").to_pylist(), np.float64)
+        a, b = np.flatnonzero(member), np.flatnonzero(~member)
+        links, label = np.zeros(len(node), np.int64), np.arange(len(node))
+        other = b[home[b] != centre]
+        blocks = []
+        for start in range(0, len(a), some_rows):
+            rows = a[start : start + some_rows]
+            close = (x[rows] @ x[b].T >= least) & (node[rows][:, None] != node[b])
+            links[rows] = close @ copies[b]
+            links[other] += copies[rows] @ close[:, home[b] != centre]
+            blocks.append((rows, np.packbits(close, axis=1)))
+        # both copies of a member are one node of the graph
+        order = np.argsort(node, kind="stable")
+        first = order[np.searchsorted(node[order], node)]
+        changed = len(a) > 0
+        while changed:
+            before = label.copy()
+            for rows, bits in blocks:
+                close = np.unpackbits(bits, axis=1, count=len(b)).astype(bool)
+                low = np.minimum(label[rows], np.where(close, label[b], len(node)).min(1, initial=len(node)))
+                label[rows] = low
+                label[b] = np.minimum(label[b], np.where(close, low[:, None], len(node)).min(0, initial=len(node)))
+            np.minimum.at(label, first, label)
+            label = label[first]
+            changed = (before != label).any()
+        linked = np.zeros(len(node), bool)
+        for rows, bits in blocks:
+            close = np.unpackbits(bits, axis=1, count=len(b)).astype(bool)
+            linked[rows] |= close.any(1)
+            linked[b] |= close.any(0)
+        seen = np.flatnonzero(linked)
+        return pa.table({"node": node[seen], "links": links[seen], "hub": node[label[seen]]})
+
+    return run
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     """Links between vectors of cosine ``least`` or more, and their components.
 
@@ -90,9 +183,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     Vectors that are null, zero or hold null or non-finite components link with nothing.
 
     Equal vectors form one node, which links its copies.  The index: pivots are the vectors with the smallest hash, 4
-    times the root of their number (32 to 16384, so at most a bounded table is sent to the tasks); each
-    vector is described by its 12 nearest pivots in order and stands in the inverted list of each.  Two vectors are
-    candidates if they share 2 pivots or more; all candidates are verified by cosine in double precision.
+    times the root of their number (32 to 16384, so at most a bounded table is sent to the tasks).  Pivots are drawn
+    evenly, so a crowded group holds many: a pivot with others in a ball about it becomes a centre, and each member of its
+    ball (the nearest one) meets every vector that can link with it by the triangle inequality of angles; those links are exact.
+    A vector in no ball is described by its 12 nearest pivots in order and stands in the inverted list of each.  Two such vectors
+    are candidates if they share 2 pivots or more.  All candidates are verified by cosine in double precision.
     A list longer than PART is dealt into parts, and each pair of parts is met, so no list is too long.  A pair counts once, in
     the list of the smallest shared pivot.  Vectors of unlike length never link.  A null vec_id never names a component.
     """
@@ -126,9 +221,29 @@ def _links(nodes: DataFrame, n: int, least: float) -> DataFrame:
     """``node``, ``links`` and ``hub`` of each meeting, for vectors of one length."""
     pivots = min(MOST, max(FEWEST, math.ceil(PER_ROOT * math.sqrt(n))))
     chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(pivots).select("unit").collect()
+    table = np.array([r.unit for r in chosen])
+    centres, within = balls(table, least)
     kind = "node long, copies long, unit array<double>"
-    rows = nodes.select("node", "copies", "unit").mapInArrow(_described(np.array([r.unit for r in chosen]), ["node", "copies", "unit"]), f"{kind}, near array<int>")
+    rows = nodes.select("node", "copies", "unit").mapInArrow(
+        _described(table, centres, within, least, ["node", "copies", "unit"]), f"{kind}, home int, balls array<int>, near array<int>")
     rows = cut(rows)
+    return _balls_met(rows, least).union(_lists_met(rows.where(F.col("home") == int(NOWHERE)), least)) if len(centres) else _lists_met(rows, least)
+
+
+def _balls_met(rows: DataFrame, least: float) -> DataFrame:
+    members = rows.where(F.col("home") != int(NOWHERE)).withColumn("pivot", F.col("home"))
+    listed = rows.withColumn("pivot", F.explode("balls"))
+    size = F.ceil(F.count("*") / PART).cast("int")
+    parts = cut(listed.groupBy("pivot").agg(size.alias("n_j")).join(members.groupBy("pivot").agg(size.alias("n_i")), "pivot"))
+    part = lambda n: F.pmod(F.xxhash64("node", F.lit(7)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    names = ["pivot", "i", "j", "member", "node", "copies", "home", "unit"]
+    members = members.join(parts, "pivot").withColumn("i", part("n_i")).withColumn("j", every("n_j")).withColumn("member", F.lit(True))
+    listed = listed.join(parts, "pivot").withColumn("j", part("n_j")).withColumn("i", every("n_i")).withColumn("member", F.lit(False))
+    return members.select(names).union(listed.select(names)).groupBy("pivot", "i", "j").applyInArrow(_met_ball(least), "node long, links long, hub long")
+
+
+def _lists_met(rows: DataFrame, least: float) -> DataFrame:
     listed = rows.select("node", F.explode("near").alias("pivot"))
     parts = cut(listed.groupBy("pivot").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")))
     lists = rows.withColumn("pivot", F.explode("near")).join(parts, "pivot")

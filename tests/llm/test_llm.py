@@ -181,6 +181,22 @@ def test_near_vectors(spark):
     assert pivots.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("cosine", [0.93, 0.8])
+def test_near_vectors_of_a_hot_third(spark, cosine):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:1000] = np.sqrt(1 - cosine) * x[:1000] + np.sqrt(cosine) * x[2999]
+    x[1000:1100] = x[1100:1200] + rng.normal(size=(100, 64)) * 0.04
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.9).sum(1) - 1
+    got = {r.vec_id: r for r in pivots.near_vectors(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect()}
+    found = np.array([got[k].n_links for k in range(3000)])
+    assert (found <= want).all() and found[:1000].sum() >= 0.999 * want[:1000].sum() and found[1000:].sum() >= 0.98 * want[1000:].sum()
+    if cosine > 0.9:
+        assert {got[k].component_id for k in range(1000)} == {0}
+
+
 def test_top_k(spark, monkeypatch):
     rng = np.random.default_rng(6)
     rows = [(k, rng.normal(size=8).round(2).tolist()) for k in range(700)] + [(700 + k, [0.5] * 8) for k in range(60)]
