@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,8 @@ SUBSTITUTED, SEPARATED, REPEATED = 1.0, 0.5, 1.0
 #: The language model's alphabet is bounded: this many of the most frequent letters.
 LETTERS = 64
 EDGE = "\x02"
-SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
+#: Signs of a token that may be a part of a word's start.
+SHORT = 3
 OUTER = " \t\r\n.,;:!?\"'()[]{}<>«»„“”‘’…-–—_*/\\"
 #: Lengths of the word starts that are features beside the whole word.
 STARTS = (4, 5, 6, 7, 8)
@@ -145,16 +146,84 @@ def _counts(model: Channel):
     return run
 
 
+def _side_by_side(scorer: Scorer):
+    """The divided words of labelled rows, each once a row."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer.start()
+        for batch in batches(stream):
+            out = []
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                words = (text or "").split()
+                out += [(*x, toxic) for x in set(scorer.spaced(words, [scorer.memo[w] for w in words]))]
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.float64(), pa.int32()), strict=True)], ["joined", "word", "odds", "toxic"])
+        scorer.memo.forget()
+        scorer.begun.forget()
+
+    return run
+
+
 class Scorer:
     """Finds the signs of toxicity in a text and scores it; a list of signs with their log-odds and four weights."""
 
     def __init__(self, channel: Channel, signs: dict[str, float]):
-        self.channel, self.signs, self.weights = channel, signs, np.zeros(4)
-        self.whole = {f[1:]: w for f, w in signs.items() if f[0] == "=" and len(f) > 5 and w >= STRONG}
+        self.channel, self.signs, self.weights, self.joined = channel, signs, np.zeros(4), {}
+        self.whole = {f[1:]: w for f, w in signs.items() if f[0] == "="}
+        self.starts = {f[:-1]: w for f, w in signs.items() if f[0] != "="}
+        self.prefixes = {w[:n] for w in (*self.whole, *self.starts) for n in range(1, len(w) + 1)}
 
     def start(self) -> None:
         get = self.signs.get
         self.memo = Remember(lambda token: max((get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0), 250_000)
+        # most tokens begin no word of the list and are settled by one look
+        self.begun = Remember(lambda token: self._walk({""}, token)[0], 250_000)
+
+    def _walk(self, states: Iterable[str], token: str) -> tuple[frozenset[str], set[str]]:
+        """The beginnings of known words that ``states`` and then ``token`` may stand for, and the known starts met in it.
+
+        The lattice is the channel's, with outer punctuation left out too; a path that begins no known word ends.
+        """
+        states, met = set(states), set()
+        for sign in token.lower():
+            letters = sign if sign.isalpha() else STANDS.get(sign, "")
+            skipped = sign in SEPARATORS or sign in OUTER or not (letters or sign.isalnum())
+            after = set(states) if skipped else set()
+            for letter in letters:
+                after.update(t for s in states if (t := s + letter) in self.prefixes)
+                after.update(s for s in states if s[-1:] == letter)
+            states = after
+            if not states:
+                break
+            met.update(s for s in states if s in self.starts)
+        return frozenset(states), met
+
+    def spaced(self, words: list[str], odds: list[float]) -> Iterator[tuple[str, str, float]]:
+        """Known words that white space divides: the tokens, the word, its log-odds.
+
+        Each begins and ends with a token and holds letters of two at least.  A whole word may be divided anyhow; a word's
+        start counts in short tokens only, for an ordinary word after another one easily gives a start.  Tokens that the labelled rows hold side
+        by side (two ordinary words) have log-odds of their own.
+        """
+        k, begun = 0, self.begun
+        while k < len(words):
+            states = begun[words[k]] - {""} if not odds[k] else ()
+            best, end, at, joined = None, k + 1, k, words[k].strip(OUTER).lower()
+            short = len(joined) <= SHORT
+            while states and (at := at + 1) < len(words):
+                before, part = states, words[at].strip(OUTER).lower()
+                short, joined = short and len(part) <= SHORT, f"{joined} {part}"
+                states, met = self._walk(before, words[at])
+                for s in (states | met) - before:
+                    x = max(self.whole.get(s, 0.0) if s in states else 0.0, self.starts.get(s, 0.0) if short else 0.0)
+                    if not x:
+                        continue
+                    x = self.joined.get((joined, s), x)
+                    if x >= LEAST_ODDS and (best is None or (x, s) > best[:2]):
+                        best, end = (x, s, joined), at + 1
+            if best:
+                yield best[2], best[1], best[0]
+            k = end
 
     def measures(self, text: str | None) -> list[float]:
         """1, the logarithm of the distinct signs' summed excess, the strongest sign, the logarithm of strong signs per 100 words."""
@@ -163,12 +232,9 @@ class Scorer:
         odds = [memo[w] for w in words]
         found = {w.strip(OUTER).lower(): x for w, x in zip(words, odds, strict=True) if x} if any(odds) else {}
         strong = sum(x >= STRONG for x in odds)
-        for run in SPACED.findall(text) if text and len(words) > 3 else []:
-            plain = "".join(self.channel.restore(c) or c for c in run.lower().split(" ")) + " " + self.channel.restore(run.lower())
-            for w, x in self.whole.items():
-                if w in plain:
-                    found[w] = x
-                    strong += 1
+        for _, w, x in self.spaced(words, odds) if self.signs else ():
+            found[w] = x
+            strong += x >= STRONG
         excess = sum(x - LEAST_ODDS for x in found.values())
         return [1.0, math.log1p(excess), max(found.values(), default=0.0), math.log1p(100 * strong / max(1, len(words)))]
 
@@ -202,6 +268,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> Scorer:
     found = found.withColumn("odds", odds).where((F.col("toxic") >= least) & (F.col("odds") >= LEAST_ODDS))
     signs = {r.feature: r.odds for r in found.select("feature", "odds").collect()}  # fewer than the sample's words
     scorer = Scorer(channel, signs)
+    side = rows.select("text", "toxic").mapInArrow(_side_by_side(scorer), "joined string, word string, odds double, toxic int")
+    for r in side.groupBy("joined", "word", "odds").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).collect():  # few
+        # the word's own log-odds count as half a clean document
+        scorer.joined[r.joined, r.word] = math.log((r.toxic / (n[1] + 1.0) + 0.5 * math.exp(r.odds) / (n[0] + 1.0)) / ((r.n - r.toxic + 0.5) / (n[0] + 1.0)))
     rows = measured(rows, scorer).select("toxic", "measures").collect()  # at most 2 * sample rows of a few numbers
     x, y = np.array([r.measures for r in rows]), np.array([float(r.toxic) for r in rows])
     share = np.where(y == 1, total[1] / (y == 1).sum(), total[0] / (y == 0).sum())
@@ -224,6 +294,7 @@ def measured(rows: DataFrame, scorer: Scorer) -> DataFrame:
             found = [scorer.measures(x) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.list_(pa.float64()))], [*names, "measures"])
         scorer.memo.forget()
+        scorer.begun.forget()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(run, f"{schema}, measures array<double>")
@@ -243,6 +314,7 @@ def score(docs: DataFrame, scorer: Scorer, keep: bool = False) -> DataFrame:
             out = scorer.score(x) if scorer.signs else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out)], [*names, "score"])
         scorer.memo.forget()
+        scorer.begun.forget()
 
     docs = docs.select(*names, F.col("text").cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])

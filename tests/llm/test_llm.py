@@ -110,6 +110,22 @@ def test_toxicity(spark):
     assert score(docs(spark, []), scorer).count() == 0
 
 
+def test_toxicity_of_spaced_words(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for k in range(240):
+        text = words(rng, 40).replace("w", "wo")
+        rows.append((k, text + (f" you {rng.choice(['idiot', 'scum'])} and so on" if k % 4 == 0 else ""), "s"))
+        labels.append((k, int(k % 4 == 0)))
+    told = ["i d i o t.", "(i d i o t)", "i  d  i  o  t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "id iot", "s c u m", "sc um!", "1 d 1 0 t", "i - d - i - o - t", "i. d. i. o. t.", "i d i o t s", "! d ! o t", "\u00a0s\u00a0c\u00a0u\u00a0m"]
+    plain = ["is cum", "i d", "s c u", "a b c d e f", "1 2 3 4 5 6", "i did not"]
+    rows += [(1000 + k, f"{words(rng, 15)} {t} {words(rng, 15)}", "s") for k, t in enumerate(told + plain)]
+    table = docs(spark, rows)
+    scorer = fit(table, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.score >= 0.5 for r in score(table, scorer).collect()}
+    assert [t for k, t in enumerate(told + plain) if got[1000 + k]] == told
+
+
 def test_channel_restores():
     model = Channel({"\x02\x02i": 50, "\x02id": 50, "idi": 50, "dio": 50, "iot": 50, "ot\x02": 50})
     assert model.restore("1d10t") == model.restore("i.d.i.o.t") == model.restore("iiidiooot") == "idiot"
