@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.photometry import aperture_radius, differential_error, instrumental_magnitude, noise_model, positive_flux
+from ..functions.quality import pwv_guard
 from ..functions.sky import separation
 from ..operators import ensemble as E
 from ..operators.grouped import attach, medians, normalise
 from ..operators.lightcurve import bad_weather_mask, initial_weights, quality_flags, scatter
+from ..operators.water import ensemble_teff, water_correction
 from ..session import cut
+from ..sources.sinks import write_products
 
 
 @dataclass
@@ -106,3 +109,33 @@ def differential_photometry(
     ranked = E.weight_order(final.unionByName(weights.where("is_target").withColumn("weight", F.lit(0.0)), allowMissingColumns=True), run, F.col("is_target"))
     scores = scatter(curves, [*run, "star_id"], "jd", "diff", s.bin_width)
     return Products(curves, target, ranked, ensemble, scores)
+
+
+def finish(p: Products, frames: DataFrame, stars: DataFrame, pwv: DataFrame, grid: DataFrame, run: Sequence[str], path: str) -> dict[str, DataFrame]:
+    """The end of C01: water correction (C06, F32), best aperture (A20), all tables written under ``path`` and read back.
+
+    ``frames`` has telescope beside the plan's columns, ``stars`` has teff, ``pwv``(jd, pwv and perhaps run columns),
+    ``grid``(pwv_mm, airmass_x, teff_k, response).  ``corrected`` keeps every target row: its guard says why a value is NULL.
+    ``best`` has the aperture for each target over the other run columns, where "ap" is one of them.
+    """
+    run = list(run)
+    own = [*run, "star_id"]
+    night, field = [c for c in run if c in frames.columns], [c for c in run if c in stars.columns]
+    warm = stars.select(*field, "star_id", F.col("teff").cast("double").alias("teff"))
+    ensemble = ensemble_teff(p.weights.join(warm, [*field, "star_id"], "left"), run)
+    t = p.target.join(frames.select(*night, "jd", "airmass", "telescope"), [*night, "jd"], "left").join(warm, [*field, "star_id"], "left")
+    t = cut(t.join(ensemble, run, "left").withColumn("guard", pwv_guard("telescope", "teff")))
+    taken = t.where(~F.col("guard").startswith("skip"))
+    shared = [c for c in run if c in pwv.columns]
+    keyed = taken.select(*own).distinct()
+    water = keyed.join(pwv, shared) if shared else keyed.crossJoin(pwv)
+    fixed = water_correction(taken, cut(water.select(*own, "jd", "pwv")), grid, own, "jd", "diff", "airmass", "teff", "ensemble_teff")
+    corrected = t.join(fixed.select(*own, "jd", "pwv", "water_ratio", "corrected"), [*own, "jd"], "left")
+    tables = {"lightcurve": p.lightcurve, "target": p.target, "weights": p.weights, "ensemble": p.ensemble, "scores": p.scores, "corrected": corrected}
+    write_products(tables, path, run)
+    if "ap" in run:
+        rest = [c for c in run if c != "ap"]
+        best = E.best_aperture(p.scores.join(p.target.select(*own).distinct(), own, "left_semi"), [*rest, "star_id"])
+        write_products({"best": best}, path, rest or ["star_id"])
+        tables["best"] = best
+    return {name: p.target.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}

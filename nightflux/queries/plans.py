@@ -27,7 +27,7 @@ def products(spark, sf, by_aperture):
 
 
 # iterates to convergence: no SQL twin; its rounds are checked one by one in c02_reweight_three_rounds
-@query("c01_differential_photometry", "C01 C02 C02b A20 A22 A37 A39 A45 F09 F10 W02 W04 W08 K04")
+@query("c01_differential_photometry", "C01 C02 C02b A22 A37 A39 A45 F09 F10 W02 W04 W08")
 def _(spark, sf):
     p = products(spark, sf, by_aperture=True)
     return p.target.select("ap", "star_id", "jd", r("diff", 5).alias("diff"), r("error", 5).alias("error"), "bad")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from nightflux.functions import photometry as P
 from nightflux.operators import ensemble as E
 from nightflux.operators import lightcurve as L
-from nightflux.plans.differential import Settings, differential_photometry
+from nightflux.plans.differential import Settings, differential_photometry, finish
 
 
 def value(spark, col):
@@ -96,6 +96,27 @@ def test_planted_transit_survives_and_variable_star_loses_weight(spark):
         assert one[one.star_id == 5].weight.item() < 0.2 * one[one.star_id == 12].weight.item() + 1e-6
 
 
+def test_finish_corrects_water_and_chooses_an_aperture(spark, tmp_path):
+    lc, frames, stars, targets = field(spark, depth=0.0)
+    water = 1 + 4 * (F.col("jd") - 2459000.0)
+    # the target (3000 K) loses 1 % a mm of water, the others (5000 K) nothing; aperture 4 is noisier
+    loss = F.when(F.col("star_id") == 0, 1 - 0.01 * water).otherwise(1.0) * F.when(F.col("ap") == 4, 1 + 0.02 * F.sin(F.col("jd") * 1e5)).otherwise(1.0)
+    loss = F.when((F.col("star_id") == 0) | (F.col("ap") == 3), loss).otherwise(1.0)
+    lc = lc.withColumn("flux", F.col("flux") * loss)
+    frames = frames.withColumn("telescope", F.lit("Io"))
+    stars = stars.withColumn("teff", F.when(F.col("star_id") == 0, 3000.0).otherwise(5000.0))
+    pwv = lc.select("jd").distinct().withColumn("pwv", water)
+    grid = spark.createDataFrame([(float(w), a, t, 1 - 0.01 * w if t == 3000.0 else 1.0) for w in range(9) for a in (1.0, 2.0) for t in (3000.0, 5000.0)], "pwv_mm double, airmass_x double, teff_k double, response double")
+    p = differential_photometry(lc, frames.drop("telescope"), stars, targets, ["ap"], Settings(bin_width=0.05, rounds=4, weather_limit=0.3))
+    out = finish(p, frames, stars, pwv, grid, ["ap"], f"file://{tmp_path}/products")
+    got = out["corrected"].toPandas()
+    one = got[got.ap == 3].sort_values("jd")
+    assert len(got) == 120 and set(got.guard) == {"ok"}
+    assert abs(np.polyfit(one.jd - 2459000, one["diff"], 1)[0]) > 0.03 and abs(np.polyfit(one.jd - 2459000, one.corrected, 1)[0]) < 0.006
+    assert [(r.star_id, r.best_ap) for r in out["best"].collect()] == [(0, 3)]
+    assert out["lightcurve"].count() == 2 * 40 * 60 and out["weights"].count() == 80
+
+
 def test_ensemble_is_scale_invariant(spark):
     lc, *_ = field(spark)
     n = lc.where("ap = 3").withColumn("nflux", F.col("flux") / 1000)
