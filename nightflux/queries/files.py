@@ -268,7 +268,7 @@ def _(spark, sf):
     return spark.read.parquet(path).groupBy("date").agg(F.count("*").alias("n"), r(F.sum("value"), 3).alias("total"))
 
 
-@query("k04_products", "K04 K05 W08 D10", with_(B.LC_SQL) + """, w AS (SELECT star_id, median(flux) AS weight FROM lc GROUP BY star_id)
+@query("k04_products", "W08 D10", with_(B.LC_SQL) + """, w AS (SELECT star_id, median(flux) AS weight FROM lc GROUP BY star_id)
 SELECT star_id, row_number() OVER (ORDER BY (star_id = 1)::INT DESC, weight DESC, star_id) AS rank, n_points FROM w JOIN (SELECT star_id, count(*) AS n_points FROM lc GROUP BY star_id) USING (star_id)""")
 def _(spark, sf):
     lc = cut(B.lc(spark, sf).withColumn("run_id", F.lit("t1_I_all_6")))

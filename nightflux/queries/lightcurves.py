@@ -163,7 +163,7 @@ def _(spark, sf):
     return s.select("star_id", r("rms").alias("rms"), r("mean_bin_err").alias("mean_bin_err"), r("bin_rms").alias("bin_rms"))
 
 
-@query("a20_best_aperture", "A20 K07 S05", with_(B.LC_AP_SQL, """
+@query("a20_best_aperture", "A20 S05", with_(B.LC_AP_SQL, """
 norm AS (SELECT *, flux / median(CASE WHEN flux > 0.001 THEN flux END) OVER (PARTITION BY ap, star_id) AS nflux FROM lc),
 b AS (SELECT ap, star_id, bin, avg(nflux) AS y, 1.253::DOUBLE * stddev_pop(nflux) / sqrt(count(nflux)) AS e FROM (
     SELECT ap, star_id, nflux, greatest(1, ceil((jd - min(jd) OVER (PARTITION BY ap, star_id)) / 6.0))::BIGINT AS bin

@@ -33,7 +33,7 @@ def _(spark, sf):
     return p.target.select("ap", "star_id", "jd", r("diff", 5).alias("diff"), r("error", 5).alias("error"), "bad")
 
 
-@query("c03_inventory_checks", "C03 A01 J15", FC + """, c AS (SELECT date, count_if(class = 'science') AS QC1, count_if(class = 'bias') AS QC2, count_if(class = 'dark') AS QC3, count_if(class = 'flat') AS QC4
+@query("c03_inventory_checks", "A01", FC + """, c AS (SELECT date, count_if(class = 'science') AS QC1, count_if(class = 'bias') AS QC2, count_if(class = 'dark') AS QC3, count_if(class = 'flat') AS QC4
   FROM classed WHERE class IS NOT NULL GROUP BY date)
 SELECT date, 'QC1' AS "check", QC1::BIGINT AS value FROM c UNION ALL SELECT date, 'QC2', QC2::BIGINT FROM c UNION ALL SELECT date, 'QC3', QC3::BIGINT FROM c UNION ALL SELECT date, 'QC4', QC4::BIGINT FROM c""")
 def _(spark, sf):

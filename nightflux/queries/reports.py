@@ -94,7 +94,7 @@ def _(spark, sf):
     return R.within_runs(s.where("series = 'purchase'"), runs, ["k"], "t").select("event_id")
 
 
-@query("c11_chosen_aperture", "C11", """WITH p AS (SELECT l_suppkey AS target, min(l_linenumber) AS ap FROM lineitem WHERE l_quantity > 49 AND l_suppkey % 3 = 0 GROUP BY 1),
+@query("c11_chosen_aperture", "", """WITH p AS (SELECT l_suppkey AS target, min(l_linenumber) AS ap FROM lineitem WHERE l_quantity > 49 AND l_suppkey % 3 = 0 GROUP BY 1),
 q AS (SELECT l_suppkey AS target, max(l_linenumber) AS ap FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY 1)
 SELECT s_suppkey AS target, coalesce(p.ap, q.ap, 6) AS aperture, p.ap IS NOT NULL AS corrected FROM supplier LEFT JOIN p ON p.target = s_suppkey LEFT JOIN q ON q.target = s_suppkey""")
 def _(spark, sf):
@@ -114,7 +114,7 @@ def facts(spark, sf):
                                                k.alias("run"), F.when(k % 14 == 4, F.col("o_totalprice") * 10).otherwise(F.col("o_totalprice") / 10000).alias("value"))
 
 
-@query("c12_qc_ledger", "C12 F23 K08", with_(FACTS, RULES_SQL) + """, l AS (SELECT night, target, "check", arg_max(value, run) AS value FROM fa GROUP BY ALL),
+@query("c12_qc_ledger", "C12 F23", with_(FACTS, RULES_SQL) + """, l AS (SELECT night, target, "check", arg_max(value, run) AS value FROM fa GROUP BY ALL),
 g AS (SELECT l.*, CASE WHEN worse = 'LT' AND trunc(value) < red OR worse = 'GT' AND trunc(value) > red THEN 'r' WHEN worse = 'LT' AND trunc(value) < yellow OR worse = 'GT' AND trunc(value) > yellow THEN 'y' ELSE 'g' END AS grade FROM l JOIN ru USING ("check"))
 SELECT night, target, "check", round(value, 6) AS value, grade, CASE grade WHEN 'g' THEN '[x]' WHEN 'y' THEN '[-]' ELSE '[o]' END AS cell FROM g""")
 def _(spark, sf):
