@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightflux.llm import chat, kdtree, packing, pivots, warc
+from nightflux.llm import chat, codes, kdtree, licences, packing, pivots, ranked, twins, warc
 from nightflux.llm.bpe import longest_fit, prefix_counts
 from nightflux.llm.common import Remember, held_out, load
 from nightflux.llm.minhash import near_duplicates
@@ -26,7 +26,7 @@ from nightflux.session import cut, scratch_path
 MAX_REPEATS, LIMIT = 2.0, 512
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(twins.SQL)
 
 
 def query(fn):
@@ -163,3 +163,18 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "ids")
     manifest = packing.write(load(spark, sf_dir, "documents"), folder, word_ids)
     return packing.checksums(manifest, folder)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(load(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan(load(spark, sf_dir, "documents")))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
