@@ -210,3 +210,54 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
 SERIES_SQL = """series AS (
   SELECT event_type AS series, event_id, epoch_us(ts) / 86400e6::DOUBLE + 2440587.5::DOUBLE AS t, value AS y
   FROM events)"""
+
+
+#: Apertures of the survey with how much the two parts of the noise weigh in each.
+SURVEY_APERTURES = [(4, 0.2, 0.1), (5, 0.05, 0.02), (6, 0.4, 0.1)]
+SURVEY_STARS, SURVEY_START = 24, 2460311.0
+
+
+def survey(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """A survey of steady stars: ten suppliers are a field, parts its 24 stars (star 0 the target), pairs of months its frames.
+
+    Fluxes scatter by the cell's mean tax and discount, one frame in 29 is cloudy, star 23 is saturated; the
+    runs of a field start on a day of their own.  Every event is a sample of the water archive, which no run owns.
+    """
+    li = table(spark, sf, "lineitem").select(
+        F.floor(F.col("l_suppkey") / 10).cast("int").alias("field"), (F.col("l_partkey") % SURVEY_STARS).cast("int").alias("star_id"),
+        F.floor(((F.year("l_shipdate") - 1995) * 12 + F.month("l_shipdate")) / 2).cast("int").alias("m"), "l_tax", "l_discount", "l_quantity")
+    jd = F.lit(SURVEY_START) + F.col("field") % 20 + F.col("m") * F.lit(0.2)
+    cells = li.groupBy("field", "star_id", "m").agg(F.avg("l_tax").alias("a"), F.avg("l_discount").alias("b"), F.avg("l_quantity").alias("q"))
+    aps = F.explode(F.array(*[F.struct(F.lit(n).alias("ap"), F.lit(k).alias("k"), F.lit(c).alias("c")) for n, k, c in SURVEY_APERTURES]))
+    air = (1 + 0.1 * F.sin(F.col("m") / 7.0)) * F.when(F.col("m") % 29 == 0, 0.5).otherwise(1.0)
+    lc = cells.withColumn("x", aps).select(
+        "field", "x.ap", "star_id", jd.alias("jd"),
+        (F.lit(20000.0) / (1 + F.col("star_id") % 7) * air * (1 + F.col("x.k") * (F.col("a") - 0.04) + F.col("x.c") * (F.col("b") - 0.05))).alias("flux"),
+        F.when(F.col("star_id") == SURVEY_STARS - 1, 80000.0).otherwise(F.col("q") * 100).alias("peak"))
+    frames = li.groupBy("field", "m").agg(
+        (1 + F.avg("l_discount") * 10).alias("airmass"), (50 + F.avg("l_tax") * 1000).alias("sky"), (F.avg("l_quantity") / 10 + 4).alias("ron"))
+    frames = frames.select(
+        "field", jd.alias("jd"), (10.0 + F.col("m") % 3).alias("exptime"), F.lit(1.1).alias("gain"), "airmass", "sky", "ron", F.lit(2390.0).alias("height"),
+        F.when(F.col("field") % 4 == 3, "Artemis").otherwise("Io").alias("telescope"))
+    s, f = F.col("star_id"), F.col("field") % 6
+    stars = li.select("field", "star_id").distinct().select(
+        "field", "star_id", (F.sin(s) / 100).alias("ra"), (F.cos(s) / 100 + F.col("field") * 0.001).alias("dec"),
+        F.when(s == 0, F.when(f == 2, 1900.0).when(f == 3, None).when(f == 4, 3400.0).when(f == 5, 2500.0).otherwise(3000.0)).when(s % 5 != 4, 3600.0 + 100 * s).alias("teff"))
+    targets = lc.where("star_id = 0").select("field", "ap", "star_id").distinct()
+    pwv = table(spark, sf, "events").select(julian_date("ts").alias("jd"), (1 + F.col("value") / 20).alias("pwv"))
+    return {"lc": lc, "frames": frames, "stars": stars, "targets": targets, "pwv": pwv}
+
+
+_SURVEY_KEYS = "(l_suppkey // 10)::INT AS field, (((year(l_shipdate) - 1995) * 12 + month(l_shipdate)) // 2)::INT AS m"
+_SURVEY_JD = f"{SURVEY_START}::DOUBLE + field % 20 + m * 0.2::DOUBLE AS jd"
+SURVEY_SQL = f"""cells AS (SELECT {_SURVEY_KEYS}, (l_partkey % {SURVEY_STARS})::INT AS star_id, avg(l_tax) AS a, avg(l_discount) AS b, avg(l_quantity) AS q FROM lineitem GROUP BY ALL),
+lc AS (SELECT field, ap, star_id, {_SURVEY_JD}, 20000.0::DOUBLE / (1 + star_id % 7) * ((1 + 0.1::DOUBLE * sin(m / 7.0::DOUBLE)) * CASE WHEN m % 29 = 0 THEN 0.5::DOUBLE ELSE 1 END)
+    * (1 + k * (a - 0.04::DOUBLE) + c * (b - 0.05::DOUBLE)) AS flux, CASE WHEN star_id = {SURVEY_STARS - 1} THEN 80000.0::DOUBLE ELSE q * 100 END AS peak
+  FROM cells, (VALUES {", ".join(f"({n}, {k}::DOUBLE, {c}::DOUBLE)" for n, k, c in SURVEY_APERTURES)}) t(ap, k, c)),
+env AS (SELECT field, {_SURVEY_JD}, 10.0::DOUBLE + m % 3 AS exptime, 1.1::DOUBLE AS gain, airmass, sky, ron, 2390.0::DOUBLE AS height,
+    CASE WHEN field % 4 = 3 THEN 'Artemis' ELSE 'Io' END AS telescope FROM (
+  SELECT {_SURVEY_KEYS}, 1 + avg(l_discount) * 10 AS airmass, 50 + avg(l_tax) * 1000 AS sky, avg(l_quantity) / 10 + 4 AS ron FROM lineitem GROUP BY ALL)),
+sky AS (SELECT field, star_id, sin(star_id) / 100 AS ra, cos(star_id) / 100 + field * 0.001::DOUBLE AS dec,
+    CASE WHEN star_id = 0 THEN CASE field % 6 WHEN 2 THEN 1900 WHEN 3 THEN NULL WHEN 4 THEN 3400 WHEN 5 THEN 2500 ELSE 3000 END
+      WHEN star_id % 5 <> 4 THEN 3600 + 100 * star_id END::DOUBLE AS teff FROM (SELECT DISTINCT field, star_id FROM cells)),
+wet AS (SELECT epoch_us(ts) / 86400e6::DOUBLE + 2440587.5::DOUBLE AS t, min(1 + value / 20) AS y FROM events GROUP BY 1)"""

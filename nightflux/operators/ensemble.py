@@ -212,7 +212,7 @@ def distance_sweep(lc: DataFrame, weights: DataFrame, target: DataFrame, run: Se
     )
     wide = attach(sums, run, norm).select(
         *run, "jd",
-        F.posexplode(F.array(*[F.col(f"s{i}") / F.col(f"n{i}") for i in range(EXPONENTS)])).alias("step", "alc"),
+        F.posexplode(F.array(*[F.when(F.col(f"n{i}") != 0, F.col(f"s{i}") / F.col(f"n{i}")) for i in range(EXPONENTS)])).alias("step", "alc"),
     )
     curves = cut(normalise(cut(wide), [*run, "step"], "alc", "nlc"))  # 20 values per time
     ratio = target.select(*run, "jd", F.col("nflux").alias("__t")).join(curves, [*run, "jd"]).withColumn(
@@ -289,34 +289,42 @@ def reweight(
 ) -> DataFrame:
     """Iterate until the mean weight change is below the tolerance.
 
-    The state is the weight table alone.  Runs that have converged are frozen, so
-    thousands of runs iterate together; one boolean reaches the driver per round.
+    The state is the weight table alone.  Thousands of runs iterate together: a run that has converged leaves the
+    state, and once half of the stored runs have left, the light curves of the others are written anew, so all
+    rounds together read a few times the first one's rows.  One count reaches the driver per round.
     With a ``target`` curve and ``sep`` in the weights, round two first chooses the
     distance exponent.
     """
     run = list(run)
+
+    def runs(df: DataFrame) -> int:
+        return df.select(*run).distinct().count() if run else int(not df.isEmpty())
+
     lc = cut(lc.select(*run, "star_id", "jd", "nflux"))
-    state = cut(weights.withColumn("done", F.lit(False)).withColumn("rounds", F.lit(0)))
+    live = cut(weights)
+    settled, stored = [], runs(live)
     for i in range(1, rounds + 1):
-        base = state.withColumn("__frozen_w", F.col("weight"))
+        base = live
         if i == 2 and target is not None:
-            best = best_exponent(distance_sweep(lc, state, target, run), run)
-            far = state.groupBy(*run).agg(F.max("sep").alias("__far"))
-            swept = attach(attach(base, run, best), run, far).withColumn(
-                "w2", F.when(F.col("done"), F.col("w2")).otherwise(distance_weight("best_a", "sep", "__far"))
-            )
+            best = best_exponent(distance_sweep(lc, live, target, run), run)
+            far = live.groupBy(*run).agg(F.max("sep").alias("__far"))
+            swept = attach(attach(base, run, best), run, far).withColumn("w2", distance_weight("best_a", "sep", "__far"))
             base = total_weights(swept, run).drop("best_a", "best_scatter", "__far", "no_weight")
-        base = cut(_reset_dominated(base, run))
-        nxt = reweight_once(lc, base, run, box, threshold, bucket)
+        nxt = reweight_once(lc, cut(_reset_dominated(base, run)), run, box, threshold, bucket)
         change = nxt.groupBy(*run).agg(F.avg(F.abs(F.col("weight") - F.col("before"))).alias("change"))
-        nxt = attach(nxt.drop("change"), run, change)
-        nxt = nxt.withColumn("weight", F.when(F.col("done"), F.col("__frozen_w")).otherwise(F.col("weight")))
-        nxt = nxt.withColumn("rounds", F.when(F.col("done"), F.col("rounds")).otherwise(F.lit(i)))
-        nxt = nxt.withColumn("done", F.col("done") | (F.col("change") < tolerance)).drop("__frozen_w", "before")
-        state = cut(nxt)
-        if state.where(~F.col("done")).isEmpty():
+        done = F.coalesce(F.col("change") < tolerance, F.lit(False))
+        nxt = cut(attach(nxt.drop("change", "done", "rounds", "before"), run, change).withColumn("done", done).withColumn("rounds", F.lit(i)))
+        settled.append(nxt.where("done"))
+        live = nxt.where("NOT done")
+        left = runs(live)
+        if not left:
             break
-    return state
+        if 2 * left <= stored:
+            # joins on the weights leave settled runs out; from here on they are not read either
+            lc, stored = cut(lc.join(live.select(*run).distinct(), run, "left_semi")), left
+    for part in settled:
+        live = live.unionByName(part, allowMissingColumns=True)
+    return live
 
 
 def best_aperture(scores: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from ..functions.photometry import MEDIAN_FLOOR
 from ..session import as_col, cut
 from .asof import interpolate, interpolate_index
 from .grouped import attach, medians
-from .ordered import first_per_time, linked
+from .ordered import first_per_time, linked, neighbours
 
 # Fixed values
 MIN_PWV_MM = 0.05
@@ -139,31 +139,47 @@ def ensemble_teff(weights: DataFrame, run: Sequence[str]) -> DataFrame:
     )
 
 
+def water_at(target: DataFrame, pwv: DataFrame, keys: Sequence[str], t: str, width: float = 1.0) -> DataFrame:
+    """Target rows with ``pwv`` at their time, NULL outside the water series or below 0.05 mm.
+
+    ``pwv`` has t, pwv and those of the ``keys`` that it differs by, perhaps none.  A series (``keys``) takes the samples from
+    its first time to its last and a margin of two hours.  No sample is copied to the series that it serves: the value
+    at a time is the same for all, so it is found once per distinct time, and the ends of what a series may take are
+    two look-ups for each.
+    """
+    keys = list(keys)
+    shared = [c for c in keys if c in pwv.columns]
+    pwv = cut(pwv.select(*shared, t, "pwv"))
+    times = target.select(*shared, t).distinct()
+    found = cut(interpolate(pwv, times, shared, t, "pwv", "pwv", width))
+    span = target.groupBy(*keys).agg(F.min(t).alias("__a"), F.max(t).alias("__z"))
+    ends = F.array(F.struct(F.lit(0).alias("end"), (F.col("__a") - MARGIN_DAYS).alias("at")), F.struct(F.lit(1).alias("end"), (F.col("__z") + MARGIN_DAYS).alias("at")))
+    probes = cut(span.select(*keys, F.explode(ends).alias("__e")).select(*keys, F.col("__e.end").alias("__end"), F.col("__e.at").alias(t)))
+    near = neighbours(pwv, probes, shared, t, [], width)
+    first = F.when(F.col("prev.t") == F.col(t), F.col("prev.t")).otherwise(F.col("next.t"))
+    reach = near.groupBy(*keys).agg(F.max(F.when(F.col("__end") == 0, first)).alias("__w0"), F.max(F.when(F.col("__end") == 1, F.col("prev.t"))).alias("__w1"))
+    rows = attach(target.join(found, [*shared, t], "left"), keys, reach)
+    usable = F.col(t).between(F.col("__w0"), F.col("__w1")) & (F.col("pwv") >= MIN_PWV_MM)
+    return rows.withColumn("pwv", F.when(usable, F.col("pwv"))).drop("__w0", "__w1")
+
+
 def water_correction(
     target: DataFrame, pwv: DataFrame, grid: DataFrame, keys: Sequence[str], t: str, y: str,
     airmass: str, teff: str, ensemble_temperature: str, width: float = 1.0,
 ) -> DataFrame:
-    """Correct a target series for water vapour.
+    """Correct target series for water vapour.
 
-    The water series is interpolated onto the target times, the response of target
+    The water series is interpolated onto the target times (``water_at``), the response of target
     and ensemble is looked up, both are normalised, and the normalised series is
     divided by their ratio.  Times outside the water series (with its margin) or
     below 0.05 mm have no correction and come out NULL.
     """
     keys = list(keys)
-    span = target.groupBy(*keys).agg(F.min(t).alias("__a"), F.max(t).alias("__z"))
-    near = attach(pwv, keys, span).where(
-        F.col(t).between(F.col("__a") - MARGIN_DAYS, F.col("__z") + MARGIN_DAYS)
-    ).drop("__a", "__z")
-    near = cut(near)
-    reach = near.groupBy(*keys).agg(F.min(t).alias("__w0"), F.max(t).alias("__w1"))
-    with_water = attach(interpolate(near, target, keys, t, "pwv", "pwv", width), keys, reach)
-    usable = F.col(t).between(F.col("__w0"), F.col("__w1")) & (F.col("pwv") >= MIN_PWV_MM)
-    rows = cut(with_water.withColumn("__pwv", F.when(usable, F.col("pwv"))).drop("__w0", "__w1"))
+    rows = cut(water_at(target, pwv, keys, t, width))
     axes = {d: axis_values(grid, d) for d in ("pwv_mm", "airmass_x", "teff_k")}
     for temperature, out in ((teff, "target_water"), (ensemble_temperature, "ensemble_water")):
-        rows = grid_lookup(rows, grid, {"pwv_mm": "__pwv", "airmass_x": airmass, "teff_k": temperature}, out, axes=axes)
-    rows = cut(rows.drop("__pwv"))
+        rows = grid_lookup(rows, grid, {"pwv_mm": "pwv", "airmass_x": airmass, "teff_k": temperature}, out, axes=axes)
+    rows = cut(rows)
     series = {"__my": y, "__mt": "target_water", "__me": "ensemble_water"}
     scales = medians(rows, keys, {k: F.when(F.col(c) > MEDIAN_FLOOR, F.col(c)) for k, c in series.items()})
     rows = attach(rows, keys, scales)

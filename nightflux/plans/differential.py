@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.photometry import aperture_radius, differential_error, instrumental_magnitude, noise_model, positive_flux
-from ..functions.quality import pwv_guard
+from ..functions.quality import flag_bit, pwv_guard
 from ..functions.sky import separation
 from ..operators import ensemble as E
 from ..operators.grouped import attach, medians, normalise
 from ..operators.lightcurve import bad_weather_mask, initial_weights, quality_flags, scatter
-from ..operators.water import ensemble_teff, water_correction
+from ..operators.water import clean_series, ensemble_teff, water_correction
 from ..session import cut
 from ..sources.sinks import write_products
 
@@ -23,7 +23,7 @@ from ..sources.sinks import write_products
 class Products:
     """The tables of one job, each keyed by the run columns."""
 
-    lightcurve: DataFrame  # run, star_id, jd, flux, nflux, diff
+    lightcurve: DataFrame  # run, star_id, jd, flux, nflux, diff, error
     target: DataFrame  # run, star_id, jd, diff, error, bad
     weights: DataFrame  # run, star_id, w1, w2, w3, weight, rank
     ensemble: DataFrame  # run, jd, alc, nlc
@@ -58,8 +58,8 @@ def differential_photometry(
     base = cut(normalise(cut(base), [*run, "star_id"], "flux", "nflux"))
 
     flags = cut(quality_flags(base, [*run, "star_id"], "exptime", s.saturation))
-    mags = medians(base, [*run, "star_id"], {"__f": "flux", "__scale": F.col("gain") / F.col("exptime")})
-    mags = mags.select(*run, "star_id", instrumental_magnitude("__f", "__scale", F.lit(1.0)).alias("mag"))
+    mags = medians(base, [*run, "star_id"], {"typical_flux": "flux", "__scale": F.col("gain") / F.col("exptime")})
+    mags = mags.select(*run, "star_id", "typical_flux", instrumental_magnitude("typical_flux", "__scale", F.lit(1.0)).alias("mag"))
     is_target = targets.select(*run, "star_id").withColumn("is_target", F.lit(True))
     weights = initial_weights(base, flags, [*run, "star_id"]).join(mags, [*run, "star_id"], "left")
     weights = weights.join(is_target, [*run, "star_id"], "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
@@ -90,52 +90,76 @@ def differential_photometry(
     ensemble = E.ensemble_curve(others, final, run)
     curves = E.differential(base.select(*run, "star_id", "jd", "flux", "nflux"), ensemble, run)
     comparison = E.comparison_series(base.select(*run, "star_id", "jd", "flux"), final, run).select(*run, "jd", "comp", "comp_flux")
-    marked = bad_weather_mask(ensemble.select(*run, "jd", "nlc"), run, "jd", "nlc", s.weather_box, s.weather_limit, s.bucket)
+    marked = cut(bad_weather_mask(ensemble.select(*run, "jd", "nlc"), run, "jd", "nlc", s.weather_box, s.weather_limit, s.bucket))
+    ensemble = ensemble.join(marked.select(*run, "jd", "bad"), [*run, "jd"], "left")
+    # the noise model takes the brightness of a whole series: medians over all of its frames
+    typical = cut(weights.select(*run, "star_id", "typical_flux"))
+    comp = cut(medians(cut(comparison), run, {"__comp": "comp_flux"}))
     mean_ron = frames.groupBy(*night).agg(F.avg("ron").alias("__ron"))
-    t = target_lc.select(*run, "ap", "star_id", "jd", "flux", "exptime", "gain", "airmass", "sky", "height")
-    t = t.join(comparison, [*run, "jd"], "left").join(marked.select(*run, "jd", "bad"), [*run, "jd"], "left")
-    # the noise model takes the brightness of a whole series: medians over the target's frames
-    typical = cut(medians(cut(t), [*run, "star_id"], {"__flux": "flux", "__comp": "comp_flux"}))
-    t = attach(attach(t, [*run, "star_id"], typical), night, mean_ron).withColumn("__r", aperture_radius("ap", F.lit(s.rcore)))
 
     def noise(flux: str):
         mag = instrumental_magnitude(flux, "gain", "exptime")
         return noise_model(mag, "exptime", "airmass", "sky", "gain", "__ron", "__r", "height")
 
-    diff = curves.join(targets.select(*run, "star_id"), [*run, "star_id"]).select(*run, "star_id", "jd", "diff")
-    t = t.join(diff, [*run, "star_id", "jd"], "left").withColumn("error", differential_error("diff", noise("__flux"), noise("__comp")))
-    # "ap" may be one of the run columns
-    target = t.select(*run, "star_id", "jd", "diff", "error", "bad")
+    ap = [] if "ap" in run else ["ap"]
+    own = curves.join(base.select(*run, "star_id", "jd", *ap), [*run, "star_id", "jd"]) if ap else curves
+    own = attach(attach(own.join(env, [*night, "jd"]).join(typical, [*run, "star_id"]), run, comp), night, mean_ron)
+    own = own.withColumn("__r", aperture_radius("ap", F.lit(s.rcore)))
+    own = own.withColumn("error", differential_error("diff", noise("typical_flux"), noise("__comp")))
+    curves = cut(own.select(*run, "star_id", "jd", "flux", "nflux", "diff", "error"))
+    target = curves.join(targets.select(*run, "star_id"), [*run, "star_id"]).join(marked.select(*run, "jd", "bad"), [*run, "jd"], "left")
+    target = cut(target.select(*run, "star_id", "jd", "diff", "error", "bad"))
     ranked = E.weight_order(final.unionByName(weights.where("is_target").withColumn("weight", F.lit(0.0)), allowMissingColumns=True), run, F.col("is_target"))
     scores = scatter(curves, [*run, "star_id"], "jd", "diff", s.bin_width)
-    return Products(curves, target, ranked, ensemble, scores)
+    return Products(curves, target, cut(ranked), ensemble, scores)
 
 
-def finish(p: Products, frames: DataFrame, stars: DataFrame, pwv: DataFrame, grid: DataFrame, run: Sequence[str], path: str) -> dict[str, DataFrame]:
-    """The end of C01: water correction (C06, F32), best aperture (A20), all tables written under ``path`` and read back.
+def finish(
+    p: Products, frames: DataFrame, stars: DataFrame, pwv: DataFrame, grid: DataFrame, run: Sequence[str], path: str,
+    bin_width: float = Settings.bin_width,
+) -> dict[str, DataFrame]:
+    """The end of C01: water correction (C06, F32), best apertures (A20, K07), all tables written under ``path`` and read back.
 
-    ``frames`` has telescope beside the plan's columns, ``stars`` has teff, ``pwv``(jd, pwv and perhaps run columns),
-    ``grid``(pwv_mm, airmass_x, teff_k, response).  ``corrected`` keeps every target row: its guard says why a value is NULL.
-    ``best`` has the aperture for each target over the other run columns, where "ap" is one of them.
+    ``frames`` has telescope beside the plan's columns, ``stars`` has teff, ``pwv``(jd, pwv and perhaps run columns; of
+    equal times the driest counts), ``grid``(pwv_mm, airmass_x, teff_k, response).
+
+    ``lightcurve`` has differences and errors of all stars, ``corrected`` every target row (its guard says why a value is
+    NULL), ``catalogue`` the stars of each run with their output rank, the target first, ``weights`` the parts of each weight,
+    ``images`` the frames of each run, ``ensemble`` the artificial curve, ``flags`` the bits of each time, ``water`` the water
+    series at the times of the targets.  Where "ap" is one of the run columns, ``best`` has the best aperture of each
+    target over the others, from plain and from corrected curves.
     """
     run = list(run)
     own = [*run, "star_id"]
     night, field = [c for c in run if c in frames.columns], [c for c in run if c in stars.columns]
     warm = stars.select(*field, "star_id", F.col("teff").cast("double").alias("teff"))
-    ensemble = ensemble_teff(p.weights.join(warm, [*field, "star_id"], "left"), run)
+    ensemble = cut(ensemble_teff(p.weights.join(warm, [*field, "star_id"], "left"), run))
     t = p.target.join(frames.select(*night, "jd", "airmass", "telescope"), [*night, "jd"], "left").join(warm, [*field, "star_id"], "left")
-    t = cut(t.join(ensemble, run, "left").withColumn("guard", pwv_guard("telescope", "teff")))
+    t = cut(attach(t, run, ensemble).withColumn("guard", pwv_guard("telescope", "teff")))
     taken = t.where(~F.col("guard").startswith("skip"))
     shared = [c for c in run if c in pwv.columns]
-    keyed = taken.select(*own).distinct()
-    water = keyed.join(pwv, shared) if shared else keyed.crossJoin(pwv)
-    fixed = water_correction(taken, cut(water.select(*own, "jd", "pwv")), grid, own, "jd", "diff", "airmass", "teff", "ensemble_teff")
+    series = clean_series(pwv.select(*shared, "jd", "pwv"), shared, "jd", ["pwv"])
+    fixed = cut(water_correction(taken, series, grid, own, "jd", "diff", "airmass", "teff", "ensemble_teff"))
     corrected = t.join(fixed.select(*own, "jd", "pwv", "water_ratio", "corrected"), [*own, "jd"], "left")
-    tables = {"lightcurve": p.lightcurve, "target": p.target, "weights": p.weights, "ensemble": p.ensemble, "scores": p.scores, "corrected": corrected}
+    corrected = cut(corrected)
+    listed = p.weights.select(*own, "rank", "is_target", "mag", "sep").join(stars, [*field, "star_id"], "left")
+    dry = corrected.groupBy(*run, "jd").agg(F.max(F.col("corrected").isNull()).alias("dry"))
+    flags = p.ensemble.select(*run, "jd", "bad").join(dry, [*run, "jd"], "left")
+    flags = flags.select(*run, "jd", flag_bit("bad").alias("bad_weather"), flag_bit(F.coalesce("dry", F.lit(True))).alias("no_water"))
+    images = p.ensemble.select(*run, "jd").join(frames, [*night, "jd"])
+    tables = {
+        "lightcurve": p.lightcurve, "target": p.target, "corrected": corrected, "catalogue": listed,
+        "weights": p.weights.select(*own, "rank", "saturated", "lowflux", "w1", "w2", "w3", "weight"),
+        "images": images, "ensemble": p.ensemble.select(*run, "jd", "alc", "nlc"), "flags": flags,
+        "water": corrected.where("pwv IS NOT NULL").select(*run, "jd", "pwv").distinct(), "scores": p.scores,
+    }
     write_products(tables, path, run)
     if "ap" in run:
         rest = [c for c in run if c != "ap"]
-        best = E.best_aperture(p.scores.join(p.target.select(*own).distinct(), own, "left_semi"), [*rest, "star_id"])
+        plain = E.best_aperture(p.scores.join(p.target.select(*own).distinct(), own, "left_semi"), [*rest, "star_id"])
+        wet = E.best_aperture(scatter(corrected, own, "jd", "corrected", bin_width), [*rest, "star_id"])
+        wet = wet.select(*rest, "star_id", F.col("best_ap").alias("best_ap_pwv"), F.col("score").alias("score_pwv"))
+        best = plain.join(wet, [*rest, "star_id"], "left")
         write_products({"best": best}, path, rest or ["star_id"])
         tables["best"] = best
     return {name: p.target.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}

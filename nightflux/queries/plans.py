@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import bindings as B
 from ..functions import naming as N
 from ..plans.calibrate import calibrate
-from ..plans.differential import Settings, differential_photometry
 from ..plans.identity import identify
 from ..plans.inventory import inventory
 from ..session import cut
@@ -16,23 +15,6 @@ from .lightcurves import clip_sql
 from .registry import query, r, with_
 
 
-def products(spark, sf, by_aperture):
-    lc = B.lc(spark, sf, by_aperture=by_aperture)
-    lc = lc if by_aperture else lc.withColumn("ap", F.lit(6))
-    k = F.col("s_suppkey")
-    stars = B.table(spark, sf, "supplier").select(k.alias("star_id"), (F.sin(k) / 100).alias("ra"), (F.cos(k) / 100).alias("dec"))
-    targets = lc.where("star_id = 1").select("ap", "star_id").distinct()
-    s = Settings(bin_width=6.0, weather_box=6.0, weather_limit=0.3, bucket=50.0, saturation=100000.0)
-    return differential_photometry(lc.drop("frame"), B.env(spark, sf).drop("frame"), stars, targets, ["ap"], s)
-
-
-# iterates to convergence: no SQL twin; its rounds are checked one by one in c02_reweight_three_rounds
-@query("c01_differential_photometry", "C01 C02 C02b A22 A37 A39 A45 F09 F10 W02 W04 W08")
-def _(spark, sf):
-    p = products(spark, sf, by_aperture=True)
-    return p.target.select("ap", "star_id", "jd", r("diff", 5).alias("diff"), r("error", 5).alias("error"), "bad")
-
-
 @query("c03_inventory_checks", "A01", FC + """, c AS (SELECT date, count_if(class = 'science') AS QC1, count_if(class = 'bias') AS QC2, count_if(class = 'dark') AS QC3, count_if(class = 'flat') AS QC4
   FROM classed WHERE class IS NOT NULL GROUP BY date)
 SELECT date, 'QC1' AS "check", QC1::BIGINT AS value FROM c UNION ALL SELECT date, 'QC2', QC2::BIGINT FROM c UNION ALL SELECT date, 'QC3', QC3::BIGINT FROM c UNION ALL SELECT date, 'QC4', QC4::BIGINT FROM c""")

@@ -50,23 +50,21 @@ def _(spark, sf):
     return out.select("l_orderkey", "l_partkey", "l_linenumber", r("found").alias("response"))
 
 
-@query("c06_water_correction", "C06 F22 J12 J14 A23", with_(B.SERIES_SQL) + f""", tg AS (SELECT event_id, t, y, 1 + (event_id % 20) / 10.0::DOUBLE AS am FROM series WHERE series = 'purchase'),
-pw AS (SELECT t, y / 10 AS y FROM series WHERE series = 'view'),
-pn AS (SELECT p.*, a.t AS t0, a.y AS y0, b.t AS t1, b.y AS y1 FROM tg p ASOF LEFT JOIN pw a ON p.t >= a.t ASOF LEFT JOIN pw b ON p.t < b.t),
-iw AS (SELECT event_id, t, y, am, CASE WHEN t0 IS NOT NULL AND (t1 IS NOT NULL OR t = t0) THEN CASE WHEN t = t0 THEN y0 ELSE y0 + (y1 - y0) * (t - t0) / (t1 - t0) END END AS w FROM pn),
-ok AS (SELECT *, CASE WHEN w >= 0.05 THEN w END AS p FROM iw),
-lk AS (SELECT event_id, y, {tri_sql('p', 'am', '5.5::DOUBLE')} AS tw, {tri_sql('p', 'am', '12.25::DOUBLE')} AS ew FROM ok),
-nm AS (SELECT event_id, y / median(CASE WHEN y > 0.001 THEN y END) OVER () AS ny, tw / median(CASE WHEN tw > 0.001 THEN tw END) OVER () AS tw,
-  ew / median(CASE WHEN ew > 0.001 THEN ew END) OVER () AS ew FROM lk)
-SELECT event_id, CASE WHEN tw / ew > 1e-4 THEN round(ny / (tw / ew), 3) END AS corrected FROM nm""")
+@query("c06_water_correction", "C06 F22 J12 J14 A23", with_(B.SERIES_SQL) + f""", tg AS (SELECT series, event_id, t, y, 1 + (event_id % 20) / 10.0::DOUBLE AS am FROM series WHERE series <> 'view'),
+pw AS (SELECT t, min(1 + y / 40) AS y FROM series WHERE series = 'view' GROUP BY t),
+en AS (SELECT series, min(p.t) AS w0, max(p.t) AS w1 FROM (SELECT series, min(t) - 2.0::DOUBLE / 24 AS a, max(t) + 2.0::DOUBLE / 24 AS z FROM tg GROUP BY series) JOIN pw p ON p.t BETWEEN a AND z GROUP BY series),
+pn AS (SELECT g.*, w0, w1, a.t AS t0, a.y AS y0, b.t AS t1, b.y AS y1 FROM tg g JOIN en USING (series) ASOF LEFT JOIN pw a ON g.t >= a.t ASOF LEFT JOIN pw b ON g.t < b.t),
+ok AS (SELECT series, event_id, y, am, CASE WHEN t BETWEEN w0 AND w1 THEN CASE WHEN t = t0 THEN y0 ELSE y0 + (y1 - y0) * (t - t0) / (t1 - t0) END END AS p FROM pn),
+lk AS (SELECT series, event_id, y, {tri_sql('p', 'am', '5.5::DOUBLE')} AS tw, {tri_sql('p', 'am', '12.25::DOUBLE')} AS ew FROM ok),
+nm AS (SELECT series, event_id, y / median(CASE WHEN y > 0.001 THEN y END) OVER w AS ny, tw / median(CASE WHEN tw > 0.001 THEN tw END) OVER w AS tw,
+  ew / median(CASE WHEN ew > 0.001 THEN ew END) OVER w AS ew FROM lk WINDOW w AS (PARTITION BY series))
+SELECT series, event_id, round(ny / (tw / ew), 5) AS corrected FROM nm""")
 def _(spark, sf):
     s = B.series(spark, sf)
-    target = s.where("series = 'purchase'").select(F.lit(1).alias("k"), "event_id", "t", "y", (1 + (F.col("event_id") % 20) / 10.0).alias("airmass"),
-                                                   F.lit(5.5).alias("teff"), F.lit(12.25).alias("ens"))
-    pwv = s.where("series = 'view'").select(F.lit(1).alias("k"), "t", (F.col("y") / 10).alias("pwv"))
-    c = W.water_correction(cut(target), cut(pwv), cut(grid(spark, sf)), ["k"], "t", "y", "airmass", "teff", "ens")
-    # deep in the lattice the response vanishes; such ratios are not compared
-    return c.select("event_id", r(F.when(F.col("water_ratio") > 1e-4, F.col("corrected")), 3).alias("corrected"))
+    target = s.where("series <> 'view'").select("series", "event_id", "t", "y", (1 + (F.col("event_id") % 20) / 10.0).alias("airmass"), F.lit(5.5).alias("teff"), F.lit(12.25).alias("ens"))
+    pwv = s.where("series = 'view'").groupBy("t").agg(F.min(1 + F.col("y") / 40).alias("pwv"))  # one archive for all series
+    c = W.water_correction(cut(target), pwv, cut(grid(spark, sf)), ["series"], "t", "y", "airmass", "teff", "ens")
+    return c.select("series", "event_id", r("corrected", 5).alias("corrected"))
 
 
 @query("a43_flux_change", "A43", with_(GRID_SQL) + """

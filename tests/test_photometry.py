@@ -38,9 +38,9 @@ def test_weights_sum_to_one_and_zero_weights_are_flagged(spark):
     assert [(r["weight"], r["no_weight"]) for r in got if r["run"] == "z"] == [(0.0, True)]
 
 
-def test_saturation_limit(both_paths):
+def test_saturation_limit(spark):
     rows = [(s, float(t), 5000.0, p, 1.0) for s, p in ((1, 62000.0), (2, 62001.0)) for t in range(5)] + [(3, float(t), 50.0, 10.0, 1.0) for t in range(5)]
-    lc = both_paths.createDataFrame(rows, "star_id int, jd double, flux double, peak double, exp double")
+    lc = spark.createDataFrame(rows, "star_id int, jd double, flux double, peak double, exp double")
     got = {r["star_id"]: (r["saturated"], r["lowflux"]) for r in L.quality_flags(lc, ["star_id"], "exp").collect()}
     assert got == {1: (False, False), 2: (True, False), 3: (False, True)}
 
@@ -113,8 +113,46 @@ def test_finish_corrects_water_and_chooses_an_aperture(spark, tmp_path):
     one = got[got.ap == 3].sort_values("jd")
     assert len(got) == 120 and set(got.guard) == {"ok"}
     assert abs(np.polyfit(one.jd - 2459000, one["diff"], 1)[0]) > 0.03 and abs(np.polyfit(one.jd - 2459000, one.corrected, 1)[0]) < 0.006
-    assert [(r.star_id, r.best_ap) for r in out["best"].collect()] == [(0, 3)]
-    assert out["lightcurve"].count() == 2 * 40 * 60 and out["weights"].count() == 80
+    assert [(r.star_id, r.best_ap, r.best_ap_pwv) for r in out["best"].collect()] == [(0, 3, 3)]
+    assert out["lightcurve"].where("error > 0 AND diff > 0").count() == 2 * 40 * 60 and out["weights"].count() == 80
+    assert out["catalogue"].where("rank = 1").select("star_id", "is_target").distinct().collect() == [(0, True)]
+    assert out["images"].count() == out["ensemble"].count() == out["flags"].where("no_water = 0").count() == out["water"].count() == 120
+
+
+def test_runs_leave_the_iteration_and_keep_their_weights(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for run, noise in (("a", 0.001), ("b", 0.02), ("c", 0.05)):
+        for s in range(8):
+            rows += [(run, s, float(t), float(1 + noise * (1 + s) * rng.normal())) for t in range(40)]
+    lc = spark.createDataFrame(rows, "run string, star_id int, jd double, nflux double")
+    w = lc.select("run", "star_id").distinct().withColumns({c: F.lit(1.0) for c in ("w1", "w2", "w3", "w1_start")})
+    w = E.total_weights(w, ["run"]).drop("no_weight")
+    how = dict(rounds=5, tolerance=0.004, box=4.0, threshold=0.5, bucket=20.0)
+    whole = {(r.run, r.star_id): (r.weight, r.rounds) for r in E.reweight(lc, w, ["run"], **how).collect()}
+    for run in "b":
+        alone = E.reweight(lc.where(F.col("run") == run), w.where(F.col("run") == run), ["run"], **how).collect()
+        assert len(alone) == 8 and all(whole[run, r.star_id] == (pytest.approx(r.weight), r.rounds) for r in alone)
+    assert len({n for _, n in whole.values()}) > 1  # they leave in different rounds
+
+
+def test_water_series_without_keys_serves_every_run(spark):
+    from nightflux.operators.water import water_at
+
+    pwv = spark.createDataFrame([(t / 10, 1.0 + t) for t in range(100)], "jd double, pwv double")
+    target = spark.createDataFrame([("a", 2.05 + k / 10) for k in range(5)] + [("b", 9.5 + k / 10) for k in range(8)] + [("c", 50.0)], "run string, jd double")
+    got = {(r.run, round(r.jd, 2)): r.pwv for r in water_at(target, pwv, ["run"], "jd").collect()}
+    keyed = pwv.crossJoin(target.select("run").distinct())
+    assert got == {(r.run, round(r.jd, 2)): r.pwv for r in water_at(target, keyed, ["run"], "jd").collect()}
+    assert got["a", 2.05] == pytest.approx(21.5) and got["b", 9.9] == pytest.approx(100.0) and got["b", 10.0] is None and got["c", 50.0] is None
+
+
+def test_a_run_without_comparison_stars_has_no_values(spark):
+    lc, frames, stars, targets = field(spark)
+    lc = lc.withColumn("peak", F.when((F.col("ap") == 4) & (F.col("star_id") > 0), 90000.0).otherwise(F.col("peak")))
+    p = differential_photometry(lc, frames, stars, targets, ["ap"], Settings(bin_width=0.05, rounds=3, weather_limit=0.3))
+    got = {r.ap: (r.n, r.d) for r in p.target.groupBy("ap").agg(F.count("*").alias("n"), F.count("diff").alias("d")).collect()}
+    assert got == {3: (60, 60), 4: (60, 0)}
 
 
 def test_ensemble_is_scale_invariant(spark):
