@@ -56,11 +56,13 @@ def health(frames: DataFrame, night: Sequence[str], target: str, t: str = "jd")
     return table.withColumns({f"{c}_state": health_verdict(c, c) for c in checks})
 
 
-def log_flags(lines: DataFrame, keys: Sequence[str], kind: str = "kind", text: str = "value", telescope: str = "telescope") -> DataFrame:
-    """Weather, events and closure flags of each night from log lines.
+def log_flags(
+    lines: DataFrame, keys: Sequence[str], kind: str = "kind", text: str = "value", telescope: str = "telescope", nights: DataFrame | None = None
+) -> DataFrame:
+    """Weather and events flags of each night from log lines.
 
     'Y' where a telling line exists, 'N' where the log exists without one, 'unknown'
-    where the log is missing.
+    where the log is missing.  With ``nights`` every one of them has a row, also one without any log.
     """
     v = F.col(text)
     harmless = v.contains(STATUS_QUIET) | v.contains(PRESSURE_TEXT) | (
@@ -75,7 +77,11 @@ def log_flags(lines: DataFrame, keys: Sequence[str], kind: str = "kind", text: s
             .when(F.max(F.when(mine, 1)).isNotNull(), "N").otherwise(UNKNOWN)
         )
 
-    return lines.groupBy(*keys).agg(*[flag(n).alias(f"{n}_flag") for n in telling])
+    flags = lines.groupBy(*keys).agg(*[flag(n).alias(f"{n}_flag") for n in telling])
+    if nights is None:
+        return flags
+    whole = nights.select(*keys).distinct().join(flags, list(keys), "left")
+    return whole.withColumns({f"{n}_flag": F.coalesce(f"{n}_flag", F.lit(UNKNOWN)) for n in telling})
 
 
 def transfer_state(archived: Column, transferred: Column, downloaded: Column) -> Column:
@@ -101,9 +107,13 @@ def closure_flags(nights: DataFrame, closures: DataFrame) -> DataFrame:
     ).drop("__day", "__c")
 
 
-def shaking_flag(readings: DataFrame, keys: Sequence[str], t: str, tracking: str) -> DataFrame:
-    """Y where the night's last tracking value is above 1.2, ``unknown`` where it is missing."""
+def shaking_flag(readings: DataFrame, keys: Sequence[str], t: str, tracking: str, nights: DataFrame | None = None) -> DataFrame:
+    """Y where the night's last tracking value is above 1.2, ``unknown`` where it is missing.
+
+    With ``nights`` every one of them has a row, also one without any reading."""
     last = readings.groupBy(*keys).agg(F.max_by(tracking, t).alias("last_tracking"))
+    if nights is not None:
+        last = nights.select(*keys).distinct().join(last, list(keys), "left")
     return last.withColumn("shaking", F.when(F.col("last_tracking") <= SHAKING_LIMIT, "N").when(F.col("last_tracking") > SHAKING_LIMIT, "Y").otherwise(UNKNOWN))
 
 

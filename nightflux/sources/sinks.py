@@ -92,8 +92,3 @@ def write_masters(masters: dict[str, DataFrame], path: str) -> None:
 def write_sorted(df: DataFrame, path: str, order: Sequence[str]) -> None:
     """Registry in order (K13, O11): a range-partitioned sort."""
     df.orderBy(*order).write.mode("overwrite").parquet(path)
-
-
-def append_ledger(facts: DataFrame, path: str) -> None:
-    """Append-only ledger; the current view is the latest row per key."""
-    facts.write.mode("append").parquet(path)
