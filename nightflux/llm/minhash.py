@@ -103,9 +103,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slack: f
 
     Equal sets form one node.  Each set gets a one-permutation signature with optimal
     densification and a key per band.  Within a bucket the candidate edges form stars: the first turn joins every
-    node to one centre, the same in all buckets of a group, the second to a centre of the bucket's own; each later turn takes
-    eight times as many centres, only in buckets that still hold more than one component, until every node has been a centre.  So an edge count is bound by rows times
-    centres, and yet no pair of different components that shares a bucket stays unseen.  Pairs whose signatures agree in
+    node to one centre, the same in all buckets of a group, the second to a centre of the bucket's own, so edges are bound by
+    rows.  What is left of buckets that still hold more than one component is dealt into parts of bounded size; two parts
+    meet inside one task, which hands on the links of a star for each component that it joins, never its pairs.  So no pair of
+    different components that shares a bucket stays unseen.  Pairs whose signatures agree in
     less than ``percent`` / 100 - ``slack`` of the bins (over four deviations below) are not looked at; the others are
     confirmed on the full sets.
 
@@ -139,28 +140,98 @@ def _linked(docs: DataFrame, marks: DataFrame, classes: DataFrame, members: Data
     sets = texts.select("text").mapInArrow(_sets(width), "node long, hashes array<long>").join(nodes, "node", "left_semi")
     sets = cut(sets.dropDuplicates(["node"]))
     label = nodes.withColumn("component", F.col("node"))
-    low, high, turn = 0, 0, 0
-    while True:
-        order = F.xxhash64("node") if turn == 0 else F.xxhash64("key", "node")
-        state = members.groupBy("key").agg(
-            F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), F.min(F.struct(order.alias("o"), "node")).alias("hub"))
-        state = cut(state.where((F.col("x") < F.col("y")) & (F.col("size") > low)).select("key", "size", "hub.node"))
-        members = cut(members.join(state.select("key", "size", F.col("node").alias("hub")), "key"))
-        if members.isEmpty():
-            return label
-        place = F.pmod(F.xxhash64("key", "node"), F.lit(2**40)) / F.lit(float(2**40)) * F.col("size")
-        centre = members.where((place >= low) & (place < high)) if high else members.where("node = hub")
-        centre = centre.select("key", F.col("node").alias("hub"), F.col("component").alias("own"))
-        pairs = members.select("key", "node", "component").join(centre, "key").where("component <> own")
+    for order in (F.xxhash64("node"), F.xxhash64("key", "node")):
+        members = _unsettled(members, F.min(F.struct(order.alias("o"), "node"))["node"].alias("hub"))
+        centre = members.where("node = hub").select("key", F.col("component").alias("own"))
+        pairs = members.join(centre, "key").where("component <> own")
         pairs = cut(pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-        links = cut(_confirmed(pairs, signs, sets, percent, slack))
-        left, right = (label.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-        joined = components(links.join(left, "a").join(right, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        joined = cut(joined.select(F.col("node").alias("component"), F.col("component").alias("root")))
-        label = cut(label.join(joined, "component", "left").select("node", F.coalesce("root", "component").alias("component")))
+        label = _joined(label, _confirmed(pairs, signs, sets, percent, slack))
         members = cut(members.select("key", "node").join(label, "node").select("key", "node", "component"))
-        turn += 1
-        low, high = (0, 0) if turn == 1 else (0, 8) if turn == 2 else (high, 8 * high)
+    return _joined(label, _met(members, signs, sets, percent, slack))
+
+
+def _unsettled(members: DataFrame, *aggs) -> DataFrame:
+    """Members of the buckets with more than one component; of buckets with the same members one stays."""
+    both = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"f{k}") for k in (0, 1)]
+    state = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), *both, *aggs).where("x < y")
+    own = [c for c in state.columns if c not in ("key", "x", "y", "size", "f0", "f1")]
+    state = cut(state.groupBy("size", "f0", "f1").agg(F.min(F.struct("key", *own)).alias("s")).select("s.key", "size", *[f"s.{c}" for c in own]))
+    return cut(members.join(state, "key"))
+
+
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after the components that links connect have become one."""
+    left, right = (label.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    joined = components(cut(links).join(left, "a").join(right, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    joined = cut(joined.select(F.col("node").alias("component"), F.col("component").alias("root")))
+    return cut(label.join(joined, "component", "left").select("node", F.coalesce("root", "component").alias("component")))
+
+
+#: Members and shingles of a part; two parts meet in a task.
+PART, PART_SHINGLES = 512, 1 << 22
+
+
+def _met(members: DataFrame, signs: DataFrame, sets: DataFrame, percent: int, slack: float) -> DataFrame:
+    """Links (``a``, ``b``) that join the components of every bucket as far as any of its pairs does.
+
+    A bucket's largest component and its other members are dealt into parts apart: members of the largest meet the others
+    only, so a bucket of one huge component and a few strangers costs rows in proportion.  A cell is two parts, or a small bucket as a whole.
+    """
+    members = _unsettled(members).select("key", "size", "node", "component")
+    sized = members.join(signs.select("node", "n_shingles"), "node")
+    by = sized.groupBy("key", "component").agg(F.count("*").alias("c"), F.max("n_shingles").alias("long"))
+    state = by.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.max("long").alias("long"))
+    rows = F.greatest(F.lit(1), F.least(F.lit(PART), F.floor(PART_SHINGLES / F.col("long"))))
+    state = cut(state.select("key", F.col("top.c").alias("most"), F.col("top.component").alias("major"), rows.alias("rows")))
+    dealt = members.join(state, "key").withColumn("lead", F.col("component") == F.col("major"))
+    dealt = dealt.withColumns({"leads": F.ceil(F.col("most") / F.col("rows")), "others": F.ceil((F.col("size") - F.col("most")) / F.col("rows")), "small": F.col("size") <= F.col("rows")})
+    place = F.xxhash64("key", "node")
+    dealt = dealt.withColumn("part", F.when(F.col("lead"), F.pmod(place, F.col("leads"))).otherwise(F.pmod(place, F.col("others"))))
+    cells = F.expr("""CASE WHEN small THEN array(struct(0L AS x, 0L AS y))
+        WHEN lead THEN transform(sequence(0L, others - 1), j -> struct(-1 - part AS x, j AS y))
+        ELSE concat(transform(sequence(0L, others - 1), j -> struct(least(part, j) AS x, greatest(part, j) AS y)),
+                    transform(sequence(0L, leads - 1), p -> struct(-1 - p AS x, part AS y))) END""")
+    dealt = dealt.select("key", "node", "component", F.when(F.col("small"), 0).when(F.col("lead"), -1 - F.col("part")).otherwise(F.col("part")).alias("part"), F.explode(cells).alias("cell"))
+    dealt = dealt.select("key", "cell.x", "cell.y", "part", "node", "component")
+    whole = dealt.join(signs.select("node", "signs"), "node").join(sets, "node")
+    least = int(BINS * (percent / 100 - slack))
+
+    def meet(group: pa.Table) -> pa.Table:
+        return _cell(group.combine_chunks(), least, percent)
+
+    return whole.groupBy("key", "x", "y").applyInArrow(meet, "a long, b long")
+
+
+def _cell(group: pa.Table, least: int, percent: int) -> pa.Table:
+    """A link for each two components of a cell that a pair of its members joins."""
+    node, root, part = (group.column(c).to_numpy().copy() for c in ("node", "component", "part"))
+    x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
+    hashes = group.column("hashes").combine_chunks()
+    sizes = hashes.value_lengths().to_numpy().astype(np.int64)
+    signs = group.column("signs").combine_chunks().flatten().to_numpy().reshape(len(node), BINS)
+    distinct, place = np.unique(hashes.flatten().to_numpy(), return_inverse=True)
+    ends = np.cumsum(sizes)
+    mark = np.zeros(len(distinct), bool)
+    numbers = np.arange(len(node))
+    found = []
+    for i in numbers[part == x] if x != y else numbers:
+        able = (part == y) if x != y else numbers > i
+        able &= (root != root[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
+        able = np.flatnonzero(able)
+        able = able[(signs[able] == signs[i]).sum(1) >= least]
+        if not len(able):
+            continue
+        own = place[ends[i] - sizes[i] : ends[i]]
+        mark[own] = True
+        starts = np.cumsum(sizes[able]) - sizes[able]
+        at = np.repeat(ends[able] - sizes[able] - starts, sizes[able]) + np.arange(sizes[able].sum())
+        both = np.add.reduceat(mark[place[at]].astype(np.int64), starts)
+        mark[own] = False
+        for j in able[100 * both >= percent * (sizes[able] + sizes[i] - both)]:
+            if root[j] != root[i]:
+                found.append((node[i], node[j]))
+                root[root == root[j]] = root[i]
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
 def _confirmed(pairs: DataFrame, signs: DataFrame, sets: DataFrame, percent: int, slack: float) -> DataFrame:

@@ -253,3 +253,30 @@ def test_registered_queries_on_odd_tables(spark, tmp_path):
     assert QUERIES["op12_licences"](spark, str(tmp_path)).where("base_labels = 'cc-by'").count() == 1
     got = [tuple(r) for r in QUERIES["op13_ranked_search"](spark, str(tmp_path)).orderBy("rank").collect()]
     assert sorted(map(repr, got)) == brute_ranks([d[:2] for d in docs], [(1, "a"), (None, None)])
+
+
+def test_near_duplicates_in_parts(spark, monkeypatch):
+    """A large group a little below and around the limit: stars do not settle it, parts of buckets meet."""
+    from nightflux.llm import minhash
+
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(90)]
+    rows = []
+    for k in range(150):
+        text = list(base)
+        for at in rng.sample(range(90), rng.choice([2, 3, 4])):
+            text[at] = f"z{rng.randrange(10**6)}"
+        rows.append((k, " ".join(text)))
+    rows += [(1000 + k, " ".join([*base[:60], f"y{k // 3}", *base[:20], f"y{k % 3}"])) for k in range(30)]
+    sets = [{tuple(t.split()[j : j + 4]) for j in range(len(t.split()) - 3)} for _, t in rows]
+    low = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            old, new = max(low[i], low[j]), min(low[i], low[j])
+            low = [new if x == old else x for x in low]
+    want = {rows[i][0]: rows[x][0] for i, x in enumerate(low)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for part in (512, 20):
+        monkeypatch.setattr(minhash, "PART", part)
+        assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df, width=4).collect()} == want
+    assert 1 < len(set(want.values())) < len(rows)
