@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +21,10 @@ STANDS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g",
 SEPARATORS = ".-_*~^'`,:/\\ "
 #: Costs in nats: a sign for a letter, a separator, a repeated letter left out.
 SUBSTITUTED, SEPARATED, REPEATED = 1.0, 0.5, 1.0
-#: The language model's alphabet is bounded: this many of the most frequent letters.
-LETTERS = 64
+#: The language model holds this many of the most frequent trigrams; any other costs what its context gives unseen letters.
+GRAMS = 1 << 18
+#: What a path over white space may cost: so much in all and for each letter, language model included.
+SPARE, ROOM = 4.0, 7.0
 EDGE = "\x02"
 #: Signs of a token that may be a part of a word's start.
 SHORT = 3
@@ -42,14 +44,16 @@ class Channel:
         context = Counter()
         for gram, n in trigrams.items():
             context[gram[:2]] += n
-        self.cost = {g: -math.log((n + 0.1) / (context[g[:2]] + 0.1 * LETTERS)) for g, n in trigrams.items()}
-        self.unseen = {c: -math.log(0.1 / (n + 0.1 * LETTERS)) for c, n in context.items()}
         self.letters = {g[2] for g in trigrams} - {EDGE}
+        size = max(2, len(self.letters))
+        self.cost = {g: -math.log((n + 0.1) / (context[g[:2]] + 0.1 * size)) for g, n in trigrams.items()}
+        self.unseen = {c: -math.log(0.1 / (n + 0.1 * size)) for c, n in context.items()}
+        self.unknown = math.log(size)
 
     def _step(self, before: str, letter: str) -> float:
         gram = before + letter
         cost = self.cost.get(gram)
-        return cost if cost is not None else self.unseen.get(before, math.log(LETTERS))
+        return cost if cost is not None else self.unseen.get(before, self.unknown)
 
     def restore(self, word: str) -> str:
         """The likeliest clean word behind a noisy one.
@@ -88,7 +92,7 @@ class Channel:
 def readings(token: str, channel: Channel) -> tuple[str, ...]:
     """The words a token may be read as: itself in lower case, and what the channel restores if it looks noisy."""
     word = token.strip(OUTER).lower()
-    if word.isalpha() and not re.search(r"(.)\1\1", word):
+    if word.isalpha() and not re.search(r"(.)\1", word):
         return (word,)
     noisy = token.strip(" \t\r\n,;:?\"'").lower()
     # clean punctuation at the ends is no noise; ids and addresses restore to some word that no list knows
@@ -122,12 +126,9 @@ def _grams(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trigram_counts(docs: DataFrame) -> dict[str, int]:
-    """Trigram counts of the words of all texts, over the LETTERS most frequent letters: at most (LETTERS + 1) ** 3 entries."""
-    grams = cut(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")))
-    top = grams.groupBy(F.substring("gram", 3, 1).alias("c")).agg(F.sum("n").alias("n")).where(F.col("c") != EDGE)
-    letters = [r.c for r in top.orderBy(F.desc("n"), "c").limit(LETTERS).collect()]
-    inside = [F.substring("gram", k, 1).isin([EDGE, *letters]) for k in (1, 2, 3)]
-    return {r.gram: r.n for r in grams.where(inside[0] & inside[1] & inside[2]).collect()} if letters else {}
+    """Counts over the words of all texts of the GRAMS most frequent trigrams."""
+    grams = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return {r.gram: r.n for r in grams.orderBy(F.desc("n"), "gram").limit(GRAMS).collect()}
 
 
 def _counts(model: Channel):
@@ -158,8 +159,7 @@ def _side_by_side(scorer: Scorer):
                 out += [(*x, toxic) for x in set(scorer.spaced(words, [scorer.memo[w] for w in words]))]
             columns = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.float64(), pa.int32()), strict=True)], ["joined", "word", "odds", "toxic"])
-        scorer.memo.forget()
-        scorer.begun.forget()
+        scorer.forget()
 
     return run
 
@@ -171,53 +171,93 @@ class Scorer:
         self.channel, self.signs, self.weights, self.joined = channel, signs, np.zeros(4), {}
         self.whole = {f[1:]: w for f, w in signs.items() if f[0] == "="}
         self.starts = {f[:-1]: w for f, w in signs.items() if f[0] != "="}
-        self.prefixes = {w[:n] for w in (*self.whole, *self.starts) for n in range(1, len(w) + 1)}
+        #: The letters that may follow each beginning of a known word.
+        self.next: dict[str, set[str]] = {}
+        for w in (*self.whole, *self.starts):
+            for n in range(len(w)):
+                self.next.setdefault(w[:n], set()).add(w[n])
 
     def start(self) -> None:
         get = self.signs.get
         self.memo = Remember(lambda token: max((get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0), 250_000)
         # most tokens begin no word of the list and are settled by one look
-        self.begun = Remember(lambda token: self._walk({""}, token)[0], 250_000)
+        self.begun = Remember(lambda token: tuple(x for x in self._walk((("", 0.0),), token)[0] if x[0]), 250_000)
+        self.walked = Remember(lambda x: self._walk(tuple((s, c + SEPARATED) for s, c in x[0]), x[1]), 100_000)
+        self.heads = Remember(self._heads, 250_000)
+        self.allowed = Remember(lambda states: set().union(*(self.next.get(s, ()) for s, _ in states), (s[-1] for s, _ in states)), 50_000)
+
+    def forget(self) -> None:
+        for memo in (self.memo, self.begun, self.walked, self.heads, self.allowed):
+            memo.forget()
+
+    @staticmethod
+    def _heads(token: str) -> frozenset[str] | None:
+        """The letters that a token's first letter may be; None if it may be left out as a whole."""
+        found: set[str] = set()
+        for sign in token.lower():
+            letters = sign if sign.isalpha() else STANDS.get(sign, "")
+            found.update(letters)
+            if not (sign in SEPARATORS or sign in OUTER or not (letters or sign.isalnum())):
+                return frozenset(found)
+        return None
 
-    def _walk(self, states: Iterable[str], token: str) -> tuple[frozenset[str], set[str]]:
-        """The beginnings of known words that ``states`` and then ``token`` may stand for, and the known starts met in it.
+    def _walk(self, states: tuple[tuple[str, float], ...], token: str) -> tuple[tuple[tuple[str, float], ...], set[str]]:
+        """The beginnings of known words that ``states`` and then ``token`` may stand for, with their costs, and the known starts met in it.
 
-        The lattice is the channel's, with outer punctuation left out too; a path that begins no known word ends.
+        The lattice and the costs are the channel's and its language model's, with outer punctuation left out too.  A path that
+        begins no known word ends, and so does one that costs more than SPARE and ROOM a letter, so a run of equal tokens ends soon.
         """
-        states, met = set(states), set()
+        now, met, step = dict(states), set(), self.channel._step
         for sign in token.lower():
-            letters = sign if sign.isalpha() else STANDS.get(sign, "")
+            letters = [(sign, 0.0)] if sign.isalpha() else [(c, SUBSTITUTED) for c in STANDS.get(sign, "")]
             skipped = sign in SEPARATORS or sign in OUTER or not (letters or sign.isalnum())
-            after = set(states) if skipped else set()
-            for letter in letters:
-                after.update(t for s in states if (t := s + letter) in self.prefixes)
-                after.update(s for s in states if s[-1:] == letter)
-            states = after
-            if not states:
+            after: dict[str, float] = {}
+
+            def offer(state: str, cost: float, after=after) -> None:
+                if cost <= SPARE + ROOM * len(state) and cost < after.get(state, math.inf):
+                    after[state] = cost
+
+            for s, cost in now.items():
+                if skipped:
+                    offer(s, cost + SEPARATED)
+                for letter, noise in letters:
+                    if letter in self.next.get(s, ()):
+                        offer(s + letter, cost + noise + step((EDGE + EDGE + s)[-2:], letter))
+                    if s[-1:] == letter:
+                        offer(s, cost + noise + REPEATED)
+            now = after
+            if not now:
                 break
-            met.update(s for s in states if s in self.starts)
-        return frozenset(states), met
+            met.update(s for s in now if s in self.starts)
+        return tuple(sorted(now.items())), met
 
     def spaced(self, words: list[str], odds: list[float]) -> Iterator[tuple[str, str, float]]:
         """Known words that white space divides: the tokens, the word, its log-odds.
 
         Each begins and ends with a token and holds letters of two at least.  A whole word may be divided anyhow; a word's
         start counts in short tokens only, for an ordinary word after another one easily gives a start.  Tokens that the labelled rows hold side
-        by side (two ordinary words) have log-odds of their own.
+        by side (two ordinary words) have log-odds of their own.  A gap costs a separator, so the tokens that a path takes in are
+        bounded by its letters and a text takes time in proportion to its length.
         """
-        k, begun = 0, self.begun
+        k, begun, heads, allowed = 0, self.begun, self.heads, self.allowed
         while k < len(words):
-            states = begun[words[k]] - {""} if not odds[k] else ()
-            best, end, at, joined = None, k + 1, k, words[k].strip(OUTER).lower()
-            short = len(joined) <= SHORT
+            states = begun[words[k]] if not odds[k] else ()
+            best, end, at = None, k + 1, k
             while states and (at := at + 1) < len(words):
-                before, part = states, words[at].strip(OUTER).lower()
-                short, joined = short and len(part) <= SHORT, f"{joined} {part}"
-                states, met = self._walk(before, words[at])
-                for s in (states | met) - before:
-                    x = max(self.whole.get(s, 0.0) if s in states else 0.0, self.starts.get(s, 0.0) if short else 0.0)
+                head = heads[words[at]]
+                if head is not None and head.isdisjoint(allowed[states]):
+                    break
+                before = {s for s, _ in states}
+                states, met = self.walked[states, words[at]]
+                here = {s for s, _ in states}
+                for s in (here | met) - before:
+                    if s not in self.starts and s not in self.whole:
+                        continue
+                    parts = [w.strip(OUTER).lower() for w in words[k : at + 1]]
+                    x = max(self.whole.get(s, 0.0) if s in here else 0.0, self.starts.get(s, 0.0) if max(map(len, parts)) <= SHORT else 0.0)
                     if not x:
                         continue
+                    joined = " ".join(parts)
                     x = self.joined.get((joined, s), x)
                     if x >= LEAST_ODDS and (best is None or (x, s) > best[:2]):
                         best, end = (x, s, joined), at + 1
@@ -293,8 +333,7 @@ def measured(rows: DataFrame, scorer: Scorer) -> DataFrame:
         for batch in batches(stream):
             found = [scorer.measures(x) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.list_(pa.float64()))], [*names, "measures"])
-        scorer.memo.forget()
-        scorer.begun.forget()
+        scorer.forget()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(run, f"{schema}, measures array<double>")
@@ -313,8 +352,7 @@ def score(docs: DataFrame, scorer: Scorer, keep: bool = False) -> DataFrame:
             x = np.array([scorer.measures(t) for t in batch.column("_text").to_pylist()]).reshape(-1, 4)
             out = scorer.score(x) if scorer.signs else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out)], [*names, "score"])
-        scorer.memo.forget()
-        scorer.begun.forget()
+        scorer.forget()
 
     docs = docs.select(*names, F.col("text").cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])

@@ -280,3 +280,59 @@ def test_near_duplicates_in_parts(spark, monkeypatch):
         monkeypatch.setattr(minhash, "PART", part)
         assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df, width=4).collect()} == want
     assert 1 < len(set(want.values())) < len(rows)
+
+
+def test_toxicity_walks_in_proportion_to_the_text():
+    import time
+    from collections import Counter
+
+    from nightflux.llm.toxicity import EDGE, Channel, Scorer, features
+
+    grams = Counter()
+    for word in ["idiot", "stupid", "scum", "island", "the", "bitter"] * 50:
+        padded = EDGE * 2 + word + EDGE
+        grams.update(padded[k : k + 3] for k in range(len(word) + 1))
+    scorer = Scorer(Channel(grams), {f: 5.0 for w in ("idiot", "stupid", "scum", "illness") for f in features(w)})
+    scorer.start()
+    for text in ("i " * 50000, "| " * 50000, "- " * 50000, "s c u " * 20000):
+        start = time.perf_counter()
+        scorer.measures(text)
+        assert time.perf_counter() - start < 5
+    assert scorer.memo["idioot"] == scorer.memo["iidiot"] == 5.0 and scorer.memo["islland"] == 0.0
+
+
+def test_channel_against_every_path():
+    """Viterbi decoding against all readings of short noisy words."""
+    from collections import Counter
+
+    from nightflux.llm.toxicity import EDGE, REPEATED, SEPARATED, SEPARATORS, STANDS, SUBSTITUTED, Channel
+
+    grams = Counter()
+    for word in ["aisle", "idle", "lid", "ail", "dial", "ill"] * 9 + ["add", "lad"]:
+        padded = EDGE * 2 + word + EDGE
+        grams.update(padded[k : k + 3] for k in range(len(word) + 1))
+    channel = Channel(grams)
+
+    def paths(word):
+        found = [("", 0.0)]
+        for sign in word:
+            after = []
+            for text, cost in found:
+                state = (EDGE * 2 + text)[-2:]
+                if sign in SEPARATORS:
+                    after.append((text, cost + SEPARATED))
+                choices = [(sign, 0.0)] if sign.isalpha() else [(c, SUBSTITUTED) for c in STANDS.get(sign, "")]
+                for letter, noise in choices:
+                    after.append((text + letter, cost + noise + channel._step(state, letter)))
+                    if text[-1:] == letter:
+                        after.append((text, cost + noise + REPEATED))
+                if not choices and sign not in SEPARATORS:
+                    after.append((text, cost + 2 * SUBSTITUTED))
+            found = after
+        return {t: min(c + channel._step((EDGE * 2 + t)[-2:], EDGE) for x, c in found if x == t) for t, _ in found}
+
+    rng = random.Random(8)
+    for _ in range(300):
+        word = "".join(rng.choices("aiddl1|4.-0#", k=rng.randrange(1, 7)))
+        costs = paths(word)
+        assert costs[channel.restore(word)] == pytest.approx(min(costs.values()))
