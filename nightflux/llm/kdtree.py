@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from nightflux.session import cut
 
 SHARD, LEAF, QUERIES = 8192, 256, 256
-#: Larger components than this have no exact score in a long; such vectors take no part.
-LARGEST = 1 << 27
+#: Integers from here on are no longs; scores are cut off there, components beyond take no part.
+LONG = 1 << 63
 
 
 def usable(vector: Column) -> Column:
@@ -28,6 +28,18 @@ def scaled(vector: Column, scale: float) -> Column:
     return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
 
 
+def longs(scores: np.ndarray) -> np.ndarray:
+    """Exact integers as longs, cut off at the ends of a long."""
+    if scores.dtype == object:
+        scores = np.array([max(-LONG, min(LONG - 1, int(x))) for x in scores.tolist()], np.int64)
+    return scores.astype(np.int64)
+
+
+def exact(largest: int, size: int):
+    """A type in which sums of ``size`` products up to ``largest`` are exact: doubles multiply fastest, Python's integers always hold."""
+    return np.float64 if largest * size < 2**52 else np.int64 if largest * size < LONG else object
+
+
 class Tree:
     """Median splits along the widest side; each node has its tight box and its smallest id.  Node k has the children 2k + 1 and 2k + 2."""
 
@@ -43,7 +55,7 @@ class Tree:
             if k < 2**depth - 1:
                 middle = (a + b) // 2
                 if b - a > 1:
-                    side = int((high - low).argmax())
+                    side = int((high.astype(np.float64) - low.astype(np.float64)).argmax())
                     order[a:b] = order[a:b][np.argpartition(own[:, side], middle - a)]
                 spans += [(a, middle), (middle, b)]
         self.ids, self.points = ids[order], points[order]
@@ -77,7 +89,7 @@ class Tree:
                             heapq.heappush(heap, (-int(reach[q, child]), child))
                     continue
                 a, b = self.spans[node]
-                score, ids = (self.points[a:b] @ queries[q]).astype(np.int64), self.ids[a:b]
+                score, ids = longs(self.points[a:b] @ queries[q]), self.ids[a:b]
                 keep = ids != own[q]
                 if kth:
                     keep &= score >= kth[0]
@@ -130,9 +142,11 @@ def _numbered(vectors: DataFrame, rows: int) -> DataFrame:
 
 
 def _unpacked(ids: bytes, points: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(points, np.int64).reshape(-1, size)
-    # products of small components are exact in doubles, which multiply faster
-    return np.frombuffer(ids, np.int64), data.astype(np.float64) if np.abs(data).max(initial=0) ** 2 * size < 2**52 and np.abs(data).max(initial=0) < 2**20 else data
+    return np.frombuffer(ids, np.int64), np.frombuffer(points, np.int64).reshape(-1, size)
+
+
+def _largest(points: np.ndarray) -> int:
+    return max(int(points.max(initial=0)), -int(points.min(initial=0)))
 
 
 def _searched(k: int):
@@ -142,10 +156,12 @@ def _searched(k: int):
             for row in batch.to_pylist():
                 if built != (row["size"], row["shard"]):
                     tree, built = Tree(*_unpacked(row["ids"], row["points"], row["size"])), (row["size"], row["shard"])
+                    whole, most = (tree.points, tree.low, tree.high), _largest(tree.points)
                 own, queries = _unpacked(row["q_ids"], row["q_points"], row["size"])
-                if queries.dtype != tree.points.dtype:
-                    queries = queries.astype(np.int64)
-                    tree.points, tree.low, tree.high = (x.astype(np.int64) for x in (tree.points, tree.low, tree.high))
+                kind = exact(max(1, most) * max(1, _largest(queries)), row["size"])
+                queries = queries.astype(kind)
+                if tree.points.dtype != kind:
+                    tree.points, tree.low, tree.high = (x.astype(kind) for x in whole)
                 known = [None if i not in row["kth"] else row["kth"][i] for i in range(len(own))] if row["kth"] else [None] * len(own)
                 found = list(tree.search(queries, own.tolist(), k, known))
                 yield pa.RecordBatch.from_arrays([
@@ -188,15 +204,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
 
     Both inputs have ``vec_id`` and ``embedding``; components become floor(scale * x).  Ties go to
     the smaller vec_id.  Rows with the query's own id are not its candidates.  Vectors that are null, empty,
-    without id, or hold null or non-finite components take no part; vectors of unlike length
-    never meet.  Repeated queries count once (of one id with several vectors the smallest is taken).
+    without id, or hold null or non-finite components (or ones that are no longs after scaling) take no part; scores of large
+    components are exact, cut off at the ends of a long; vectors of unlike length never meet.  Repeated queries count once (of one id with several vectors the smallest is taken).
 
     Vectors are packed into shards of SHARD rows as they are scanned, queries into blocks of QUERIES.  First each
     block searches one shard; its k-th scores then go along to all other shards, where whole boxes stay unseen.
     """
     def points(df: DataFrame) -> DataFrame:
         df = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-        df = df.where(F.forall("v", lambda x: F.abs(x.cast("double") * scale) < LARGEST))
+        df = df.where(F.forall("v", lambda x: F.abs(x.cast("double") * scale) < float(LONG)))
         return df.select("vec_id", scaled(F.col("v"), scale).alias("point"))
 
     shards = _numbered(points(vectors), SHARD).withColumnRenamed("number", "shard")

@@ -336,3 +336,19 @@ def test_channel_against_every_path():
         word = "".join(rng.choices("aiddl1|4.-0#", k=rng.randrange(1, 7)))
         costs = paths(word)
         assert costs[channel.restore(word)] == pytest.approx(min(costs.values()))
+
+
+def test_top_k_of_large_components(spark):
+    from nightflux.llm import kdtree
+
+    rng = random.Random(12)
+    rows = [(k, [rng.choice([-1.0, 1.0]) * rng.random() * 10 ** rng.randrange(0, power) for _ in range(4)]) for k, power in enumerate([2] * 40 + [8] * 40 + [12] * 10)]
+    whole = {k: [math.floor(64 * x) for x in v] for k, v in rows}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in kdtree.top_k(df, df.where("vec_id % 20 = 0"), k=5, scale=64.0).collect())
+    want = []
+    for q in range(0, 90, 20):
+        cut_off = lambda x: max(-(2**63), min(2**63 - 1, x))
+        best = sorted((-cut_off(sum(a * b for a, b in zip(whole[q], whole[k], strict=True))), k) for k in whole if k != q)[:5]
+        want += [(q, n, k, -s) for n, (s, k) in enumerate(best, 1)]
+    assert got == want
