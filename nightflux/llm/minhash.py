@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightflux.llm.common import Remember, batches, lists, mix64
@@ -83,10 +83,32 @@ def _marks(width: int):
     return run
 
 
-def _sets(width: int):
+#: Bits of the filter of documents whose sets are wanted: 16 MB, whatever the input's size.
+BITS, PROBES = 27, 3
+
+
+def _places(number: Column) -> list[Column]:
+    return [F.pmod(F.xxhash64(number, F.lit(k)), F.lit(1 << BITS)) for k in range(PROBES)]
+
+
+def bits_of(numbers: DataFrame) -> np.ndarray:
+    """A Bloom filter of the first column: words of 64 bits, at most 2^BITS bits in all.  Beyond a few hundred million numbers it lets most pass."""
+    at = numbers.select(F.explode(F.array(*_places(F.col(numbers.columns[0])))).alias("at"))
+    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    found = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(1 << (BITS - 6), np.int64)
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return words
+
+
+def _sets(width: int, bits: np.ndarray):
+    """Sets of the documents that the filter lets pass, by the places that Spark has found for their ids."""
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
-        for batch in batches(stream):
+        for whole in batches(stream):
+            places = [whole.column(k + 1).to_numpy() for k in range(PROBES)]
+            passed = np.logical_and.reduce([(bits[p >> 6] >> (p & 63)) & 1 for p in places]).astype(bool)
+            batch = whole.filter(pa.array(passed))
             sets = [shingle(x) for x in batch.column("text").to_pylist()]
             nodes = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), lists([x.view(np.int64) for x in sets], pa.int64())], ["node", "hashes"])
@@ -134,10 +156,9 @@ def _linked(docs: DataFrame, marks: DataFrame, classes: DataFrame, members: Data
     wanted = cut(classes.join(nodes, "node"))
     one = marks.alias("m").join(wanted.alias("w"), (F.col("m.node") == F.col("w.node")) & F.col("m.doc_id").eqNullSafe(F.col("w.low")))
     signs = cut(one.select("m.node", "n_shingles", "signs").dropDuplicates(["node"]))
-    texts = docs.join(wanted.select(F.col("low").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    if not wanted.where("low is null").isEmpty():
-        texts = texts.union(docs.where("doc_id is null"))
-    sets = texts.select("text").mapInArrow(_sets(width), "node long, hashes array<long>").join(nodes, "node", "left_semi")
+    # texts stay where they are: only the sets of documents that a small filter lets pass are dealt out, and matched exactly
+    marked = docs.select("text", *[p.alias(f"p{k}") for k, p in enumerate(_places(F.col("doc_id")))])
+    sets = marked.mapInArrow(_sets(width, bits_of(wanted.select("low"))), "node long, hashes array<long>").join(nodes, "node", "left_semi")
     sets = cut(sets.dropDuplicates(["node"]))
     label = nodes.withColumn("component", F.col("node"))
     for order in (F.xxhash64("node"), F.xxhash64("key", "node")):

@@ -37,6 +37,14 @@ LEAST_ODDS, LEAST_SEEN = 2.0, 10
 STRONG = 4.0
 
 
+DOUBLE, TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
+
+
+def bare(word: str) -> str:
+    """The first three letters of a word without repeats; a path that only leaves out repeats keeps them."""
+    return re.sub(r"(.)\1+", r"\1", word)[:3]
+
+
 class Channel:
     """Viterbi decoding of one noisy word under a character trigram model."""
 
@@ -92,8 +100,8 @@ class Channel:
 def readings(token: str, channel: Channel) -> tuple[str, ...]:
     """The words a token may be read as: itself in lower case, and what the channel restores if it looks noisy."""
     word = token.strip(OUTER).lower()
-    if word.isalpha() and not re.search(r"(.)\1", word):
-        return (word,)
+    if word.isalpha() and not TRIPLE.search(word):
+        return tuple(dict.fromkeys((word, channel.restore(word)))) if DOUBLE.search(word) else (word,)
     noisy = token.strip(" \t\r\n,;:?\"'").lower()
     # clean punctuation at the ends is no noise; ids and addresses restore to some word that no list knows
     return tuple(dict.fromkeys(x for x in (word, channel.restore(word), channel.restore(noisy)) if x))
@@ -178,14 +186,21 @@ class Scorer:
                 self.next.setdefault(w[:n], set()).add(w[n])
 
     def start(self) -> None:
-        get = self.signs.get
-        self.memo = Remember(lambda token: max((get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0), 250_000)
+        self.bare = {bare(w) for w in (*self.whole, *self.starts)}
+        self.memo = Remember(self._odds, 250_000)
         # most tokens begin no word of the list and are settled by one look
         self.begun = Remember(lambda token: tuple(x for x in self._walk((("", 0.0),), token)[0] if x[0]), 250_000)
         self.walked = Remember(lambda x: self._walk(tuple((s, c + SEPARATED) for s, c in x[0]), x[1]), 100_000)
         self.heads = Remember(self._heads, 250_000)
         self.allowed = Remember(lambda states: set().union(*(self.next.get(s, ()) for s, _ in states), (s[-1] for s, _ in states)), 50_000)
 
+    def _odds(self, token: str) -> float:
+        """The strongest sign that a token's readings are; most words begin like none and need no decoding."""
+        word = token.strip(OUTER).lower()
+        if word.isalpha() and not TRIPLE.search(word) and bare(word) not in self.bare:
+            return 0.0
+        return max((self.signs.get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0)
+
     def forget(self) -> None:
         for memo in (self.memo, self.begun, self.walked, self.heads, self.allowed):
             memo.forget()
