@@ -128,7 +128,7 @@ def test_runs_leave_the_iteration_and_keep_their_weights(spark):
     lc = spark.createDataFrame(rows, "run string, star_id int, jd double, nflux double")
     w = lc.select("run", "star_id").distinct().withColumns({c: F.lit(1.0) for c in ("w1", "w2", "w3", "w1_start")})
     w = E.total_weights(w, ["run"]).drop("no_weight")
-    how = dict(rounds=5, tolerance=0.004, box=4.0, threshold=0.5, bucket=20.0)
+    how = dict(rounds=12, tolerance=0.004, box=4.0, threshold=0.5, bucket=20.0)
     whole = {(r.run, r.star_id): (r.weight, r.rounds) for r in E.reweight(lc, w, ["run"], **how).collect()}
     for run in "b":
         alone = E.reweight(lc.where(F.col("run") == run), w.where(F.col("run") == run), ["run"], **how).collect()
