@@ -37,12 +37,14 @@ LEAST_ODDS, LEAST_SEEN = 2.0, 10
 STRONG = 4.0
 
 
-DOUBLE, TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
+DOUBLE, TRIPLE, REPEATS = re.compile(r"(.)\1"), re.compile(r"(.)\1\1"), re.compile(r"(.)\1+")
 
 
 def bare(word: str) -> str:
     """The first three letters of a word without repeats; a path that only leaves out repeats keeps them."""
-    return re.sub(r"(.)\1+", r"\1", word)[:3]
+    if len(word) > 2 and word[0] != word[1] != word[2]:
+        return word[:3]
+    return REPEATS.sub(r"\1", word)[:3]
 
 
 class Channel:
@@ -102,9 +104,14 @@ def readings(token: str, channel: Channel) -> tuple[str, ...]:
     word = token.strip(OUTER).lower()
     if word.isalpha() and not TRIPLE.search(word):
         return tuple(dict.fromkeys((word, channel.restore(word)))) if DOUBLE.search(word) else (word,)
-    noisy = token.strip(" \t\r\n,;:?\"'").lower()
+    noisy = outer_noise(token)
     # clean punctuation at the ends is no noise; ids and addresses restore to some word that no list knows
-    return tuple(dict.fromkeys(x for x in (word, channel.restore(word), channel.restore(noisy)) if x))
+    return tuple(dict.fromkeys(x for x in (word, *map(channel.restore, dict.fromkeys((word, noisy)))) if x))
+
+
+def outer_noise(token: str) -> str:
+    """A token with those signs at its ends that may stand for a letter."""
+    return token.strip(" \t\r\n,;:?\"'").lower()
 
 
 def features(word: str) -> list[str]:
@@ -164,7 +171,7 @@ def _side_by_side(scorer: Scorer):
             out = []
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 words = (text or "").split()
-                out += [(*x, toxic) for x in set(scorer.spaced(words, [scorer.memo[w] for w in words]))]
+                out += [(*x, toxic) for x in set(scorer.spaced(words, [scorer.facts[w] for w in words]))]
             columns = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.float64(), pa.int32()), strict=True)], ["joined", "word", "odds", "toxic"])
         scorer.forget()
@@ -188,26 +195,59 @@ class Scorer:
     def start(self) -> None:
         self.bare = {bare(w) for w in (*self.whole, *self.starts)}
         self.memo = Remember(self._odds, 250_000)
-        # most tokens begin no word of the list and are settled by one look
-        self.begun = Remember(lambda token: tuple(x for x in self._walk((("", 0.0),), token)[0] if x[0]), 250_000)
+        self.facts = Remember(self._facts, 250_000)
         self.walked = Remember(lambda x: self._walk(tuple((s, c + SEPARATED) for s, c in x[0]), x[1]), 100_000)
-        self.heads = Remember(self._heads, 250_000)
         self.allowed = Remember(lambda states: set().union(*(self.next.get(s, ()) for s, _ in states), (s[-1] for s, _ in states)), 50_000)
+        self.alone: dict[str, frozenset[str]] = {}
+        self.pairs = {c + d for c in self.next.get("", ()) for d in (c, *self.next.get(c, ()))}
 
     def _odds(self, token: str) -> float:
         """The strongest sign that a token's readings are; most words begin like none and need no decoding."""
         word = token.strip(OUTER).lower()
-        if word.isalpha() and not TRIPLE.search(word) and bare(word) not in self.bare:
-            return 0.0
+        if word.isalpha() and not TRIPLE.search(word):
+            if bare(word) not in self.bare:
+                return 0.0
+        elif not (self._reaches(word) or self._reaches(outer_noise(token))):
+            return max((self.signs.get(f, 0.0) for f in features(word)), default=0.0)
         return max((self.signs.get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0)
 
+    def _reaches(self, word: str) -> bool:
+        """Whether any path of the channel's lattice, whatever it costs, may give a known word or start; the others need no decoding."""
+        now = {""}
+        for sign in word:
+            letters = sign if sign.isalpha() else STANDS.get(sign, "")
+            after = set(now) if sign in SEPARATORS or not letters else set()
+            for s in now:
+                known = self.next.get(s, ())
+                after.update(s + c for c in letters if c in known)
+                if s[-1:] and s[-1] in letters:
+                    after.add(s)
+            now = after
+            if not now:
+                return False
+            if any(s in self.whole or s in self.starts for s in now):
+                return True
+        return False
+
+    def _facts(self, token: str) -> tuple[float, tuple, frozenset[str] | None]:
+        """A token's log-odds, the beginnings of known words that it may stand for if it has none, and its heads.
+
+        Most tokens begin no word of the list and are settled by one look."""
+        odds, heads = self._odds(token), self._heads(token)
+        pair = token[:2].lower()
+        if odds or heads is not None and heads.isdisjoint(self.next.get("", ())) or pair.isalpha() and len(pair) == 2 and pair not in self.pairs:
+            return odds, (), heads
+        return odds, tuple(x for x in self._walk((("", 0.0),), token)[0] if x[0]), heads
+
     def forget(self) -> None:
-        for memo in (self.memo, self.begun, self.walked, self.heads, self.allowed):
+        for memo in (self.memo, self.facts, self.walked, self.allowed):
             memo.forget()
 
-    @staticmethod
-    def _heads(token: str) -> frozenset[str] | None:
+    def _heads(self, token: str) -> frozenset[str] | None:
         """The letters that a token's first letter may be; None if it may be left out as a whole."""
+        first = token[:1].lower()
+        if first.isalpha() and len(first) == 1:
+            return self.alone.get(first) or self.alone.setdefault(first, frozenset(first))
         found: set[str] = set()
         for sign in token.lower():
             letters = sign if sign.isalpha() else STANDS.get(sign, "")
@@ -246,7 +286,7 @@ class Scorer:
             met.update(s for s in now if s in self.starts)
         return tuple(sorted(now.items())), met
 
-    def spaced(self, words: list[str], odds: list[float]) -> Iterator[tuple[str, str, float]]:
+    def spaced(self, words: list[str], facts: list[tuple]) -> Iterator[tuple[str, str, float]]:
         """Known words that white space divides: the tokens, the word, its log-odds.
 
         Each begins and ends with a token and holds letters of two at least.  A whole word may be divided anyhow; a word's
@@ -254,12 +294,13 @@ class Scorer:
         by side (two ordinary words) have log-odds of their own.  A gap costs a separator, so the tokens that a path takes in are
         bounded by its letters and a text takes time in proportion to its length.
         """
-        k, begun, heads, allowed = 0, self.begun, self.heads, self.allowed
-        while k < len(words):
-            states = begun[words[k]] if not odds[k] else ()
+        end, allowed = 0, self.allowed
+        for k, (_, states, _) in enumerate(facts):
+            if not states or k < end:
+                continue
             best, end, at = None, k + 1, k
             while states and (at := at + 1) < len(words):
-                head = heads[words[at]]
+                head = facts[at][2]
                 if head is not None and head.isdisjoint(allowed[states]):
                     break
                 before = {s for s, _ in states}
@@ -278,16 +319,15 @@ class Scorer:
                         best, end = (x, s, joined), at + 1
             if best:
                 yield best[2], best[1], best[0]
-            k = end
 
     def measures(self, text: str | None) -> list[float]:
         """1, the logarithm of the distinct signs' summed excess, the strongest sign, the logarithm of strong signs per 100 words."""
         words = text.split() if text else []
-        memo = self.memo
-        odds = [memo[w] for w in words]
+        facts = list(map(self.facts.__getitem__, words))
+        odds = [x[0] for x in facts]
         found = {w.strip(OUTER).lower(): x for w, x in zip(words, odds, strict=True) if x} if any(odds) else {}
         strong = sum(x >= STRONG for x in odds)
-        for _, w, x in self.spaced(words, odds) if self.signs else ():
+        for _, w, x in self.spaced(words, facts) if self.signs else ():
             found[w] = x
             strong += x >= STRONG
         excess = sum(x - LEAST_ODDS for x in found.values())
