@@ -109,8 +109,7 @@ def grid_lookup(
     ``dims`` maps grid axes to row expressions.  Each row finds its lattice cell by
     comparing against the axis values and meets the cell's corners in one equality
     join; rows are neither multiplied nor moved.
-    Outside the grid the result is NULL.  The usual method is a cubic surface in two
-    axes; linear is a stated divergence.
+    Outside the grid the result is NULL.  ``surface.surface_lookup`` is the cubic one.
     """
     axes = axes or {d: axis_values(grid, d) for d in dims}
     cells = lattice_cells(grid, axes, value)

@@ -12,40 +12,39 @@ from ..operators import ordered as O
 from .lightcurves import clip_sql
 from .registry import query, r, with_
 
-# probes: times of another event type; samples: 'view'
-ALIGN = """smp AS (SELECT t, y FROM series WHERE series = 'view'),
-prb AS (SELECT event_id, t FROM series WHERE series = 'purchase')"""
+# samples: every event of a series; probes: every event's time, moved a little later or earlier
+ALIGN = """smp AS (SELECT series, t, y FROM series),
+prb AS (SELECT series, event_id, t + 0.013::DOUBLE * (1 - 2 * (event_id % 2)) AS t FROM series)"""
 PREV_NEXT = """pn AS (
-  SELECT p.event_id, p.t, a.t AS t0, a.y AS y0, b.t AS t1, b.y AS y1
-  FROM prb p ASOF LEFT JOIN smp a ON p.t >= a.t ASOF LEFT JOIN smp b ON p.t < b.t)"""
+  SELECT p.series, p.event_id, p.t, a.t AS t0, a.y AS y0, b.t AS t1, b.y AS y1
+  FROM prb p ASOF LEFT JOIN smp a ON p.series = a.series AND p.t >= a.t ASOF LEFT JOIN smp b ON p.series = b.series AND p.t < b.t)"""
 
 
 def _two(spark, sf):
     s = B.series(spark, sf)
-    samples = s.where("series = 'view'").select(F.lit(1).alias("k"), "t", "y")
-    probes = s.where("series = 'purchase'").select(F.lit(1).alias("k"), "event_id", "t")
-    return samples, probes
+    moved = F.col("t") + 0.013 * (1 - 2 * (F.col("event_id") % 2))
+    return s.select("series", "t", "y"), s.select("series", "event_id", moved.alias("t"))
 
 
 @query("j11_nearest_time", "J11", with_(B.SERIES_SQL, ALIGN, PREV_NEXT) + """
 SELECT event_id, round(CASE WHEN t0 IS NULL THEN y1 WHEN t1 IS NULL OR t - t0 <= t1 - t THEN y0 ELSE y1 END, 6) AS y FROM pn""")
 def _(spark, sf):
     samples, probes = _two(spark, sf)
-    n = A.nearest(samples, probes, ["k"], "t", "y", "v")
+    n = A.nearest(samples, probes, ["series"], "t", "y", "v")
     return n.select("event_id", r("v").alias("y"))
 
 
 @query("j12_interpolate_extend", "J12", with_(B.SERIES_SQL, ALIGN, PREV_NEXT, """
-e AS (SELECT min(t) AS ta, max(t) AS tz FROM smp),
-e2 AS (SELECT (SELECT min(t) FROM smp WHERE t > ta) AS tb, (SELECT max(t) FROM smp WHERE t < tz) AS ty, ta, tz FROM e),
-ee AS (SELECT e2.*, a.y AS ya, b.y AS yb, c.y AS yy, d.y AS yz FROM e2 JOIN smp a ON a.t = ta JOIN smp b ON b.t = tb
-  JOIN smp c ON c.t = ty JOIN smp d ON d.t = tz)""") + """
+e AS (SELECT series, min(t) AS ta, max(t) AS tz FROM smp GROUP BY series),
+e2 AS (SELECT series, ta, tz, min(CASE WHEN t > ta THEN t END) AS tb, max(CASE WHEN t < tz THEN t END) AS ty FROM smp JOIN e USING (series) GROUP BY ALL),
+ee AS (SELECT e2.*, a.y AS ya, b.y AS yb, c.y AS yy, d.y AS yz FROM e2 JOIN smp a ON a.series = e2.series AND a.t = ta
+  JOIN smp b ON b.series = e2.series AND b.t = tb JOIN smp c ON c.series = e2.series AND c.t = ty JOIN smp d ON d.series = e2.series AND d.t = tz)""") + """
 SELECT event_id, round(CASE WHEN t = t0 THEN y0 WHEN t0 IS NULL THEN ya + (yb - ya) * (t - ta) / (tb - ta)
   WHEN t1 IS NULL THEN yy + (yz - yy) * (t - ty) / (tz - ty)
-  ELSE y0 + (y1 - y0) * (t - t0) / (t1 - t0) END, 4) AS y FROM pn, ee""")
+  ELSE y0 + (y1 - y0) * (t - t0) / (t1 - t0) END, 4) AS y FROM pn JOIN ee USING (series)""")
 def _(spark, sf):
     samples, probes = _two(spark, sf)
-    n = A.interpolate(samples, probes, ["k"], "t", "y", "v")
+    n = A.interpolate(samples, probes, ["series"], "t", "y", "v")
     return n.select("event_id", r("v", 4).alias("y"))
 
 
@@ -54,7 +53,7 @@ SELECT event_id, round(CASE WHEN t = t0 OR t1 IS NULL THEN y0 WHEN t0 IS NULL TH
   ELSE y0 + (y1 - y0) * (t - t0) / (t1 - t0) END, 4) AS y FROM pn""")
 def _(spark, sf):
     samples, probes = _two(spark, sf)
-    n = A.interpolate_index(samples, probes, ["k"], "t", "y", "v")
+    n = A.interpolate_index(samples, probes, ["series"], "t", "y", "v")
     return n.select("event_id", r("v", 4).alias("y"))
 
 

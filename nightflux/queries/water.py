@@ -8,6 +8,7 @@ from .. import bindings as B
 from ..functions import quality as QL
 from ..operators import ensemble as E
 from ..operators import structure as ST
+from ..operators import surface as SU
 from ..operators import water as W
 from ..session import cut
 from .lightcurves import DIFF, EQUAL, NORM, equal_weights, normalised
@@ -50,6 +51,32 @@ def _(spark, sf):
     return out.select("l_orderkey", "l_partkey", "l_linenumber", r("found").alias("response"))
 
 
+def _places(spark, sf):
+    return B.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", (F.col("l_quantity") * 0.98).alias("p"), (1 + F.col("l_discount") * 70).alias("a"),
+        (F.col("l_suppkey") % 25 + F.col("l_tax") * 10).alias("t"))
+
+
+DIMS = {"pwv_mm": "p", "airmass_x": "a", "teff_k": "t"}
+
+
+@query("j14_cubic_planes", "J14", """WITH q AS (SELECT l_orderkey, l_partkey, l_linenumber, l_quantity * 0.98::DOUBLE AS p, 1 + l_discount * 70 AS a, (l_suppkey % 25) + l_tax * 10 AS t FROM lineitem),
+m AS (SELECT *, 2 + 0.01::DOUBLE * p - 0.05::DOUBLE * a AS s, exp(-floor(t) / 20.0::DOUBLE) AS e0, exp(-(floor(t) + 1) / 20.0::DOUBLE) AS e1 FROM q)
+SELECT l_orderkey, l_partkey, l_linenumber, round(CASE WHEN p BETWEEN 1 AND 50 AND a BETWEEN 1 AND 7 AND t BETWEEN 0 AND 24
+  THEN s * (e0 + (t - floor(t)) * (e1 - e0)) END, 6) AS response FROM m""")
+def _(spark, sf):
+    flat = F.exp(-F.col("teff_k") / 20.0) * (2 + 0.01 * F.col("pwv_mm") - 0.05 * F.col("airmass_x"))
+    out = SU.surface_lookup(_places(spark, sf), grid(spark, sf).withColumn("response", flat), DIMS, "found")
+    return out.select("l_orderkey", "l_partkey", "l_linenumber", r("found").alias("response"))
+
+
+# the gradients of a curved surface are a linear system, not SQL; tests hold them against direct minimisation
+@query("j14_cubic_surface", "J14")
+def _(spark, sf):
+    out = SU.surface_lookup(_places(spark, sf), grid(spark, sf), DIMS, "found")
+    return out.select("l_orderkey", "l_partkey", "l_linenumber", r("found").alias("response"))
+
+
 @query("c06_water_correction", "C06 F22 J12 J14 A23", with_(B.SERIES_SQL) + f""", tg AS (SELECT series, event_id, t, y, 1 + (event_id % 20) / 10.0::DOUBLE AS am FROM series WHERE series <> 'view'),
 pw AS (SELECT t, min(1 + y / 40) AS y FROM series WHERE series = 'view' GROUP BY t),
 en AS (SELECT series, min(p.t) AS w0, max(p.t) AS w1 FROM (SELECT series, min(t) - 2.0::DOUBLE / 24 AS a, max(t) + 2.0::DOUBLE / 24 AS z FROM tg GROUP BY series) JOIN pw p ON p.t BETWEEN a AND z GROUP BY series),
