@@ -20,6 +20,17 @@ from nightflux.session import scratch_path
 MAX_REPEATS = 1.5
 
 
+def _packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns that an operator needs; all others in one struct, where their names clash with none of its own."""
+    others = [docs[c] for c in docs.columns if c not in needed]
+    return docs.select(*needed, *([F.struct(*others).alias("_others")] if others else []))
+
+
+def _unpacked(rows: DataFrame, columns: list[str], *needed: str) -> DataFrame:
+    """The columns as they were before ``_packed``."""
+    return rows.select(*(F.col(c) if c in needed else F.col("_others")[c].alias(c) for c in columns))
+
+
 def _with(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is in ``decided``."""
     decided = decided.select(F.col("doc_id").alias("_id")).distinct()
@@ -27,10 +38,14 @@ def _with(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the scorer does not reject (score below 0.5); the labels of the held-out fifth are never learnt from."""
+    """Documents that the scorer does not reject (score below 0.5); the labels of the held-out fifth are never learnt from.
+
+    A null or empty text scores lowest and stays; rows that repeat stay as often as they came; other columns may have any names.
+    """
     labels = load(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
-    scored = score(docs, fit(docs, labels), keep=True)
-    return scored.where("score < 0.5").select(docs.columns)
+    needed = "doc_id", "text"
+    scored = score(_packed(docs, *needed), fit(docs.select(*needed), labels), keep=True)
+    return _unpacked(scored.where("score < 0.5"), docs.columns, *needed)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +53,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without words stand alone.  Rows that repeat an id and a text count as one document.
     """
-    kept = near_duplicates(docs).where("kept")
+    needed = "doc_id", "text"
+    kept, rows = near_duplicates(docs.select(*needed)).where("kept"), _packed(docs, *needed)
     text = F.coalesce(F.xxhash64("text"), F.lit(0))
     place = F.row_number().over(W.partitionBy("doc_id", text).orderBy(F.lit(0)))
-    return _with(docs, kept).withColumn("_row", place).where("_row = 1").select(docs.columns)
+    return _unpacked(_with(rows, kept).withColumn("_row", place).where("_row = 1"), docs.columns, *needed)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, and again those that the mixture's weights repeat; no document is lost."""
-    return mix(docs, max_repeats=MAX_REPEATS).select(docs.columns)
+    """Every document once, and again those that the mixture's weights repeat; no document is lost.
+
+    A null source is a source; a null text has no words; other columns may have any names.
+    """
+    needed = "doc_id", "source", "text"
+    return _unpacked(mix(_packed(docs, *needed), max_repeats=MAX_REPEATS), docs.columns, *needed)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
