@@ -28,10 +28,11 @@ def interpolate(
 ) -> DataFrame:
     """Linear interpolation, extended past both ends along the end segments.
 
-    Sample times are distinct within a series.  A series of one sample gives that
-    sample only at its own time.
+    Of samples at one time the smallest value counts, so the end segments have a length.  A series
+    of one time gives its sample only at that time.
     """
-    links = linked(samples.select(*keys, t, y), keys, t, [y], width)
+    once = samples.groupBy(*keys, t).agg(F.min(y).alias(y))
+    links = linked(once, keys, t, [y], width)
     n = neighbours(links, queries, keys, t, [y, "before", "after"], width)
     x = F.col(t)
     p, q = F.col("prev"), F.col("next")

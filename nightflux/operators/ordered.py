@@ -53,13 +53,14 @@ def carried(buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     ``buckets`` has one row per (keys, bucket) with structs ``__first`` and ``__last``.
     """
-    w = Window.partitionBy(*keys).orderBy(BUCKET)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    series = Window.partitionBy(*keys)
+    before = series.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    # backwards: a frame that ends at the last row is read anew for every row
+    after = series.orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
     return buckets.select(
         *keys, BUCKET,
         F.last("__last", ignorenulls=True).over(before).alias("__prev_far"),
-        F.first("__first", ignorenulls=True).over(after).alias("__next_far"),
+        F.last("__first", ignorenulls=True).over(after).alias("__next_far"),
     )
 
 
@@ -90,11 +91,13 @@ def neighbours(
         F.max_by("__s", F.when(is_sample, F.col("__t"))).alias("__last"),
     )
     far = carried(borders, keys)
-    w = Window.partitionBy(*keys, BUCKET).orderBy("__t", "__tag")
+    bucket = Window.partitionBy(*keys, BUCKET)
+    forth, back = bucket.orderBy("__t", "__tag"), bucket.orderBy(F.desc("__t"), F.desc("__tag"))
+    # both frames only grow from row to row, so a bucket is read once in each direction
     near = u.select(
         *keys, BUCKET, "__tag", "__q",
-        F.last("__s", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__p"),
-        F.first("__s", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("__n"),
+        F.last("__s", ignorenulls=True).over(forth.rowsBetween(Window.unboundedPreceding, 0)).alias("__p"),
+        F.last("__s", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)).alias("__n"),
     ).where(F.col("__tag") == 1)
     joined = near.join(far, [*keys, BUCKET], "left")
     return joined.select(

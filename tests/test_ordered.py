@@ -54,6 +54,19 @@ def test_nearest_tie_goes_to_the_earlier(spark):
     assert {r["t"]: r["v"] for r in got} == {2.0: 10.0, 2.1: 30.0, 0.0: 10.0, 9.0: 30.0}
 
 
+def test_no_window_reads_a_bucket_to_its_end_for_every_row(spark):
+    s = series(spark, range(20))
+    found = A.interpolate(s, s.select("k", "t"), ["k"], "t", "y", "v")
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+
+
+def test_interpolation_past_repeated_ends(spark):
+    s = series(spark, [1, 1, 2, 2, 2, 4, 4], [10, 10, 20, 20, 20, 30, 30])
+    got = A.interpolate(s, series(spark, [0, 1, 3, 4, 6]).select("k", "t"), ["k"], "t", "y", "v").collect()
+    assert {r["t"]: r["v"] for r in got} == {0.0: 0.0, 1.0: 10.0, 3.0: 25.0, 4.0: 30.0, 6.0: 40.0}
+
+
 @pytest.mark.parametrize("width", [0.5, 3.0, 100.0])
 def test_rolling_deviation_for_any_bucket(spark, width):
     rng = np.random.default_rng(6)
