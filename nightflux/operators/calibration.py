@@ -87,10 +87,13 @@ def corrected(pixels: DataFrame, keys: Sequence[str], region: Column, bias: Data
 
 
 def flat_scales(frames: DataFrame, keys: Sequence[str], inner: Column | None = None) -> DataFrame:
-    """Clipped mean and deviation of each corrected flat, and the median of its inner rows."""
-    c = clipped_medians(frames, [*keys, "frame"], "c", "m", sigma=3.0, max_rounds=None)
+    """Clipped mean and deviation of each corrected flat, and the median of its inner rows.
+
+    ``frames`` is a stored table.
+    """
+    c = clipped_medians(frames, [*keys, "frame"], "c", "m", stored=True, sigma=3.0, max_rounds=None)
     core = frames if inner is None else frames.where(inner)
-    level = medians(core, [*keys, "frame"], {"level": "c"})
+    level = medians(core, [*keys, "frame"], {"level": "c"}, stored=True)
     return attach(c.select(*keys, "frame", F.col("mean").alias("scale"), F.col("std").alias("scale_std")), [*keys, "frame"], level)
 
 

@@ -101,7 +101,7 @@ def nearest_reference(stars: DataFrame, refs: DataFrame, field: Sequence[str]) -
     rows = rows.withColumn("dra", (F.col("ra") - F.col("match.ref_ra")) * F.cos(F.radians("dec"))).withColumn(
         "ddec", F.col("dec") - F.col("match.ref_dec")
     )
-    bounds = clip_bounds(rows, field, "sep_deg", sigma=5.0, max_rounds=None, lower=False)
+    bounds = clip_bounds(rows, field, "sep_deg", sigma=5.0, max_rounds=None, lower=False, stored=True)
     keep = F.col("sep_deg").between(F.col("lo"), F.col("hi"))
     return attach(rows, field, bounds).withColumn("clipped_sep", F.when(keep, F.col("sep_deg"))).drop("lo", "hi")
 
@@ -207,9 +207,10 @@ def zero_point(stars: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def mid_brightness(stars: DataFrame, keys: Sequence[str], flux: str) -> DataFrame:
     """Stars between the medians of the fainter and of the brighter half."""
-    half = attach(stars, keys, cut(medians(stars, keys, {"__m": flux})))
+    stars = cut(stars)
+    half = attach(stars, keys, cut(medians(stars, keys, {"__m": flux}, stored=True)))
     f, m = F.col(flux), F.col("__m")
-    parts = medians(half, keys, {"__lo": F.when(f < m, f), "__hi": F.when(f > m, f)})
+    parts = medians(half, keys, {"__lo": F.when(f < m, f), "__hi": F.when(f > m, f)}, stored=True)
     return attach(half, keys, parts).where((f > F.col("__lo")) & (f < F.col("__hi"))).drop("__m", "__lo", "__hi")
 
 

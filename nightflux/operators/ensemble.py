@@ -63,15 +63,15 @@ def ensemble_curve(lc: DataFrame, weights: DataFrame, run: Sequence[str]) -> Dat
     total = joined.groupBy(*run, "jd").agg(
         F.coalesce(F.sum(F.col("nflux") * F.col("weight")), F.lit(0.0)).alias("alc")
     )
-    return cut(normalise(cut(total), run, "alc", "nlc"))  # one row per time: small
+    return cut(normalise(cut(total), run, "alc", "nlc", stored=True))  # one row per time: small
 
 
 def differential(lc: DataFrame, ensemble: DataFrame, run: Sequence[str], out: str = "diff") -> DataFrame:
-    """Every star's nflux over the ensemble, normalised per star."""
+    """Every star's nflux over the ensemble, normalised per star (A46).  Both are stored tables."""
     e = ensemble.select(*run, "jd", F.col("nlc").alias("__e"))
     ratio = lc.join(e, [*run, "jd"]).withColumn("__d", F.when(F.col("__e") != 0, F.col("nflux") / F.col("__e")))
     # the product is stored anyway and several readers follow: write it once
-    return cut(normalise(ratio.drop("__e"), [*run, "star_id"], "__d", out).drop("__d"))
+    return cut(normalise(ratio.drop("__e"), [*run, "star_id"], "__d", out, stored=True).drop("__d"))
 
 
 def preclean(lc: DataFrame, weights: DataFrame, run: Sequence[str], max_rounds: int | None = None) -> DataFrame:
@@ -81,8 +81,8 @@ def preclean(lc: DataFrame, weights: DataFrame, run: Sequence[str], max_rounds:
     stars of the same time.  Times with every star masked count for no star.
     """
     y = F.when(F.col("nflux") > LOW_NFLUX, F.col("nflux"))
-    rows = lc.select(*run, "star_id", "jd", y.alias("y"))
-    bounds = clip_bounds(rows, [*run, "jd"], "y", sigma=3.0, max_rounds=max_rounds)
+    rows = cut(lc.select(*run, "star_id", "jd", y.alias("y")))
+    bounds = clip_bounds(rows, [*run, "jd"], "y", sigma=3.0, max_rounds=max_rounds, stored=True)
     marked = rows.join(bounds.select(*run, "jd", "lo", "hi"), [*run, "jd"], "left").withColumn(
         "ok", F.coalesce(F.col("y").between(F.col("lo"), F.col("hi")), F.lit(False))
     )
@@ -167,7 +167,7 @@ def magnitude_sweep(
         F.sum(F.coalesce(F.try_element_at("nm", F.col("cut")), F.lit(0.0))).over(w).alias("sw"),
     ).where(F.col("sw") > 0)
     # 50 values per time at most; read several times below
-    curves = cut(normalise(cut(summed.withColumn("alc", F.col("s") / F.col("sw"))), [*run, "cut"], "alc", "nlc"))
+    curves = cut(normalise(cut(summed.withColumn("alc", F.col("s") / F.col("sw"))), [*run, "cut"], "alc", "nlc", stored=True))
     first = curves.groupBy(*run).agg(F.min("cut").alias("cut"))
     marked = bad_weather_mask(
         curves.join(F.broadcast(first) if not run else first, [*run, "cut"]).select(*run, "jd", "nlc"),
@@ -214,7 +214,7 @@ def distance_sweep(lc: DataFrame, weights: DataFrame, target: DataFrame, run: Se
         *run, "jd",
         F.posexplode(F.array(*[F.when(F.col(f"n{i}") != 0, F.col(f"s{i}") / F.col(f"n{i}")) for i in range(EXPONENTS)])).alias("step", "alc"),
     )
-    curves = cut(normalise(cut(wide), [*run, "step"], "alc", "nlc"))  # 20 values per time
+    curves = cut(normalise(cut(wide), [*run, "step"], "alc", "nlc", stored=True))  # 20 values per time
     ratio = target.select(*run, "jd", F.col("nflux").alias("__t")).join(curves, [*run, "jd"]).withColumn(
         "d", F.when(F.col("nlc") != 0, F.col("__t") / F.col("nlc"))
     )
@@ -268,7 +268,7 @@ def reweight_once(
     )
     s = medians(
         rows, [*run, "star_id"], {"__med": F.when(F.col("__d") > 0.001, F.col("__d"))},
-        F.stddev_pop(F.when(~F.col("__m"), F.col("__d"))).alias("__sd"),
+        F.stddev_pop(F.when(~F.col("__m"), F.col("__d"))).alias("__sd"), stored=True,
     )
     sigma = F.col("__sd") / F.col("__med")
     fresh = F.when(F.col("w1") == 0, 0.0).otherwise(F.coalesce(F.when(sigma > 0, 1 / (sigma * sigma)), F.lit(0.0)))

@@ -7,6 +7,11 @@ lies below the bracket and keeps only the few values inside it.  Rows are never
 moved by key: only sketches, counts and in-bracket values are shuffled, and the
 brackets are joined back to the rows (a broadcast if they are small, else a
 sort-merge join whose hot partitions adaptive execution splits).
+
+Both passes must see the same values, but a sum of doubles taken a second time may
+meet its rows in another order and differ in its last digit.  So rows are stored
+before the first pass; ``stored=True`` says that they come from stored tables by
+row-wise expressions and joins alone, and are read from there twice.
 """
 
 from __future__ import annotations
@@ -39,6 +44,7 @@ def medians(
     values: dict[str, Column | str],
     *extra: Column,
     bounded: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
     """Exact medians (mean of the two middle values) per group, NULLs skipped.
 
@@ -51,6 +57,8 @@ def medians(
     if bounded:
         return df.groupBy(*keys).agg(*[F.median(as_col(v)).alias(k) for k, v in values.items()], *extra)
     rows = df.select("*", *[as_col(v).cast("double").alias(f"__q_v_{k}") for k, v in values.items()])
+    if not stored:
+        rows = cut(rows if extra else rows.select(*keys, *[f"__q_v_{k}" for k in values]))
     first = []
     for k in values:
         first.append(F.count(f"__q_v_{k}").alias(f"__q_n_{k}"))
@@ -93,11 +101,14 @@ def medians(
     return picked.select(*keys, *out, *extra_names)
 
 
-def normalise(df: DataFrame, keys: Sequence[str], value: str, out: str, floor: float | None = 0.001) -> DataFrame:
+def normalise(
+    df: DataFrame, keys: Sequence[str], value: str, out: str, floor: float | None = 0.001, stored: bool = False
+) -> DataFrame:
     """Divide a series by its median; values at or below ``floor`` stay out of the
     median only (A13).  ``floor=None`` is the plain variant."""
+    df = df if stored else cut(df)
     source = F.col(value) if floor is None else F.when(F.col(value) > floor, F.col(value))
-    med = medians(df, keys, {"__median": source})
+    med = medians(df, keys, {"__median": source}, stored=True)
     divided = F.when(F.col("__median") != 0, F.col(value) / F.col("__median"))
     return attach(df, keys, med).withColumn(out, divided).drop("__median")
 
@@ -109,6 +120,7 @@ def clip_bounds(
     sigma: float = 3.0,
     max_rounds: int | None = 5,
     lower: bool = True,
+    stored: bool = False,
 ) -> DataFrame:
     """Iterative sigma clip as one interval per group.
 
@@ -120,6 +132,7 @@ def clip_bounds(
     """
     keys = list(keys)
     narrow = df.select(*keys, F.col(value).cast("double").alias("__y")).where(F.col("__y").isNotNull())
+    narrow = narrow if stored else cut(narrow)
     state, done = None, 0
     while max_rounds is None or done < max_rounds:
         live = narrow
@@ -128,7 +141,7 @@ def clip_bounds(
             live = live.where(F.col("__y").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
         stats = medians(
             live, keys, {"__m": "__y"},
-            F.stddev_pop("__y").alias("__s"), F.min("__y").alias("__min"), F.max("__y").alias("__max"),
+            F.stddev_pop("__y").alias("__s"), F.min("__y").alias("__min"), F.max("__y").alias("__max"), stored=True,
         )
         low, high = F.col("__m") - sigma * F.col("__s"), F.col("__m") + sigma * F.col("__s")
         if not lower:
@@ -144,19 +157,20 @@ def clip_bounds(
     return state.drop("changed")
 
 
-def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, out: str, **how) -> DataFrame:
+def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, out: str, stored: bool = False, **how) -> DataFrame:
     """``out`` is the value where the clip keeps it, else NULL."""
-    bounds = clip_bounds(df, keys, value, **how)
+    df = df if stored else cut(df)
+    bounds = clip_bounds(df, keys, value, stored=True, **how)
     kept = F.when(F.col(value).between(F.col("lo"), F.col("hi")), F.col(value))
     return attach(df, keys, bounds).withColumn(out, kept).drop("lo", "hi")
 
 
-def clipped_medians(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", **how) -> DataFrame:
+def clipped_medians(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", stored: bool = False, **how) -> DataFrame:
     """Median, mean, population deviation and count of the clipped values per group."""
-    clipped = sigma_clip(df, keys, value, "__c", **how)
+    clipped = sigma_clip(df.select(*keys, value), keys, value, "__c", stored, **how)
     return medians(
         clipped, keys, {out: "__c"},
-        F.avg("__c").alias("mean"), F.stddev_pop("__c").alias("std"), F.count("__c").alias("kept"),
+        F.avg("__c").alias("mean"), F.stddev_pop("__c").alias("std"), F.count("__c").alias("kept"), stored=True,
     )
 
 

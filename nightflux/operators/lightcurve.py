@@ -15,19 +15,22 @@ from .ordered import rolling_std
 
 def star_statistics(lc: DataFrame, keys: Sequence[str], flux: str = "flux") -> DataFrame:
     """Mean and median flux of every star in a night."""
-    return medians(lc, keys, {"flux_median": flux}, F.avg(flux).alias("flux_mean"))
+    return medians(lc.select(*keys, flux), keys, {"flux_median": flux}, F.avg(flux).alias("flux_mean"))
 
 
-def quality_flags(lc: DataFrame, keys: Sequence[str], exposure: str, saturation: float = SATURATION_PEAK) -> DataFrame:
+def quality_flags(
+    lc: DataFrame, keys: Sequence[str], exposure: str, saturation: float = SATURATION_PEAK, stored: bool = False
+) -> DataFrame:
     """saturated / lowflux per star.
 
     ``lc`` has flux with low values already NULL, peak and the frame's exposure.
     """
-    clipped = sigma_clip(lc, keys, "flux", "__clipped", sigma=7.0, max_rounds=5)
+    rows = lc.select(*keys, "flux", "peak", exposure)
+    clipped = sigma_clip(rows, keys, "flux", "__clipped", stored, sigma=7.0, max_rounds=5)
     stats = medians(
         clipped, keys,
         {"clipped_median": "__clipped", "rate": F.col("flux") / F.col(exposure)},
-        F.max("peak").alias("max_peak"), F.count("flux").alias("n_flux"), F.count("*").alias("n_rows"),
+        F.max("peak").alias("max_peak"), F.count("flux").alias("n_flux"), F.count("*").alias("n_rows"), stored=True,
     )
     saturated = F.coalesce(F.col("max_peak") > saturation, F.lit(False))
     low = (
@@ -40,9 +43,9 @@ def quality_flags(lc: DataFrame, keys: Sequence[str], exposure: str, saturation:
     )
 
 
-def initial_weights(lc: DataFrame, flags: DataFrame, keys: Sequence[str]) -> DataFrame:
+def initial_weights(lc: DataFrame, flags: DataFrame, keys: Sequence[str], stored: bool = False) -> DataFrame:
     """w1 = median flux, w2 = w3 = 1, weight 1; flagged stars get w1 = weight = 0."""
-    med = medians(lc, keys, {"w1": "flux"})
+    med = medians(lc, keys, {"w1": "flux"}, stored=stored)
     out = med.join(flags.select(*keys, "saturated", "lowflux"), list(keys), "left")
     bad = F.coalesce(F.col("saturated") | F.col("lowflux"), F.lit(False))
     return (

@@ -180,7 +180,7 @@ def water_correction(
         rows = grid_lookup(rows, grid, {"pwv_mm": "pwv", "airmass_x": airmass, "teff_k": temperature}, out, axes=axes)
     rows = cut(rows)
     series = {"__my": y, "__mt": "target_water", "__me": "ensemble_water"}
-    scales = medians(rows, keys, {k: F.when(F.col(c) > MEDIAN_FLOOR, F.col(c)) for k, c in series.items()})
+    scales = medians(rows, keys, {k: F.when(F.col(c) > MEDIAN_FLOOR, F.col(c)) for k, c in series.items()}, stored=True)
     rows = attach(rows, keys, scales)
     ratio = (F.col("target_water") / F.col("__mt")) / (F.col("ensemble_water") / F.col("__me"))
     rows = rows.withColumn("water_ratio", ratio)

@@ -55,13 +55,13 @@ def differential_photometry(
     night, field = [c for c in run if c in frames.columns], [c for c in run if c in stars.columns]
     env = frames.select(*night, "jd", "exptime", "gain", "airmass", "sky", "ron", "height")
     base = lc.withColumn("flux", positive_flux("flux")).join(env, [*night, "jd"])
-    base = cut(normalise(cut(base), [*run, "star_id"], "flux", "nflux"))
+    base = cut(normalise(cut(base), [*run, "star_id"], "flux", "nflux", stored=True))
 
-    flags = cut(quality_flags(base, [*run, "star_id"], "exptime", s.saturation))
-    mags = medians(base, [*run, "star_id"], {"typical_flux": "flux", "__scale": F.col("gain") / F.col("exptime")})
+    flags = cut(quality_flags(base, [*run, "star_id"], "exptime", s.saturation, stored=True))
+    mags = medians(base, [*run, "star_id"], {"typical_flux": "flux", "__scale": F.col("gain") / F.col("exptime")}, stored=True)
     mags = mags.select(*run, "star_id", "typical_flux", instrumental_magnitude("typical_flux", "__scale", F.lit(1.0)).alias("mag"))
     is_target = targets.select(*run, "star_id").withColumn("is_target", F.lit(True))
-    weights = initial_weights(base, flags, [*run, "star_id"]).join(mags, [*run, "star_id"], "left")
+    weights = initial_weights(base, flags, [*run, "star_id"], stored=True).join(mags, [*run, "star_id"], "left")
     weights = weights.join(is_target, [*run, "star_id"], "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
 
     # distance of every star from the target of its run
@@ -94,7 +94,7 @@ def differential_photometry(
     ensemble = ensemble.join(marked.select(*run, "jd", "bad"), [*run, "jd"], "left")
     # the noise model takes the brightness of a whole series: medians over all of its frames
     typical = cut(weights.select(*run, "star_id", "typical_flux"))
-    comp = cut(medians(cut(comparison), run, {"__comp": "comp_flux"}))
+    comp = cut(medians(cut(comparison), run, {"__comp": "comp_flux"}, stored=True))
     mean_ron = frames.groupBy(*night).agg(F.avg("ron").alias("__ron"))
 
     def noise(flux: str):

@@ -29,7 +29,7 @@ diff AS (SELECT star_id, jd, d / median(CASE WHEN d > 0.001 THEN d END) OVER (PA
 def normalised(spark, sf):
     """Normalised light curves as a stored table, like the condensed output they stand for."""
     lc = cut(B.lc(spark, sf))
-    return cut(G.normalise(lc, ["star_id"], "flux", "nflux"))
+    return cut(G.normalise(lc, ["star_id"], "flux", "nflux", stored=True))
 
 
 def equal_weights(lc):
@@ -200,13 +200,13 @@ SELECT star_id, mp > 75000 AS saturated, NOT (mp > 75000) AND (nf = 0 OR cm < 10
   round(cm, 3) AS clipped_median, round(rate, 4) AS rate FROM g""")
 def _(spark, sf):
     lc = flagged_input(spark, sf)
-    f = L.quality_flags(lc, ["star_id"], "exptime", saturation=75000.0)
+    f = L.quality_flags(lc, ["star_id"], "exptime", saturation=75000.0, stored=True)
     return f.select("star_id", "saturated", "lowflux", r("clipped_median", 3).alias("clipped_median"), r("rate", 4).alias("rate"))
 
 
 def flagged_input(spark, sf):
     lc = B.lc(spark, sf).join(B.env(spark, sf).drop("jd"), "frame")
-    return lc.withColumn("flux", P.positive_flux("flux"))
+    return cut(lc.withColumn("flux", P.positive_flux("flux")))
 
 
 @query("a45_initial_weights", "A45", with_(B.LC_SQL, B.ENV_SQL, FLAGS_CTE, clip_sql("joined", "star_id", "flux", 7.0, 5, "k")) + """
@@ -216,8 +216,8 @@ SELECT star_id, round(CASE WHEN sat OR low THEN 0 ELSE w END, 3) AS w1,
   (CASE WHEN sat OR low THEN 0 ELSE 1 END)::DOUBLE AS weight FROM g""")
 def _(spark, sf):
     lc = flagged_input(spark, sf)
-    f = L.quality_flags(lc, ["star_id"], "exptime", saturation=75000.0)
-    return L.initial_weights(lc, f, ["star_id"]).select("star_id", r("w1", 3).alias("w1"), "weight")
+    f = L.quality_flags(lc, ["star_id"], "exptime", saturation=75000.0, stored=True)
+    return L.initial_weights(lc, f, ["star_id"], stored=True).select("star_id", r("w1", 3).alias("w1"), "weight")
 
 
 @query("a37_preclean", "A37", with_(B.LC_SQL, """
@@ -243,7 +243,7 @@ lim AS (SELECT min_mag, CASE WHEN mx >= min_mag THEN min_mag - 1 ELSE mx END AS
 
 def sweep_inputs(spark, sf):
     lc = normalised(spark, sf)
-    stars = G.medians(B.lc(spark, sf), ["star_id"], {"w1": "flux"}, (F.max("peak") > 75000).alias("saturated"))
+    stars = G.medians(lc, ["star_id"], {"w1": "flux"}, (F.max("peak") > 75000).alias("saturated"), stored=True)
     stars = stars.withColumn("mag", P.instrumental_magnitude("w1", 1.1, 100.0)).withColumn("w2", F.lit(1.0))
     stars = cut(stars)
     target = stars.where("star_id = 1").select(F.col("mag").alias("target_mag"))
@@ -341,8 +341,8 @@ def _(spark, sf):
     env = B.env(spark, sf)
     ron = env.agg(F.avg("ron").alias("ron"))
     e = G.attach(env.drop("ron", "jd"), [], ron)
-    lc = B.lc(spark, sf)
-    rows = G.attach(lc, ["star_id"], G.medians(lc, ["star_id"], {"med": "flux"})).join(e, "frame")
+    lc = cut(B.lc(spark, sf))
+    rows = G.attach(lc, ["star_id"], G.medians(lc, ["star_id"], {"med": "flux"}, stored=True)).join(e, "frame")
     mag = P.instrumental_magnitude("med", "gain", "exptime")
     rows = rows.withColumn("mag", mag).withColumn("radius", P.aperture_radius(F.lit(6), F.lit(4.0)))
     noise = P.noise_model("mag", "exptime", "airmass", "sky", "gain", "ron", "radius", "height")
@@ -365,7 +365,7 @@ def _(spark, sf):
     RANGE BETWEEN 0.01::DOUBLE PRECEDING AND 0.01::DOUBLE FOLLOWING) AS s FROM n)
 SELECT series, event_id, round(s, 5) AS scatter, (s > 0.08 OR y < 0.2) AS bad FROM q""")
 def _(spark, sf):
-    n = G.normalise(B.series(spark, sf), ["series"], "y", "ny")
+    n = G.normalise(B.series(spark, sf), ["series"], "y", "ny", stored=True)
     m = L.bad_weather_mask(n, ["series"], "t", "ny")
     return m.select("series", "event_id", r("scatter", 5).alias("scatter"), "bad")
 
