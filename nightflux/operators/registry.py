@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import NAME_PREFIX
+from ..session import cut
 from .ordered import running
 
 NEIGHBOUR_STEPS = [-2, -1, 0, 1, 2]
@@ -53,15 +54,21 @@ def registered(targets: DataFrame, registry: DataFrame) -> DataFrame:
     name, first by list order (J19).
 
     ``targets``(name, id); ``registry``(reg_name, reg_id, pos).  Containment is an
-    equality join on the substrings of the lengths that registered names have.
+    equality join on the substrings of the lengths that registered names have.  A registered name takes part
+    once, at its first place, and substrings are only taken where the start of some registered name stands.
     """
     by_name = targets.join(registry.select(F.col("reg_name").alias("name")).distinct().withColumn("__n", F.lit(True)), "name", "left")
     by_both = by_name.join(registry.where("reg_id IS NOT NULL").select(F.col("reg_id").alias("id")).distinct().withColumn("__i", F.lit(True)), "id", "left")
     same = F.coalesce("__n", "__i", F.lit(False))
-    lengths = registry.select(F.length("reg_name").alias("__len")).distinct()  # a few dozen name lengths
-    grams = targets.select("name").distinct().join(F.broadcast(lengths), F.col("__len") <= F.length("name"))
-    grams = grams.select("name", F.explode(F.array_distinct(substring_grams("name", "__len"))).alias("reg_name"))
-    inside = grams.join(registry.select("reg_name", "pos"), "reg_name").groupBy("name").agg(F.min_by("reg_name", "pos").alias("__inside"))
+    listed = cut(registry.where("reg_name IS NOT NULL").groupBy("reg_name").agg(F.min("pos").alias("pos")))
+    lengths = listed.select(F.length("reg_name").alias("__len")).distinct()  # a few dozen name lengths
+    shortest = lengths.agg(F.min("__len").alias("__min"))
+    stems = listed.crossJoin(F.broadcast(shortest)).select(F.substring("reg_name", F.lit(1), F.col("__min")).alias("__stem")).distinct()
+    starts = targets.select("name").distinct().crossJoin(F.broadcast(shortest)).where(F.col("__min") <= F.length("name"))
+    starts = starts.select("name", F.posexplode(substring_grams("name", "__min")).alias("__at", "__stem"))
+    likely = starts.join(stems, "__stem", "left_semi").join(F.broadcast(lengths), F.col("__at") + F.col("__len") <= F.length("name"))
+    grams = likely.select("name", F.substring("name", F.col("__at") + 1, F.col("__len")).alias("reg_name"))
+    inside = grams.join(listed, "reg_name").groupBy("name").agg(F.min_by("reg_name", "pos").alias("__inside"))
     out = by_both.join(inside, "name", "left")
     return out.select(
         *targets.columns, (same | F.col("__inside").isNotNull()).alias("already_run"),
