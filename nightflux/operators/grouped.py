@@ -27,10 +27,16 @@ SKETCH_ACCURACY = 100_000
 BRACKET = 2.5 / SKETCH_ACCURACY
 
 
-def attach(df: DataFrame, keys: Sequence[str], stats: DataFrame) -> DataFrame:
-    """Put one-row-per-group statistics beside the rows of each group."""
+def attach(df: DataFrame, keys: Sequence[str], stats: DataFrame, few: bool = False) -> DataFrame:
+    """Put one-row-per-group statistics beside the rows of each group.
+
+    ``few`` groups (runs, nodes of a grid) are broadcast: a join that is followed by an aggregation
+    by the same keys would otherwise read all rows of a group in one task.
+    """
     if not keys:
         return df.crossJoin(F.broadcast(stats))  # one row
+    if few:
+        return df.join(F.broadcast(stats), list(keys), "left")
     return df.join(stats, list(keys), "left")
 
 

@@ -72,7 +72,7 @@ def weighted_line(df: DataFrame, keys: Sequence[str], x: str, y: str, weight: Co
     x, y = F.col(x), F.col(y)
     mean = df.groupBy(*keys).agg(F.sum(w).alias("__w"), (F.sum(w * x) / F.sum(w)).alias("__mx"), (F.sum(w * y) / F.sum(w)).alias("__my"))
     dx, dy = x - F.col("__mx"), y - F.col("__my")
-    s = attach(df, keys, mean).groupBy(*keys).agg(
+    s = attach(df, keys, mean, few=True).groupBy(*keys).agg(
         F.try_divide(F.sum(w * dx * dy), F.sum(w * dx * dx)).alias("slope"), F.first("__mx").alias("__mx"), F.first("__my").alias("__my"),
         F.count("*").alias("n"),
     )
@@ -86,7 +86,7 @@ def parabola(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     d = F.col(x) - F.col("x0")
     p = [F.sum(F.pow(d, F.lit(float(k)))).alias(f"s{k}") for k in range(5)]
     q = [F.sum(F.pow(d, F.lit(float(k))) * F.col(y)).alias(f"t{k}") for k in range(3)]
-    s = attach(df, keys, mean).groupBy(*keys, "x0").agg(*p, *q)
+    s = attach(df, keys, mean, few=True).groupBy(*keys, "x0").agg(*p, *q)
     c = F.col
 
     def det(a, b, e):

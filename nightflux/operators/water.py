@@ -207,8 +207,7 @@ def spectral_integral(samples: DataFrame, keys: Sequence[str], index: str, step:
     """Composite Simpson sum over consecutive samples 0..n-1 per key; where their count
     is even the last interval is a trapezoid (A33)."""
     sizes = samples.groupBy(*keys).agg(F.max(index).alias("__last"))
-    # one row per node of a grid: without the hint all samples are shuffled beside it
-    rows = samples.join(F.broadcast(sizes), list(keys), "left") if keys else attach(samples, keys, sizes)
+    rows = attach(samples, keys, sizes, few=True)  # otherwise all samples are shuffled beside it
     i, last = F.col(index), F.col("__last")
     simpson_end = F.when(last % 2 == 0, last).otherwise(last - 1)
     inner = F.when((i == 0) | (i == simpson_end), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0) / 3.0

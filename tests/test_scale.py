@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from nightflux.operators import registry as R
+from nightflux.operators import structure as ST
 from nightflux.operators import water as W
 
 
@@ -16,7 +17,7 @@ def test_a_name_registered_many_times_counts_once_and_finds_any_length(spark):
     assert got == {"NEW BUILDING 1": (True, "W B"), "OLD SHED": (True, "SHE"), "AB": (True, "AB"), "X": (True, "X"), "BUILDING": (True, "BUILDING")}
     # the table of names that substrings meet holds each once
     stored = [f for f in found.inputFiles() if "/cut-" in f]
-    assert stored and spark.read.parquet(*stored).count() == 4
+    assert stored and spark.read.parquet(*stored).count() == 5
 
 
 def test_integral_does_not_shuffle_its_samples(spark):
@@ -29,3 +30,15 @@ def test_integral_does_not_shuffle_its_samples(spark):
         assert [round(r["s"], 9) for r in out.collect()] == [49.5] * 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_fits_of_few_runs_do_not_move_their_rows(spark):
+    rows = spark.range(3000).select((F.col("id") % 3).alias("run"), (1 + F.col("id") % 7).cast("double").alias("x")).withColumn("y", 2 * F.col("x") + 5)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for fit in (ST.weighted_line(rows, ["run"], "x", "y", F.lit(1.0)), ST.parabola(rows, ["run"], "x", "y")):
+            assert "SortMergeJoin" not in fit._jdf.queryExecution().executedPlan().toString()
+        assert [(round(r["slope"], 9), round(r["intercept"], 9)) for r in ST.weighted_line(rows, ["run"], "x", "y", F.lit(1.0)).collect()] == [(2.0, 5.0)] * 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
