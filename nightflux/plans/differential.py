@@ -120,6 +120,8 @@ def finish(
 ) -> dict[str, DataFrame]:
     """The end of C01: water correction (C06, F32), best apertures (A20, K07), all tables written under ``path`` and read back.
 
+    ``path`` belongs to one job: its tables have a folder for each aperture, with the runs sorted inside the files.
+
     ``frames`` has telescope beside the plan's columns, ``stars`` has teff, ``pwv``(jd, pwv and perhaps run columns; of
     equal times the driest counts), ``grid``(pwv_mm, airmass_x, teff_k, response).
 
@@ -153,13 +155,14 @@ def finish(
         "images": images, "ensemble": p.ensemble.select(*run, "jd", "alc", "nlc"), "flags": flags,
         "water": corrected.where("pwv IS NOT NULL").select(*run, "jd", "pwv").distinct(), "scores": p.scores,
     }
-    write_products(tables, path, run)
+    # surveys have very many runs and few apertures: a folder for each run would cost more than its rows
+    write_products(tables, path, run, [c for c in run if c == "ap"])
     if "ap" in run:
         rest = [c for c in run if c != "ap"]
         plain = E.best_aperture(p.scores.join(p.target.select(*own).distinct(), own, "left_semi"), [*rest, "star_id"])
         wet = E.best_aperture(scatter(corrected, own, "jd", "corrected", bin_width), [*rest, "star_id"])
         wet = wet.select(*rest, "star_id", F.col("best_ap").alias("best_ap_pwv"), F.col("score").alias("score_pwv"))
         best = plain.join(wet, [*rest, "star_id"], "left")
-        write_products({"best": best}, path, rest or ["star_id"])
+        write_products({"best": best}, path, rest or ["star_id"], [])
         tables["best"] = best
     return {name: p.target.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 JD_OFFSET = 2450000.0
+TABLES_AT_ONCE = 4
 FLAT_COLUMNS = ["jd", "diff", "error", "x", "y", "airmass", "fwhm", "sky", "exposure", "ra_move", "dec_move", "flux", "ensemble", "mask"]
 
 
@@ -50,10 +52,21 @@ def append_new(new: DataFrame, path: str, key: Sequence[str], by: Sequence[str])
     write_partitioned(new_rows(stored, new, key), path, by, mode="append")
 
 
-def write_products(tables: dict[str, DataFrame], path: str, run: Sequence[str]) -> None:
-    """One table per product (light curves, errors, catalogue, weights, ...), by run."""
-    for name, df in tables.items():
-        write_partitioned(df, f"{path}/{name}", list(run))
+def write_products(tables: dict[str, DataFrame], path: str, run: Sequence[str], folders: Sequence[str] | None = None) -> None:
+    """One table per product (light curves, errors, catalogue, weights, ...), by run.
+
+    ``folders`` names the run columns that become partitions, all of them if it is not given.  A job over very many
+    runs names those with few values: the runs are sorted inside the files, where column statistics find one,
+    so files grow with the rows and not with the runs.  The tables do not depend on each other and are written side by side.
+    """
+    by = list(run if folders is None else folders)
+    inside = [c for c in run if c not in by]
+
+    def write(name: str) -> None:
+        write_partitioned(tables[name], f"{path}/{name}", by, sort=inside)
+
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        list(pool.map(write, tables))
 
 
 def write_flat_text(curves: DataFrame, path: str, keys: Sequence[str] = ()) -> None:

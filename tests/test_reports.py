@@ -71,3 +71,16 @@ def test_ledger_of_records(spark, tmp_path):
     with pytest.raises(Exception, match="exist"):
         ledger._commit(1, None, [], "struct<k:bigint>")
     assert ledger.current().where(F.col("k").isNull()).count() == 1
+
+
+def test_products_of_many_runs_share_files(spark, tmp_path):
+    import glob
+
+    from nightflux.sources.sinks import write_products
+
+    rows = spark.range(2400).selectExpr("int(id % 300) AS field", "int(id % 3 + 3) AS ap", "id AS jd", "id / 7.0D AS diff")
+    write_products({"lightcurve": rows, "again": rows}, str(tmp_path), ["field", "ap"], ["ap"])
+    for name in ("lightcurve", "again"):
+        assert len(glob.glob(f"{tmp_path}/{name}/ap=*")) == 3 and len(glob.glob(f"{tmp_path}/{name}/**/*.parquet", recursive=True)) <= 24
+        back = spark.read.schema(rows.schema).parquet(f"{tmp_path}/{name}")
+        assert back.exceptAll(rows.select(back.columns)).isEmpty() and back.count() == 2400
