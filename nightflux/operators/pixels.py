@@ -25,17 +25,21 @@ def aperture_photometry(
     ``pixels``(keys, y, x, adu); ``stars``(field, star, sx, sy): ``field`` names the keys that a
     frame shares with its stars, so that no star is measured on another field's frames.  A pixel counts by its
     centre.  Sky is the median of an annulus, whose pixels are bounded by its area.
+
+    Pairs of a pixel and a star are never stored: they are sent to the task of their star and frame, which takes sums and
+    sky in one aggregation, so that no task sorts more than its share of the shuffle.
     """
     reach = max(annulus[1], max(APERTURE_FACTORS) * rcore)
-    near = cut(within_plane(pixels, stars, list(field), ("x", "y"), ("sx", "sy"), reach).select(*keys, star, "adu", "dist"))
-    ring = near.where(F.col("dist").between(*annulus))
-    sky = medians(ring, [*keys, star], {"sky": "adu"}, bounded=True)
-    sums = near.groupBy(*keys, star).agg(
+    near = within_plane(pixels, stars, list(field), ("x", "y"), ("sx", "sy"), reach).select(*keys, star, "adu", "dist")
+    ring = F.when(F.col("dist").between(*annulus), F.col("adu"))
+    near = near.repartition(*keys, star)  # a partial aggregation would sort all pairs of a task before it
+    rows = medians(
+        near, [*keys, star], {"sky": ring},
         *[F.sum(F.when(F.col("dist") <= m * rcore, F.col("adu"))).alias(f"s{i + 1}") for i, m in enumerate(APERTURE_FACTORS)],
         *[F.count_if(F.col("dist") <= m * rcore).alias(f"n{i + 1}") for i, m in enumerate(APERTURE_FACTORS)],
         F.max(F.when(F.col("dist") <= APERTURE_FACTORS[-1] * rcore, F.col("adu"))).alias("peak"),
+        bounded=True,
     )
-    rows = attach(sums, [*keys, star], sky)
     fluxes = [(F.coalesce(f"s{i}", F.lit(0.0)) - F.coalesce("sky", F.lit(0.0)) * F.col(f"n{i}")).alias(f"aper_flux_{i}") for i in range(1, 14)]
     return rows.select(*keys, star, "sky", "peak", *fluxes)
 
