@@ -19,6 +19,8 @@ from .frames import chunked, first_frames
 from .grouped import array_clip, array_median, attach, clipped_medians, medians
 
 PIXEL = ["y", "x"]
+#: Share of a clip limit within which the array clip decides.
+EDGE = 1e-6
 
 
 def overscan_levels(pixels: DataFrame, keys: Sequence[str], region: Column, max_rounds: int | None = None) -> DataFrame:
@@ -37,11 +39,21 @@ def subtract_overscan(pixels: DataFrame, levels: DataFrame, keys: Sequence[str],
 def stack_clipped(
     pixels: DataFrame, keys: Sequence[str], value: str, out: str, sigma: float = 3.0, max_rounds: int | None = None
 ) -> DataFrame:
-    """Mean over chunks of 50 frames of the clipped median of every pixel."""
+    """Mean over chunks of 50 frames of the clipped median of every pixel.
+
+    The array clip is interpreted and slow, so it runs only on stacks with a value beyond the first limits or, as sums
+    may differ in their last digits, on them; a first round that keeps all values is the last one.
+    """
     lists = chunked(pixels.select(*keys, "frame").distinct(), keys, ["frame"])
     rows = attach(pixels, [*keys, "frame"], lists)
-    arrays = rows.groupBy(*keys, *PIXEL, "chunk").agg(F.sort_array(F.collect_list(value)).alias("a"))  # <= 50 values
-    per_chunk = arrays.select(*keys, *PIXEL, array_median(array_clip(F.col("a"), sigma, max_rounds)).alias("m"))
+    arrays = rows.groupBy(*keys, *PIXEL, "chunk").agg(
+        F.sort_array(F.collect_list(value)).alias("a"), F.stddev_pop(value).alias("s")
+    )  # <= 50 values
+    centre, limit = F.col("m"), (1 - EDGE) * sigma * F.col("s")
+    arrays = arrays.withColumn("m", array_median(F.col("a")))
+    settled = (F.get("a", F.size("a") - 1) - centre <= limit) & (centre - F.get("a", F.lit(0)) <= limit)
+    clipped = F.when(settled, centre).otherwise(array_median(array_clip(F.col("a"), sigma, max_rounds)))
+    per_chunk = arrays.select(*keys, *PIXEL, clipped.alias("m"))
     return per_chunk.groupBy(*keys, *PIXEL).agg(F.avg("m").alias(out), F.count("m").alias("n_chunks"))
 
 
