@@ -122,14 +122,17 @@ def _grams(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: Counter = Counter()
 
     def flush() -> pa.RecordBatch:
-        grams: Counter = Counter()
-        for word, n in words.items():
-            if word.isalpha():
-                padded = EDGE + EDGE + word + EDGE
-                for k in range(len(word) + 1):
-                    grams[padded[k : k + 3]] += n
+        known = [w for w in words if w.isalpha()]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) + 2
+        times = np.repeat(np.fromiter((words[w] for w in known), np.int64, len(known)), sizes)
         words.clear()
-        return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["gram", "n"])
+        signs = np.frombuffer((EDGE + EDGE).join(["", *known, ""]).encode("utf-32-le"), np.uint32).astype(np.int64)
+        # 21 bits a sign; a gram that ends with both edges belongs to two words
+        keys = signs[:-2] << 42 | signs[1:-1] << 21 | signs[2:]
+        inside = (signs[1:-1] != ord(EDGE)) | (signs[2:] != ord(EDGE))
+        grams = pa.table({"gram": keys[inside], "n": times[inside]}).group_by("gram", use_threads=False).aggregate([("n", "sum")])
+        named = ["".join(map(chr, (g >> 42, g >> 21 & 0x1FFFFF, g & 0x1FFFFF))) for g in grams["gram"].to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(named, pa.string()), pa.array(grams["n_sum"].to_numpy(), pa.int64())], ["gram", "n"])
 
     for batch in batches(stream):
         for text in batch.column("text").to_pylist():
@@ -199,8 +202,17 @@ class Scorer:
         self.walked = Remember(lambda x: self._walk(tuple((s, c + SEPARATED) for s, c in x[0]), x[1]), 100_000)
         self.allowed = Remember(lambda states: set().union(*(self.next.get(s, ()) for s, _ in states), (s[-1] for s, _ in states)), 50_000)
         self.alone: dict[str, frozenset[str]] = {}
+        self.plain = Remember(self._plain, 50_000)
         self.pairs = {c + d for c in self.next.get("", ()) for d in (c, *self.next.get(c, ()))}
 
+    def _plain(self, beginning: str) -> tuple | None:
+        """The facts of words that begin so, where no known word does."""
+        start = beginning.lower()
+        if not (len(start) == 3 and start.isascii() and start.isalpha() and start[0] != start[1] != start[2]) or start in self.bare:
+            return None
+        head = self._heads(start)
+        return (0.0, (), head) if head.isdisjoint(self.next.get("", ())) or start[:2] not in self.pairs else None
+
     def _odds(self, token: str) -> float:
         """The strongest sign that a token's readings are; most words begin like none and need no decoding."""
         word = token.strip(OUTER).lower()
@@ -233,6 +245,11 @@ class Scorer:
         """A token's log-odds, the beginnings of known words that it may stand for if it has none, and its heads.
 
         Most tokens begin no word of the list and are settled by one look."""
+        plain = self.plain[token[:3]]
+        if plain:
+            word = token.strip(OUTER).lower()
+            if word.isalpha() and not TRIPLE.search(word):
+                return plain
         odds, heads = self._odds(token), self._heads(token)
         pair = token[:2].lower()
         if odds or heads is not None and heads.isdisjoint(self.next.get("", ())) or pair.isalpha() and len(pair) == 2 and pair not in self.pairs:
@@ -240,7 +257,7 @@ class Scorer:
         return odds, tuple(x for x in self._walk((("", 0.0),), token)[0] if x[0]), heads
 
     def forget(self) -> None:
-        for memo in (self.memo, self.facts, self.walked, self.allowed):
+        for memo in (self.memo, self.facts, self.walked, self.allowed, self.plain):
             memo.forget()
 
     def _heads(self, token: str) -> frozenset[str] | None:
@@ -295,8 +312,9 @@ class Scorer:
         bounded by its letters and a text takes time in proportion to its length.
         """
         end, allowed = 0, self.allowed
-        for k, (_, states, _) in enumerate(facts):
-            if not states or k < end:
+        for k in [k for k, f in enumerate(facts) if f[1]]:
+            states = facts[k][1]
+            if k < end:
                 continue
             best, end, at = None, k + 1, k
             while states and (at := at + 1) < len(words):
@@ -324,9 +342,9 @@ class Scorer:
         """1, the logarithm of the distinct signs' summed excess, the strongest sign, the logarithm of strong signs per 100 words."""
         words = text.split() if text else []
         facts = list(map(self.facts.__getitem__, words))
-        odds = [x[0] for x in facts]
-        found = {w.strip(OUTER).lower(): x for w, x in zip(words, odds, strict=True) if x} if any(odds) else {}
-        strong = sum(x >= STRONG for x in odds)
+        signs = [(k, f[0]) for k, f in enumerate(facts) if f[0]]
+        found = {words[k].strip(OUTER).lower(): x for k, x in signs}
+        strong = sum(x >= STRONG for _, x in signs)
         for _, w, x in self.spaced(words, facts) if self.signs else ():
             found[w] = x
             strong += x >= STRONG
