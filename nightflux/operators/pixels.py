@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +33,8 @@ def aperture_photometry(
     """
     reach = max(annulus[1], max(APERTURE_FACTORS) * rcore)
     near = within_plane(pixels, stars, list(field), ("x", "y"), ("sx", "sy"), reach).select(*keys, star, "adu", "dist")
-    ring = F.when(F.col("dist").between(*annulus), F.col("adu"))
+    named = reduce(and_, [F.col(c).isNotNull() for c in (*keys, star)])  # without its keys a star has no sky
+    ring = F.when(named & F.col("dist").between(*annulus), F.col("adu"))
     near = near.repartition(*keys, star)  # a partial aggregation would sort all pairs of a task before it
     rows = medians(
         near, [*keys, star], {"sky": ring},
