@@ -26,6 +26,10 @@ GRAMS = 1 << 18
 #: What a path over white space may cost: so much in all and for each letter, language model included.
 SPARE, ROOM = 4.0, 7.0
 EDGE = "\x02"
+#: What may follow a place besides signs: a gap, and the place without paths that have no letter yet.
+GAP, BEGUN = "gap", "begun"
+#: Tokens whose facts, and places of the lattice that, a task remembers; both are soon found again.
+MEMO, PLACES = 100_000, 60_000
 #: Signs of a token that may be a part of a word's start.
 SHORT = 3
 OUTER = " \t\r\n.,;:!?\"'()[]{}<>«»„“”‘’…-–—_*/\\"
@@ -40,6 +44,11 @@ STRONG = 4.0
 DOUBLE, TRIPLE, REPEATS = re.compile(r"(.)\1"), re.compile(r"(.)\1\1"), re.compile(r"(.)\1+")
 
 
+def squeezed(word: str) -> str:
+    """A word without repeated letters; every path of the channel over letters alone keeps it."""
+    return REPEATS.sub(r"\1", word) if DOUBLE.search(word) else word
+
+
 def bare(word: str) -> str:
     """The first three letters of a word without repeats; a path that only leaves out repeats keeps them."""
     if len(word) > 2 and word[0] != word[1] != word[2]:
@@ -118,6 +127,17 @@ def features(word: str) -> list[str]:
     return ["=" + word, *(word[:n] + "~" for n in STARTS if len(word) >= n)]
 
 
+class Place:
+    """What a path over tokens may stand for so far: beginnings of known words with their costs; places after it are found once."""
+
+    __slots__ = "states", "met", "allowed", "after"
+
+    def __init__(self, states: dict[str, float], scorer: Scorer):
+        self.states, self.allowed = states, None
+        self.met = tuple(s for s in states if s in scorer.starts)
+        self.after: dict[str, Place] = {}
+
+
 def _grams(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: Counter = Counter()
 
@@ -196,14 +216,26 @@ class Scorer:
                 self.next.setdefault(w[:n], set()).add(w[n])
 
     def start(self) -> None:
-        self.bare = {bare(w) for w in (*self.whole, *self.starts)}
-        self.memo = Remember(self._odds, 250_000)
-        self.facts = Remember(self._facts, 250_000)
-        self.walked = Remember(lambda x: self._walk(tuple((s, c + SEPARATED) for s, c in x[0]), x[1]), 100_000)
-        self.allowed = Remember(lambda states: set().union(*(self.next.get(s, ()) for s, _ in states), (s[-1] for s, _ in states)), 50_000)
+        known = *self.whole, *self.starts
+        self.bare = {bare(w) for w in known}
+        self.fours = {w[:4] for w in known}
+        self.fives = {w[:5] for w in known}
+        self.thin = set(map(squeezed, known))
+        self.lengths = sorted(set(map(len, map(squeezed, self.starts))))
+        #: Known words and their beginnings without repeats.
+        self.thin_begin = self.thin | set(map(squeezed, self.next))
+        self.memo = Remember(self._odds, MEMO)
+        self.facts = Remember(self._facts, MEMO)
         self.alone: dict[str, frozenset[str]] = {}
-        self.plain = Remember(self._plain, 50_000)
+        self.nothing: dict[frozenset[str] | None, tuple] = {}
+        self.plain = Remember(self._plain, MEMO)
         self.pairs = {c + d for c in self.next.get("", ()) for d in (c, *self.next.get(c, ()))}
+        self._clear()
+
+    def _clear(self) -> None:
+        """Lets all places go, and the facts that name some."""
+        self.places, self.root, self.dead = 0, Place({"": 0.0}, self), Place({}, self)
+        self.facts.forget()
 
     def _plain(self, beginning: str) -> tuple | None:
         """The facts of words that begin so, where no known word does."""
@@ -211,7 +243,7 @@ class Scorer:
         if not (len(start) == 3 and start.isascii() and start.isalpha() and start[0] != start[1] != start[2]) or start in self.bare:
             return None
         head = self._heads(start)
-        return (0.0, (), head) if head.isdisjoint(self.next.get("", ())) or start[:2] not in self.pairs else None
+        return self._nothing(head) if head.isdisjoint(self.next.get("", ())) or start[:2] not in self.pairs else None
 
     def _odds(self, token: str) -> float:
         """The strongest sign that a token's readings are; most words begin like none and need no decoding."""
@@ -219,6 +251,12 @@ class Scorer:
         if word.isalpha() and not TRIPLE.search(word):
             if bare(word) not in self.bare:
                 return 0.0
+            thin = squeezed(word)
+            if thin == word:
+                if word[:4] not in self.fours:
+                    return 0.0
+            elif thin not in self.thin and not any(thin[:n] in self.thin for n in self.lengths):
+                return 0.0
         elif not (self._reaches(word) or self._reaches(outer_noise(token))):
             return max((self.signs.get(f, 0.0) for f in features(word)), default=0.0)
         return max((self.signs.get(f, 0.0) for w in readings(token, self.channel) for f in features(w)), default=0.0)
@@ -241,10 +279,14 @@ class Scorer:
                 return True
         return False
 
-    def _facts(self, token: str) -> tuple[float, tuple, frozenset[str] | None]:
-        """A token's log-odds, the beginnings of known words that it may stand for if it has none, and its heads.
+    def _facts(self, token: str) -> tuple[float, Place | None, frozenset[str] | None]:
+        """A token's log-odds, the place that it leads to if it has none and may begin a known word, and its heads.
 
-        Most tokens begin no word of the list and are settled by one look."""
+        Most tokens begin no word of the list and are settled by a few looks."""
+        start = token[:5].lower()
+        if len(start) == 5 and start not in self.fives and start[:4] not in self.starts and start[0] != start[1] != start[2] != start[3] != start[4] and start.isalpha() and "ς" not in start:
+            # whatever follows, all readings begin so, and no sign does; a sigma's small form hangs on what follows
+            return self._nothing(self._heads(start))
         plain = self.plain[token[:3]]
         if plain:
             word = token.strip(OUTER).lower()
@@ -252,13 +294,36 @@ class Scorer:
                 return plain
         odds, heads = self._odds(token), self._heads(token)
         pair = token[:2].lower()
-        if odds or heads is not None and heads.isdisjoint(self.next.get("", ())) or pair.isalpha() and len(pair) == 2 and pair not in self.pairs:
-            return odds, (), heads
-        return odds, tuple(x for x in self._walk((("", 0.0),), token)[0] if x[0]), heads
+        if odds:
+            return odds, None, heads
+        if heads is not None and heads.isdisjoint(self.next.get("", ())) or pair.isalpha() and len(pair) == 2 and pair not in self.pairs:
+            return self._nothing(heads)
+        if token[0].isalpha():  # then what follows the letters only ends paths or adds to them
+            word = token.rstrip(OUTER).lower()
+            if word.isalpha() and squeezed(word) not in self.thin_begin:
+                return self._nothing(heads)
+        place = self._walk(self.root, token, set())
+        if "" in place.states:  # signs that may be left out begin no word
+            place = place.after.get(BEGUN) or self._keep(place, BEGUN, {s: c for s, c in place.states.items() if s})
+        if not place.states:
+            return self._nothing(heads)
+        self._open(place)
+        return 0.0, place, heads
+
+    def _nothing(self, heads: frozenset[str] | None) -> tuple:
+        """The facts of a token that is no sign and begins none; one tuple for all with such heads."""
+        return self.nothing.get(heads) or self.nothing.setdefault(heads, (0.0, None, heads))
+
+    def _open(self, place: Place) -> frozenset[str]:
+        """The letters that a token after this place may begin with."""
+        if place.allowed is None:
+            place.allowed = frozenset().union(*(self.next.get(s, ()) for s in place.states), (s[-1] for s in place.states))
+        return place.allowed
 
     def forget(self) -> None:
-        for memo in (self.memo, self.facts, self.walked, self.allowed, self.plain):
+        for memo in (self.memo, self.plain):
             memo.forget()
+        self._clear()
 
     def _heads(self, token: str) -> frozenset[str] | None:
         """The letters that a token's first letter may be; None if it may be left out as a whole."""
@@ -273,35 +338,47 @@ class Scorer:
                 return frozenset(found)
         return None
 
-    def _walk(self, states: tuple[tuple[str, float], ...], token: str) -> tuple[tuple[tuple[str, float], ...], set[str]]:
-        """The beginnings of known words that ``states`` and then ``token`` may stand for, with their costs, and the known starts met in it.
+    def _step(self, place: Place, sign: str) -> Place:
+        """The place after one more sign.
 
         The lattice and the costs are the channel's and its language model's, with outer punctuation left out too.  A path that
         begins no known word ends, and so does one that costs more than SPARE and ROOM a letter, so a run of equal tokens ends soon.
         """
-        now, met, step = dict(states), set(), self.channel._step
+        letters = [(sign, 0.0)] if sign.isalpha() else [(c, SUBSTITUTED) for c in STANDS.get(sign, "")]
+        skipped = sign in SEPARATORS or sign in OUTER or not (letters or sign.isalnum())
+        after: dict[str, float] = {}
+
+        def offer(state: str, cost: float) -> None:
+            if cost <= SPARE + ROOM * len(state) and cost < after.get(state, math.inf):
+                after[state] = cost
+
+        for s, cost in place.states.items():
+            if skipped:
+                offer(s, cost + SEPARATED)
+            for letter, noise in letters:
+                if letter in self.next.get(s, ()):
+                    offer(s + letter, cost + noise + self.channel._step((EDGE + EDGE + s)[-2:], letter))
+                if s[-1:] == letter:
+                    offer(s, cost + noise + REPEATED)
+        return self._keep(place, sign, after)
+
+    def _keep(self, place: Place, sign: str, states: dict[str, float]) -> Place:
+        """The place with these states, remembered after ``place`` until PLACES are."""
+        if self.places >= PLACES:
+            self._clear()
+        self.places += 1
+        place.after[sign] = new = Place(states, self) if states else self.dead
+        return new
+
+    def _walk(self, place: Place, token: str, met: set[str]) -> Place:
+        """The place that ``token`` leads to; the known starts that it meets on the way are added to ``met``."""
         for sign in token.lower():
-            letters = [(sign, 0.0)] if sign.isalpha() else [(c, SUBSTITUTED) for c in STANDS.get(sign, "")]
-            skipped = sign in SEPARATORS or sign in OUTER or not (letters or sign.isalnum())
-            after: dict[str, float] = {}
-
-            def offer(state: str, cost: float, after=after) -> None:
-                if cost <= SPARE + ROOM * len(state) and cost < after.get(state, math.inf):
-                    after[state] = cost
-
-            for s, cost in now.items():
-                if skipped:
-                    offer(s, cost + SEPARATED)
-                for letter, noise in letters:
-                    if letter in self.next.get(s, ()):
-                        offer(s + letter, cost + noise + step((EDGE + EDGE + s)[-2:], letter))
-                    if s[-1:] == letter:
-                        offer(s, cost + noise + REPEATED)
-            now = after
-            if not now:
+            place = place.after.get(sign) or self._step(place, sign)
+            if not place.states:
                 break
-            met.update(s for s in now if s in self.starts)
-        return tuple(sorted(now.items())), met
+            if place.met:
+                met.update(place.met)
+        return place
 
     def spaced(self, words: list[str], facts: list[tuple]) -> Iterator[tuple[str, str, float]]:
         """Known words that white space divides: the tokens, the word, its log-odds.
@@ -311,19 +388,21 @@ class Scorer:
         by side (two ordinary words) have log-odds of their own.  A gap costs a separator, so the tokens that a path takes in are
         bounded by its letters and a text takes time in proportion to its length.
         """
-        end, allowed = 0, self.allowed
-        for k in [k for k, f in enumerate(facts) if f[1]]:
-            states = facts[k][1]
+        end = 0
+        # most second tokens begin with no letter that could follow
+        for k in [k for k, (f, g) in enumerate(zip(facts, facts[1:], strict=False)) if f[1] and (g[2] is None or not g[2].isdisjoint(f[1].allowed))]:
+            place = facts[k][1]
             if k < end:
                 continue
             best, end, at = None, k + 1, k
-            while states and (at := at + 1) < len(words):
+            while place.states and (at := at + 1) < len(words):
                 head = facts[at][2]
-                if head is not None and head.isdisjoint(allowed[states]):
+                if head is not None and head.isdisjoint(self._open(place)):
                     break
-                before = {s for s, _ in states}
-                states, met = self.walked[states, words[at]]
-                here = {s for s, _ in states}
+                before, met = place.states.keys(), set()
+                place = place.after.get(GAP) or self._keep(place, GAP, {s: c + SEPARATED for s, c in place.states.items()})
+                place = self._walk(place, words[at], met)
+                here = place.states.keys()
                 for s in (here | met) - before:
                     if s not in self.starts and s not in self.whole:
                         continue
