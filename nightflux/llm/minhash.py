@@ -27,7 +27,7 @@ class Shingler:
 
     def __init__(self, width: int):
         self.width = width
-        self.hash = Remember(xxhash.xxh3_64_intdigest)
+        self.hash = Remember(xxhash.xxh3_64_intdigest, 100_000)  # soon found again
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = text.encode().lower().split() if text else []  # bytes: only A-Z, only ASCII white space

@@ -497,15 +497,18 @@ def score(docs: DataFrame, scorer: Scorer, keep: bool = False) -> DataFrame:
     A null or empty text has no signs and the lowest score.
     """
     names = docs.columns if keep else ["doc_id"]
+    kept = docs.select(*names)
+    # a text that is kept anyway is sent to the workers once
+    text = "text" if [f.dataType.simpleString() for f in kept.schema.fields if f.name == "text"] == ["string"] else "_text"
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer.start()
         for batch in batches(stream):
-            x = np.array([scorer.measures(t) for t in batch.column("_text").to_pylist()]).reshape(-1, 4)
+            x = np.array([scorer.measures(t) for t in batch.column(text).to_pylist()]).reshape(-1, 4)
             out = scorer.score(x) if scorer.signs else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out)], [*names, "score"])
         scorer.forget()
 
-    docs = docs.select(*names, F.col("text").cast("string").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
+    docs = kept if text == "text" else docs.select(*names, F.col("text").cast("string").alias("_text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     return docs.mapInArrow(run, f"{schema}, score double")
