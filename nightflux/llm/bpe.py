@@ -25,7 +25,7 @@ class PrefixMerges:
     through its output links; the pair test is remembered.
     """
 
-    def __init__(self, tokens: dict[str, int], rank: Callable[[str, str], float | None]):
+    def __init__(self, tokens: dict[str, int], rank: Callable[[str, str], float | None], pairs: int = 500_000):
         self.rank, self.number = rank, tokens
         self.automaton = ahocorasick.Automaton()
         for token in tokens:
@@ -33,7 +33,7 @@ class PrefixMerges:
         self.automaton.make_automaton()
         self.letters = {t for t in tokens if len(t) == 1}
         self.made = Remember(self._made)
-        self.fits = Remember(self._fits, 500_000)
+        self.fits = Remember(self._fits, pairs)
 
     def _made(self, token: str) -> tuple[str, str, float] | None:
         """The two tokens and the rank of a token's last merge; empty strings for a single sign, None if merging never makes it."""

@@ -17,6 +17,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACED = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+#: Rows of an Arrow batch.  A batch holds whole texts, and a task keeps it several times outside of its heap.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands at most BATCH_ROWS rows at a time to Python (Spark's own limit: 10 000); a lower limit of the user's stays."""
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(limit)) <= BATCH_ROWS:
+        spark.conf.set(limit, str(BATCH_ROWS))
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -80,7 +91,7 @@ class Remember(dict):
         self.old = {}
 
 
-def batches(stream: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def batches(stream: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what a batch of long texts expands to stays small."""
     for batch in stream:
         for start in range(0, batch.num_rows, rows):

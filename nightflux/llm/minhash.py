@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightflux.llm.common import Remember, batches, lists, mix64
+from nightflux.llm.common import Remember, batches, lists, mix64, small_batches
 from nightflux.llm.graph import components
 from nightflux.session import cut
 
@@ -135,6 +135,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slack: f
     Empty input gives an empty result.  A null doc_id takes part but never names a component; a component
     without any id has a null ``component_id`` and its rows count as kept.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marks = cut(docs.mapInArrow(_marks(width), "doc_id long, n_shingles long, node long, keys array<long>, signs array<short>"))
     classes = cut(marks.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("low")))

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightflux.llm.bpe import PrefixMerges
-from nightflux.llm.common import Remember, batches
+from nightflux.llm.common import Remember, batches, small_batches
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: What an unknown character scores below the worst piece of a unigram model (fixed value).
 UNKNOWN = 10.0
+#: Pairs of pieces that a worker remembers from task to task, in each of two generations.
+PAIRS = 150_000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -90,7 +92,7 @@ class MergedPieces(PrefixMerges):
 
     def __init__(self, scores: dict[str, tuple[int, float]]):
         get = scores.get
-        super().__init__({p: i for p, (i, _) in scores.items()}, lambda a, b: -hit[1] if (hit := get(a + b)) else None)
+        super().__init__({p: i for p, (i, _) in scores.items()}, lambda a, b: -hit[1] if (hit := get(a + b)) else None, PAIRS)
 
     def segments(self, text: str) -> list[tuple[int, int]]:
         last = self.prefixes(text)[1]
@@ -175,6 +177,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(np.diff(ends).astype(np.int64))], ["doc_id", "ids", "n_pieces"])
         own.unit.forget()
 
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_pieces long")

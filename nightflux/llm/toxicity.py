@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightflux.llm.common import Remember, batches
+from nightflux.llm.common import Remember, batches, small_batches
 from nightflux.session import cut
 
 #: Letters that a sign may stand for (fixed values).
@@ -165,6 +165,7 @@ def _grams(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def trigram_counts(docs: DataFrame) -> dict[str, int]:
     """Counts over the words of all texts of the GRAMS most frequent trigrams."""
+    small_batches(docs.sparkSession)
     grams = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return {r.gram: r.n for r in grams.orderBy(F.desc("n"), "gram").limit(GRAMS).collect()}
 
@@ -478,6 +479,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> Scorer:
 
 def measured(rows: DataFrame, scorer: Scorer) -> DataFrame:
     """Adds ``measures`` to rows with ``text``."""
+    small_batches(rows.sparkSession)
     names = rows.columns
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -496,6 +498,7 @@ def score(docs: DataFrame, scorer: Scorer, keep: bool = False) -> DataFrame:
 
     A null or empty text has no signs and the lowest score.
     """
+    small_batches(docs.sparkSession)
     names = docs.columns if keep else ["doc_id"]
     kept = docs.select(*names)
     # a text that is kept anyway is sent to the workers once
