@@ -6,6 +6,8 @@ queries start from.  Nothing is filtered or cut: every view covers its whole tab
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -217,11 +219,12 @@ SURVEY_APERTURES = [(4, 0.2, 0.1), (5, 0.05, 0.02), (6, 0.4, 0.1)]
 SURVEY_STARS, SURVEY_START = 24, 2460311.0
 
 
-def survey(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def survey(spark: SparkSession, sf: str, store: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
     """A survey of steady stars: ten suppliers are a field, parts its 24 stars (star 0 the target), pairs of months its frames.
 
     Fluxes scatter by the cell's mean tax and discount, one frame in 29 is cloudy, star 23 is saturated; the
     runs of a field start on a day of their own.  Every event is a sample of the water archive, which no run owns.
+    ``store`` may write the light curves before the targets are read from them.
     """
     li = table(spark, sf, "lineitem").select(
         F.floor(F.col("l_suppkey") / 10).cast("int").alias("field"), (F.col("l_partkey") % SURVEY_STARS).cast("int").alias("star_id"),
@@ -230,10 +233,10 @@ def survey(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     cells = li.groupBy("field", "star_id", "m").agg(F.avg("l_tax").alias("a"), F.avg("l_discount").alias("b"), F.avg("l_quantity").alias("q"))
     aps = F.explode(F.array(*[F.struct(F.lit(n).alias("ap"), F.lit(k).alias("k"), F.lit(c).alias("c")) for n, k, c in SURVEY_APERTURES]))
     air = (1 + 0.1 * F.sin(F.col("m") / 7.0)) * F.when(F.col("m") % 29 == 0, 0.5).otherwise(1.0)
-    lc = cells.withColumn("x", aps).select(
+    lc = store(cells.withColumn("x", aps).select(
         "field", "x.ap", "star_id", jd.alias("jd"),
         (F.lit(20000.0) / (1 + F.col("star_id") % 7) * air * (1 + F.col("x.k") * (F.col("a") - 0.04) + F.col("x.c") * (F.col("b") - 0.05))).alias("flux"),
-        F.when(F.col("star_id") == SURVEY_STARS - 1, 80000.0).otherwise(F.col("q") * 100).alias("peak"))
+        F.when(F.col("star_id") == SURVEY_STARS - 1, 80000.0).otherwise(F.col("q") * 100).alias("peak")))
     frames = li.groupBy("field", "m").agg(
         (1 + F.avg("l_discount") * 10).alias("airmass"), (50 + F.avg("l_tax") * 1000).alias("sky"), (F.avg("l_quantity") / 10 + 4).alias("ron"))
     frames = frames.select(

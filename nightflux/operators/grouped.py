@@ -12,19 +12,38 @@ Both passes must see the same values, but a sum of doubles taken a second time m
 meet its rows in another order and differ in its last digit.  So rows are stored
 before the first pass; ``stored=True`` says that they come from stored tables by
 row-wise expressions and joins alone, and are read from there twice.
+
+Very many groups of few rows would pay for a sketch each.  A caller that has measured its groups
+(``fits``) says ``whole=True``: the rows are moved once and each group is read in one piece, in one pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import as_col, cut
 
 SKETCH_ACCURACY = 100_000
 BRACKET = 2.5 / SKETCH_ACCURACY
+#: Rows of the fullest group up to which groups are read whole.
+GROUP_ROWS = 100_000
+
+
+def fits(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether every group is small enough to be read whole: one counting aggregation and one number to the driver."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return (counts.agg(F.max("n")).first()[0] or 0) <= GROUP_ROWS
+
+
+def known(keys: Sequence[str]) -> Column:
+    """True where no key is NULL; as in a join, other rows belong to no group."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).isNotNull()
+    return out
 
 
 def attach(df: DataFrame, keys: Sequence[str], stats: DataFrame, few: bool = False) -> DataFrame:
@@ -51,15 +70,22 @@ def medians(
     *extra: Column,
     bounded: bool = False,
     stored: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """Exact medians (mean of the two middle values) per group, NULLs skipped.
 
     ``values`` maps output names to expressions; ``extra`` aggregates ride along in
     the first pass.  ``bounded=True`` is for groups whose size has a fixed limit
-    (a 50-frame chunk, a 3x3 cell): those use the built-in exact median directly.  Both
-    ways are exact, and a bracket that missed a middle rank on either side raises.
+    (a 50-frame chunk, a 3x3 cell): those use the built-in exact median directly; ``whole=True`` is for groups
+    that ``fits`` has measured.  All ways are exact, and a bracket that missed a middle rank on either side raises.
     """
     keys = list(keys)
+    if whole:
+        # over a window the values of one group at a time are held; an aggregation would hold those of many
+        own = Window.partitionBy(*keys)
+        rows = df.where(known(keys)) if keys else df
+        rows = rows.select("*", *[F.median(as_col(v).cast("double")).over(own).alias(f"__q_m_{k}") for k, v in values.items()])
+        return rows.groupBy(*keys).agg(*[F.first(f"__q_m_{k}").alias(k) for k in values], *extra)
     if bounded:
         return df.groupBy(*keys).agg(*[F.median(as_col(v)).alias(k) for k, v in values.items()], *extra)
     rows = df.select("*", *[as_col(v).cast("double").alias(f"__q_v_{k}") for k, v in values.items()])
@@ -108,12 +134,16 @@ def medians(
 
 
 def normalise(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, floor: float | None = 0.001, stored: bool = False
+    df: DataFrame, keys: Sequence[str], value: str, out: str, floor: float | None = 0.001, stored: bool = False, whole: bool = False
 ) -> DataFrame:
     """Divide a series by its median; values at or below ``floor`` stay out of the
     median only (A13).  ``floor=None`` is the plain variant."""
-    df = df if stored else cut(df)
     source = F.col(value) if floor is None else F.when(F.col(value) > floor, F.col(value))
+    if whole:
+        med = F.when(known(keys), F.median(source.cast("double")).over(Window.partitionBy(*keys)))
+        rows = df.select(*keys, *[c for c in df.columns if c not in keys], med.alias("__median"))
+        return rows.withColumn(out, F.when(F.col("__median") != 0, F.col(value) / F.col("__median"))).drop("__median")
+    df = df if stored else cut(df)
     med = medians(df, keys, {"__median": source}, stored=True)
     divided = F.when(F.col("__median") != 0, F.col(value) / F.col("__median"))
     return attach(df, keys, med).withColumn(out, divided).drop("__median")
@@ -127,27 +157,32 @@ def clip_bounds(
     max_rounds: int | None = 5,
     lower: bool = True,
     stored: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """Iterative sigma clip as one interval per group.
 
     Clipping around a median keeps exactly the values between two limits, and later
     rounds only narrow them, so the state is (lo, hi) per group and the rows are
-    never rewritten.  Values on a limit are kept.  ``max_rounds=None`` runs until no
+    never rewritten.  Values on a limit are kept.  A group that a round leaves as it was has settled: later
+    rounds read the others alone.  ``max_rounds=None`` runs until no
     group changes; one boolean per round reaches the driver.  ``lower=False`` clips
     the high side only.  Returns keys, lo, hi.
     """
     keys = list(keys)
     narrow = df.select(*keys, F.col(value).cast("double").alias("__y")).where(F.col("__y").isNotNull())
     narrow = narrow if stored else cut(narrow)
-    state, done = None, 0
+    state, settled, done = None, [], 0
     while max_rounds is None or done < max_rounds:
         live = narrow
         if state is not None:
-            live = attach(narrow, keys, state.select(*keys, "lo", "hi"))
+            settled.append(state.where("NOT changed"))
+            state = state.where("changed")
+            limits = state.select(*keys, "lo", "hi")
+            live = narrow.join(limits, keys) if keys else narrow.crossJoin(F.broadcast(limits))
             live = live.where(F.col("__y").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
         stats = medians(
             live, keys, {"__m": "__y"},
-            F.stddev_pop("__y").alias("__s"), F.min("__y").alias("__min"), F.max("__y").alias("__max"), stored=True,
+            F.stddev_pop("__y").alias("__s"), F.min("__y").alias("__min"), F.max("__y").alias("__max"), stored=True, whole=whole,
         )
         low, high = F.col("__m") - sigma * F.col("__s"), F.col("__m") + sigma * F.col("__s")
         if not lower:
@@ -160,6 +195,8 @@ def clip_bounds(
         done += 1
         if state.where("changed").isEmpty():
             break
+    for part in settled:
+        state = state.unionByName(part)
     return state.drop("changed")
 
 

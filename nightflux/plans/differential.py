@@ -54,14 +54,17 @@ def differential_photometry(
     run, s = list(run), settings or Settings()
     night, field = [c for c in run if c in frames.columns], [c for c in run if c in stars.columns]
     env = frames.select(*night, "jd", "exptime", "gain", "airmass", "sky", "ron", "height")
+    # surveys are very many short series: groups that fit a task are read in one piece
+    small = E.sizes(lc, env, run, night)
     base = lc.withColumn("flux", positive_flux("flux")).join(env, [*night, "jd"])
-    base = cut(normalise(cut(base), [*run, "star_id"], "flux", "nflux", stored=True))
+    base = base if small.series else cut(base)
+    base = cut(normalise(base, [*run, "star_id"], "flux", "nflux", stored=True, whole=small.series))
 
-    flags = cut(quality_flags(base, [*run, "star_id"], "exptime", s.saturation, stored=True))
-    mags = medians(base, [*run, "star_id"], {"typical_flux": "flux", "__scale": F.col("gain") / F.col("exptime")}, stored=True)
+    flags = cut(quality_flags(base, [*run, "star_id"], "exptime", s.saturation, stored=True, whole=small.series))
+    mags = medians(base, [*run, "star_id"], {"typical_flux": "flux", "__scale": F.col("gain") / F.col("exptime")}, stored=True, whole=small.series)
     mags = mags.select(*run, "star_id", "typical_flux", instrumental_magnitude("typical_flux", "__scale", F.lit(1.0)).alias("mag"))
     is_target = targets.select(*run, "star_id").withColumn("is_target", F.lit(True))
-    weights = initial_weights(base, flags, [*run, "star_id"], stored=True).join(mags, [*run, "star_id"], "left")
+    weights = initial_weights(base, flags, [*run, "star_id"], stored=True, whole=small.series).join(mags, [*run, "star_id"], "left")
     weights = weights.join(is_target, [*run, "star_id"], "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
 
     # distance of every star from the target of its run
@@ -74,27 +77,28 @@ def differential_photometry(
     comparisons = weights.where(~F.col("is_target"))
     usable = comparisons.where((F.col("w1") > 0))
     limits = cut(E.magnitude_cuts(usable, target_mag, run))
-    sweep = E.magnitude_sweep(base, usable, limits, run, s.bin_width, s.weather_box, s.weather_limit, s.bucket)
-    chosen = E.best_cut(sweep, run).select(*run, "best_mag")
+    sweep = E.magnitude_sweep(base, usable, limits, run, s.bin_width, s.weather_box, s.weather_limit, s.bucket, small)
+    chosen = cut(E.best_cut(sweep, run).select(*run, "best_mag"))
     picked = attach(comparisons, run, chosen).withColumn(
         "w3", F.when(F.col("best_mag").isNull(), F.col("w3")).when(F.col("mag") <= F.col("best_mag"), 1.0).otherwise(0.0)
     ).drop("best_mag")
 
     own = [*run, "star_id", "jd", "nflux"]
     others = base.join(targets.select(*run, "star_id"), [*run, "star_id"], "left_anti").select(*own)
+    others = cut(others)
     target_lc = cut(base.join(targets.select(*run, "star_id"), [*run, "star_id"]))
-    clean = E.preclean(others, picked, run).drop("masked", "good", "bad", "dropped")
+    clean = E.preclean(others, picked, run, stored=True, small=small).drop("masked", "good", "bad", "dropped")
     start = cut(E.total_weights(clean.withColumn("w1_start", F.col("w1")), run).drop("no_weight"))
-    final = E.reweight(others, start, run, target_lc, s.rounds, s.tolerance, s.weather_box, s.weather_limit, s.bucket)
+    final = E.reweight(others, start, run, target_lc, s.rounds, s.tolerance, s.weather_box, s.weather_limit, s.bucket, stored=True, small=small)
 
-    ensemble = E.ensemble_curve(others, final, run)
-    curves = E.differential(base.select(*run, "star_id", "jd", "flux", "nflux"), ensemble, run)
+    ensemble = E.ensemble_curve(others, final, run, small)
+    curves = E.differential(base.select(*run, "star_id", "jd", "flux", "nflux"), ensemble, run, small=small)
     comparison = E.comparison_series(base.select(*run, "star_id", "jd", "flux"), final, run).select(*run, "jd", "comp", "comp_flux")
     marked = cut(bad_weather_mask(ensemble.select(*run, "jd", "nlc"), run, "jd", "nlc", s.weather_box, s.weather_limit, s.bucket))
     ensemble = ensemble.join(marked.select(*run, "jd", "bad"), [*run, "jd"], "left")
     # the noise model takes the brightness of a whole series: medians over all of its frames
     typical = cut(weights.select(*run, "star_id", "typical_flux"))
-    comp = cut(medians(cut(comparison), run, {"__comp": "comp_flux"}, stored=True))
+    comp = cut(medians(cut(comparison), run, {"__comp": "comp_flux"}, stored=True, whole=small.runs))
     mean_ron = frames.groupBy(*night).agg(F.avg("ron").alias("__ron"))
 
     def noise(flux: str):
@@ -103,14 +107,16 @@ def differential_photometry(
 
     ap = [] if "ap" in run else ["ap"]
     own = curves.join(base.select(*run, "star_id", "jd", *ap), [*run, "star_id", "jd"]) if ap else curves
-    own = attach(attach(own.join(env, [*night, "jd"]).join(typical, [*run, "star_id"]), run, comp), night, mean_ron)
+    # what belongs to a star, its run and its night goes to the rows in one join
+    typical = attach(attach(typical, run, comp), night, mean_ron)
+    own = own.join(typical, [*run, "star_id"]).join(env, [*night, "jd"])
     own = own.withColumn("__r", aperture_radius("ap", F.lit(s.rcore)))
     own = own.withColumn("error", differential_error("diff", noise("typical_flux"), noise("__comp")))
     curves = cut(own.select(*run, "star_id", "jd", "flux", "nflux", "diff", "error"))
     target = curves.join(targets.select(*run, "star_id"), [*run, "star_id"]).join(marked.select(*run, "jd", "bad"), [*run, "jd"], "left")
     target = cut(target.select(*run, "star_id", "jd", "diff", "error", "bad"))
     ranked = E.weight_order(final.unionByName(weights.where("is_target").withColumn("weight", F.lit(0.0)), allowMissingColumns=True), run, F.col("is_target"))
-    scores = scatter(curves, [*run, "star_id"], "jd", "diff", s.bin_width)
+    scores = cut(scatter(curves, [*run, "star_id"], "jd", "diff", s.bin_width, small.series))
     return Products(curves, target, cut(ranked), ensemble, scores)
 
 

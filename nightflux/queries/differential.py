@@ -18,7 +18,7 @@ COLD, STEP = 2000.0, 200.0
 
 
 def survey_products(spark, sf, tables=None):
-    v = {k: cut(df) for k, df in B.survey(spark, sf).items()}
+    v = {k: df if k == "lc" else cut(df) for k, df in B.survey(spark, sf, cut).items()}
     s = Settings(bin_width=BIN, weather_box=BOX, weather_limit=LIMIT, rounds=ROUNDS, tolerance=0.0)
     p = differential_photometry(v["lc"], v["frames"].drop("telescope"), v["stars"].drop("teff"), v["targets"], RUN, s)
     lattice = grid(spark, sf).withColumn("teff_k", COLD + STEP * F.col("teff_k"))
