@@ -131,11 +131,15 @@ def grid_lookup(
 
 
 def ensemble_teff(weights: DataFrame, run: Sequence[str]) -> DataFrame:
-    """Weighted temperature of the comparison stars that have one."""
+    """Weighted temperature of the comparison stars that have one.
+
+    Rounding must not carry it past the stars it stands for: at the end of a grid it would have no response.
+    """
     ok = weights.where(F.col("teff").isNotNull() & F.col("weight").isNotNull())
-    return ok.groupBy(*run).agg(
-        F.when(F.sum("weight") != 0, F.sum(F.col("weight") * F.col("teff")) / F.sum("weight")).alias("ensemble_teff")
-    )
+    mean = F.sum(F.col("weight") * F.col("teff")) / F.sum("weight")
+    counted = F.when(F.col("weight") > 0, F.col("teff"))
+    between = F.when(F.min("weight") >= 0, F.greatest(F.min(counted), F.least(F.max(counted), mean))).otherwise(mean)
+    return ok.groupBy(*run).agg(F.when(F.sum("weight") != 0, between).alias("ensemble_teff"))
 
 
 def water_at(target: DataFrame, pwv: DataFrame, keys: Sequence[str], t: str, width: float = 1.0) -> DataFrame:

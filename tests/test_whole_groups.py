@@ -9,6 +9,7 @@ from test_photometry import field
 from nightflux.operators import ensemble as E
 from nightflux.operators import grouped as G
 from nightflux.operators.lightcurve import scatter, time_bin_number
+from nightflux.operators.water import ensemble_teff
 from nightflux.plans.differential import Settings, differential_photometry
 
 
@@ -108,3 +109,10 @@ def test_the_whole_job_is_the_same_in_one_piece(spark, monkeypatch):
         assert len(a) == len(b)
         for x, y in zip(a, b):
             assert all(u == v or math.isclose(u, v, rel_tol=1e-8) for u, v in zip(x, [y[c] for c in x.__fields__]))
+
+
+def test_rounding_keeps_the_ensemble_between_its_stars(spark):
+    rng = np.random.default_rng(5)
+    rows = [(r, 5000.0, float(w)) for r in range(200) for w in rng.random(30)] + [(200, 4000.0, -1.0), (200, 5000.0, 2.0)]
+    got = {r["run"]: r["ensemble_teff"] for r in ensemble_teff(spark.createDataFrame(rows, "run int, teff double, weight double"), ["run"]).collect()}
+    assert got.pop(200) == 6000.0 and set(got.values()) == {5000.0}
